@@ -1,0 +1,446 @@
+"""Sources, sinks and normalisation over items that Spark derives from the documents.
+
+``posts_docs`` is turned into landed items of each platform.  The language
+decides which fields an item has, so every fallback is used on real rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks import adapters as ad
+from checks.registry import query, with_sql
+from checks.text_queries import RULES, FOCUS_SQL, TX, WINDOW_SQL, classify_sql
+from voicetide import schema as S
+from voicetide.functions import scalars as sc
+from voicetide.functions import timestamps as ts
+from voicetide.operators import normalise as nm
+from voicetide.operators.classify import classify_posts
+from voicetide.plans import flow
+from voicetide.session import fresh_path
+from voicetide.sources import document as doc
+from voicetide.sources import raw_json as rj
+from voicetide.sources import tables as tb
+from voicetide.streaming import landed as ld
+
+PD, PO = ad.PD_SQL, ad.PO_SQL
+ISO = "yyyy-MM-dd'T'HH:mm:ss"
+EPOCH = F.timestamp_diff(
+    "SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("date")
+)
+
+
+def _by_lang(**values):
+    """The value given for the row's language, null for the others."""
+    out = F.lit(None)
+    for lang, value in values.items():
+        out = F.when(F.col("brand") == lang, value).otherwise(out)
+    return out
+
+
+def _variant(**values):
+    out = F.lit(None).cast("variant")
+    for lang, value in values.items():
+        out = F.when(F.col("brand") == lang, value.cast("variant")).otherwise(out)
+    return out
+
+
+def _object(name, value):
+    return F.to_variant_object(F.struct(value.alias(name)))
+
+
+def _iso(suffix=""):
+    return F.date_format("date", ISO + suffix)
+
+
+ID, TEXT = F.col("id"), F.col("text")
+LIKES, SCORE = F.col("likes"), F.col("engagement")
+
+
+def microblog_items(posts):
+    handle = F.concat(F.lit("v"), ID)
+    return posts.select(
+        "brand",
+        _variant(en=ID.cast("bigint"), de=F.lit(0), es=F.concat(F.lit("x"), ID)).alias("id"),
+        _variant(fr=F.concat(F.lit("s"), ID), de=F.concat(F.lit("s"), ID)).alias("id_str"),
+        _by_lang(en=TEXT, de=F.lit(""), es=TEXT).alias("text"),
+        _by_lang(fr=TEXT).alias("full_text"),
+        _by_lang(de=TEXT).alias("rawContent"),
+        _variant(en=_iso(".SSS'Z'"), de=EPOCH, es=F.lit("")).alias("createdAt"),
+        _variant(
+            fr=F.date_format("date", "EEE MMM dd HH:mm:ss '+0000' yyyy"),
+            es=F.date_format("date", "yyyy-MM-dd"),
+        ).alias("created_at"),
+        _by_lang(en=F.col("url"), es=F.lit("")).alias("url"),
+        _by_lang(fr=F.col("url"), es=F.col("url")).alias("tweetUrl"),
+        _by_lang(en=LIKES, de=F.lit(0).cast("bigint")).alias("likeCount"),
+        _by_lang(fr=LIKES, de=LIKES).alias("favorite_count"),
+        _by_lang(en=SCORE).alias("retweetCount"),
+        _by_lang(fr=SCORE).alias("retweet_count"),
+        _by_lang(de=LIKES).alias("replyCount"),
+        _by_lang(en=_object("userName", F.concat(F.lit("u"), ID))).alias("author"),
+        _by_lang(fr=_object("screen_name", handle), de=_object("screen_name", handle)).alias("user"),
+    )
+
+
+def forum_items(posts):
+    return posts.select(
+        "brand",
+        ID.cast("variant").alias("id"),
+        _by_lang(en=F.col("platform"), fr=F.col("platform")).alias("title"),
+        _by_lang(en=TEXT).alias("body"),
+        _by_lang(de=F.concat(F.lit("\n "), TEXT)).alias("selftext"),
+        _by_lang(es=TEXT).alias("text"),
+        _variant(en=_iso("'+05:30'"), de=EPOCH.cast("string"), es=F.lit("yesterday")).alias("createdAt"),
+        _variant(fr=EPOCH).alias("created_utc"),
+        _by_lang(en=F.col("url")).alias("url"),
+        _by_lang(fr=F.col("url")).alias("permalink"),
+        _by_lang(en=LIKES, de=LIKES).alias("score"),
+        _by_lang(fr=LIKES).alias("ups"),
+        _by_lang(en=SCORE).alias("numComments"),
+        _by_lang(fr=SCORE).alias("num_comments"),
+        _variant(en=F.concat(F.lit("u"), ID)).alias("author"),
+    )
+
+
+def professional_items(posts):
+    return posts.select(
+        "brand",
+        _variant(en=ID, de=F.lit("")).alias("id"),
+        _variant(fr=F.concat(F.lit("urn:"), ID), de=F.concat(F.lit("urn:"), ID)).alias("urn"),
+        _by_lang(en=TEXT).alias("text"),
+        _by_lang(fr=TEXT).alias("commentary"),
+        _by_lang(de=TEXT).alias("content"),
+        _by_lang(es=TEXT).alias("body"),
+        _variant(en=_iso("'Z'")).alias("postedAt"),
+        _variant(fr=_iso()).alias("publishedAt"),
+        _variant(de=EPOCH.cast("double")).alias("date"),
+        _by_lang(en=F.col("url")).alias("url"),
+        _by_lang(fr=F.col("url")).alias("postUrl"),
+        _by_lang(en=SCORE).alias("totalReactionCount"),
+        _by_lang(fr=LIKES).alias("likes"),
+        _by_lang(en=LIKES).alias("repostCount"),
+        _by_lang(en=LIKES).alias("commentsCount"),
+        _by_lang(fr=SCORE).alias("comments"),
+        _by_lang(en=_object("name", F.concat(F.lit("u"), ID))).alias("author"),
+        _by_lang(de=F.concat(F.lit("u"), ID)).alias("authorName"),
+    )
+
+
+ITEMS = {"twitter": microblog_items, "reddit": forum_items, "linkedin": professional_items}
+
+
+def land(spark, sf, sources=tuple(ITEMS), langs=ad.LANGS):
+    """Write the items of all documents as JSON Lines, one folder per brand and source."""
+    root = fresh_path(spark, "landed")
+    posts = ad.posts_docs(spark, sf)
+    for source in sources:
+        items = ITEMS[source](posts)
+        for lang in langs:
+            rj.write_raw(
+                items.filter(F.col("brand") == lang).drop("brand"), rj.raw_path(root, lang, source)
+            )
+    return root
+
+
+def read_landed(spark, sf, source):
+    """Landed items of one source; one brand has no data at all."""
+    root = land(spark, sf, [source])
+    return rj.read_raw(spark, root, [*ad.LANGS, "xx"], source, json_arrays=False)
+
+
+def shown(posts):
+    """Dates as text, so that both engines print them alike."""
+    return posts.withColumn("date", sc.second_label(F.col("date")))
+
+
+def by_lang_sql(default="NULL", **values):
+    cases = " ".join(f"WHEN '{lang}' THEN {value}" for lang, value in values.items())
+    return f"CASE brand {cases} ELSE {default} END"
+
+
+DAY = "strftime(date, '%Y-%m-%d %H:%M:%S')"
+MIDNIGHT = "strftime(date_trunc('day', date), '%Y-%m-%d %H:%M:%S')"
+
+MICROBLOG_SQL = f"""mi AS (SELECT brand, 'Twitter/X' AS platform,
+  {by_lang_sql(en="id", fr="'s' || id", de="'s' || id", es="'x' || id")} AS id, text,
+  {by_lang_sql(en=DAY, fr=DAY, de=DAY, es=MIDNIGHT)} AS date,
+  {by_lang_sql("url", de="''")} AS url,
+  {by_lang_sql("likes", es="0")} AS likes, {by_lang_sql("0", en="engagement", fr="engagement")} AS retweets,
+  {by_lang_sql("0", de="likes")} AS replies,
+  {by_lang_sql("0", en="likes + engagement", de="likes")} AS engagement,
+  {by_lang_sql("''", en="'u' || id", fr="'v' || id", de="'v' || id")} AS author FROM pd)"""
+
+TRIM = f"'{sc.WHITESPACE}'"
+FORUM_SQL = f"""fo AS (SELECT brand, 'Reddit' AS platform, id,
+  trim({by_lang_sql("' ' || text", en="platform || ' ' || text", fr="platform || ' ' || platform")}, {TRIM})
+    AS text,
+  {by_lang_sql(en="strftime(date - INTERVAL '5 hours 30 minutes', '%Y-%m-%d %H:%M:%S')", fr=DAY)} AS date,
+  {by_lang_sql("''", en="url", fr="url")} AS url,
+  {by_lang_sql("likes", es="0")} AS likes, 0 AS retweets,
+  {by_lang_sql("0", en="engagement", fr="engagement")} AS replies,
+  {by_lang_sql("0", en="likes + engagement", de="likes")} AS engagement,
+  {by_lang_sql("''", en="'u' || id")} AS author FROM pd)"""
+
+PROFESSIONAL_SQL = f"""pr AS (SELECT brand, 'LinkedIn' AS platform,
+  {by_lang_sql("''", en="id", fr="'urn:' || id", de="'urn:' || id")} AS id, text,
+  {by_lang_sql(en=DAY, fr=DAY, de=DAY)} AS date, {by_lang_sql("''", en="url", fr="url")} AS url,
+  {by_lang_sql("0", en="engagement", fr="likes")} AS likes, {by_lang_sql("0", en="likes")} AS retweets,
+  {by_lang_sql("0", en="likes", fr="engagement")} AS replies,
+  {by_lang_sql("0", en="likes + engagement")} AS engagement,
+  {by_lang_sql("''", en="'u' || id", de="'u' || id")} AS author FROM pd)"""
+
+
+# --- normalisation ------------------------------------------------------------
+
+@query("P1_normalise_microblog", with_sql("SELECT * FROM mi", PD, MICROBLOG_SQL))
+def _(spark, sf):
+    return shown(nm.normalise_microblog(microblog_items(ad.posts_docs(spark, sf))))
+
+
+@query("P2_normalise_forum", with_sql("SELECT * FROM fo", PD, FORUM_SQL))
+def _(spark, sf):
+    return shown(nm.normalise_forum(forum_items(ad.posts_docs(spark, sf))))
+
+
+@query("P3_normalise_professional", with_sql("SELECT * FROM pr", PD, PROFESSIONAL_SQL))
+def _(spark, sf):
+    return shown(nm.normalise_professional(professional_items(ad.posts_docs(spark, sf))))
+
+
+@query("P4_truthy_coalesce", """SELECT o_orderkey AS id,
+  CASE WHEN o_orderstatus = 'F' THEN lower(o_orderpriority) ELSE 'none' END AS label,
+  CASE WHEN floor(o_totalprice / 100000) > 0 THEN CAST(floor(o_totalprice / 100000) AS BIGINT)
+    ELSE o_custkey END AS score FROM orders""")
+def _(spark, sf):
+    orders = ad.table(spark, sf, "orders")
+    first = F.when(F.col("o_orderstatus") == "O", F.lit(""))
+    second = F.when(F.col("o_orderstatus") == "F", F.lower("o_orderpriority"))
+    return orders.select(
+        F.col("o_orderkey").alias("id"),
+        sc.first_truthy([first, second], "none").alias("label"),
+        sc.first_nonzero(
+            [F.floor(F.col("o_totalprice") / 100000).cast("bigint"), F.col("o_custkey")]
+        ).alias("score"),
+    )
+
+
+@query("P5_nested_author", with_sql("SELECT brand, id, author FROM mi", PD, MICROBLOG_SQL))
+def _(spark, sf):
+    posts = nm.normalise_microblog(read_landed(spark, sf, "twitter"))
+    return posts.select("brand", "id", "author")
+
+
+@query("P6_engagement_sum", """SELECT event_id, CASE WHEN event_type = 'click' THEN user_id ELSE 0 END
+  + CAST(json_extract(props, '$.k') AS BIGINT) AS engagement FROM events""")
+def _(spark, sf):
+    events = ad.table(spark, sf, "events")
+    parts = [
+        F.when(F.col("event_type") == "click", F.col("user_id")),
+        F.get_json_object("props", "$.k").cast("bigint"),
+        F.lit(None).cast("bigint"),
+    ]
+    return events.select("event_id", sc.null_to_zero_sum(parts).alias("engagement"))
+
+
+@query("P7_tag_constants", """SELECT doc_id, 'real' AS data_source, 'Reddit' AS platform FROM documents""")
+def _(spark, sf):
+    docs = ad.table(spark, sf, "documents").select("doc_id")
+    return nm.tag_source(docs, "real").withColumn("platform", F.lit(S.FORUM))
+
+
+P8_FORMATS = {
+    "en": (_iso(".SSS'Z'"), DAY),
+    "fr": (F.date_format("date", "EEE MMM dd HH:mm:ss '+0000' yyyy"), DAY),
+    "de": (_iso("'+02:00'"), "strftime(date - INTERVAL 2 HOURS, '%Y-%m-%d %H:%M:%S')"),
+    "es": (F.date_format("date", "MMM d, yyyy"), MIDNIGHT),
+}
+
+
+@query("P8_parse_timestamp", with_sql(
+    f"SELECT id, {DAY} AS epoch, {by_lang_sql(**{k: v[1] for k, v in P8_FORMATS.items()})} AS date, "
+    "NULL::VARCHAR AS digits, NULL::VARCHAR AS garbage FROM pd", PD))
+def _(spark, sf):
+    posts = ad.posts_docs(spark, sf)
+    text = _by_lang(**{k: v[0] for k, v in P8_FORMATS.items()})
+    label = sc.second_label
+    return posts.select(
+        "id",
+        label(ts.variant_to_utc(EPOCH.cast("variant"))).alias("epoch"),
+        label(ts.variant_to_utc(text.cast("variant"))).alias("date"),
+        label(ts.variant_to_utc(EPOCH.cast("string").cast("variant"))).alias("digits"),
+        label(ts.text_to_utc(F.concat(F.lit("on "), text))).alias("garbage"),
+    )
+
+
+@query("P9_month_columns", with_sql(
+    """SELECT id, CASE WHEN brand = 'es' THEN 'Unknown' ELSE strftime(date, '%B') END AS month,
+  CASE WHEN brand = 'es' THEN 0 ELSE month(date) END AS month_num FROM pd""", PD))
+def _(spark, sf):
+    posts = ad.posts_docs(spark, sf)
+    some_null = posts.withColumn("date", F.when(F.col("brand") != "es", F.col("date")))
+    return nm.add_month_columns(some_null).select("id", "month", "month_num")
+
+
+@query("P13_coerce_date", with_sql(
+    f"SELECT id, CASE WHEN brand IN ('en', 'de') THEN {DAY} END AS date FROM pd", PD))
+def _(spark, sf):
+    posts = ad.posts_docs(spark, sf)
+    raw = _by_lang(en=F.date_format("date", "yyyy-MM-dd HH:mm:ss"), de=_iso(), fr=F.lit("NaT"))
+    return posts.select("id", sc.second_label(ts.coerce_timestamp(raw)).alias("date"))
+
+
+# --- sources and sinks ----------------------------------------------------------
+
+@query("S1_raw_json_scan", with_sql(
+    "SELECT brand, CASE WHEN brand IN ('en', 'es') THEN text WHEN brand = 'de' THEN '' END AS text, "
+    "CASE WHEN brand = 'en' THEN engagement END AS retweets FROM pd", PD))
+def _(spark, sf):
+    items = read_landed(spark, sf, "twitter")
+    return items.select("brand", "text", F.col("retweetCount").alias("retweets"))
+
+
+@query("S2_raw_json_sink", with_sql("SELECT brand, platform, id, text, likes FROM pd", PD))
+def _(spark, sf):
+    path = fresh_path(spark, "items")
+    posts = ad.posts_docs(spark, sf)
+    rj.write_raw(posts.hint("rebalance", "brand", "platform"), path, ("brand", "platform"))
+    back = spark.read.schema(
+        "id string, text string, likes bigint, brand string, platform string").json(path)
+    return back.select("brand", "platform", "id", "text", "likes")
+
+
+@query("S3_unified_parquet_sink", with_sql("SELECT id, brand, text, " + DAY + " AS date FROM pd", PD))
+def _(spark, sf):
+    path = fresh_path(spark, "unified")
+    tb.write_parquet(ad.dated_docs(spark, sf), path)
+    return shown(tb.read_parquet(spark, path)).select("id", "brand", "text", "date")
+
+
+CLASSIFIED_SQL = ("SELECT id, brand, strftime(date, '%B') AS month, bucket, bucket_label, confidence "
+                  "FROM cl")
+
+
+def classified(spark, sf):
+    return classify_posts(ad.dated_docs(spark, sf), TX)
+
+
+@query("S4_classified_parquet_sink", with_sql(CLASSIFIED_SQL, PD, classify_sql(TX, "pd")))
+def _(spark, sf):
+    path = fresh_path(spark, "classified")
+    tb.write_classified(classified(spark, sf), path)
+    back = tb.read_parquet(spark, path)
+    return back.select("id", "brand", "month", "bucket", "bucket_label", "confidence")
+
+
+def csv_round_trip(spark, sf):
+    path = fresh_path(spark, "csv")
+    posts = classified(spark, sf)
+    columns = [f for f in S.CLASSIFIED.fields if f.name in posts.columns]
+    rows = posts.select(*[f.name for f in columns])
+    tb.write_csv(rows, path)
+    return tb.read_csv(spark, path, type(S.CLASSIFIED)(columns))
+
+
+@query("S5_csv_sink", with_sql("SELECT id, text FROM pd", PD))
+def _(spark, sf):
+    return csv_round_trip(spark, sf).select("id", "text")
+
+
+@query("S6_parquet_scan", "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS brand FROM orders "
+       "WHERE o_orderdate >= TIMESTAMP '1996-04-01' AND o_orderdate < TIMESTAMP '1996-08-01'")
+def _(spark, sf):
+    posts = ad.posts_orders(spark, sf)
+    return posts.filter(ad.CALENDAR.covers(F.col("date"))).select("id", "brand")
+
+
+@query("S7_csv_scan", with_sql(
+    f"SELECT id, brand, platform, {DAY} AS date, engagement, bucket, confidence FROM cl",
+    PD, classify_sql(TX, "pd")))
+def _(spark, sf):
+    return shown(csv_round_trip(spark, sf)).select(
+        "id", "brand", "platform", "date", "engagement", "bucket", "confidence")
+
+
+def written_document(spark, sf):
+    """Reports of the orders as one document, read back."""
+    path = fresh_path(spark, "analytics")
+    posts = ad.posts_orders(spark, sf, platform=True)
+    marts = flow.reports(posts, ad.PAIR, ad.ORDER_TAXONOMY, ad.CALENDAR)
+    flow.write_reports(marts, path, ad.PAIR, ad.ORDER_TAXONOMY, ad.CALENDAR)
+    return doc.read_document(spark, path)
+
+
+@query("S8_analytics_doc_sink", with_sql("""SELECT sh.brand, bucket_label, count, share,
+  least(count, 8) AS examples FROM sh WHERE brand <> 'P'""", PO, ad.DIMS_SQL, ad.SHARES_SQL))
+def _(spark, sf):
+    return doc.document_buckets(written_document(spark, sf))
+
+
+@query("S9_analytics_doc_scan", with_sql("""SELECT brand, month, total, complaints, escalations,
+  round_even((total - p)::DOUBLE / nullif(p, 0) * 100, 1) AS mom_total_pct FROM (
+  SELECT *, lag(total) OVER (PARTITION BY brand ORDER BY month_idx) AS p FROM mt) WHERE brand <> 'P'""",
+    PO, ad.DIMS_SQL, ad.MONTHLY_SQL))
+def _(spark, sf):
+    return doc.document_months(written_document(spark, sf))
+
+
+@query("S10_source_fallback", with_sql(
+    "SELECT id, brand, 'csv' AS found FROM pd UNION ALL SELECT id, brand, 'parquet' FROM pd", PD))
+def _(spark, sf):
+    absent, path = fresh_path(spark, "absent"), fresh_path(spark, "unified")
+    posts = ad.dated_docs(spark, sf).select("id", "platform", "brand", "text", "date")
+    rows = posts.select(
+        *[F.col(f.name) if f.name in posts.columns else F.lit(None).cast(f.dataType).alias(f.name)
+          for f in S.CLASSIFIED.fields]
+    )
+    tb.write_parquet(rows, path)
+    tb.write_csv(rows, path + "-csv")
+    found = {
+        "csv": tb.read_posts(spark, absent, path + "-csv"),
+        "parquet": tb.read_posts(spark, path, path + "-csv"),
+        "none": tb.read_posts(spark, absent, absent),
+    }
+    parts = [f.select("id", "brand", F.lit(k).alias("found")) for k, f in found.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("S11_landed_json_stream", with_sql(
+    "SELECT id, brand, platform, text, date, likes, engagement, bucket FROM cl",
+    PD, MICROBLOG_SQL, classify_sql(TX, "mi")))
+def _(spark, sf):
+    root = land(spark, sf, ["twitter"])
+    table, state = fresh_path(spark, "posts"), fresh_path(spark, "state")
+    for lang in ad.LANGS:
+        items = ld.landed_items(spark, rj.raw_path(root, lang, "twitter"), "twitter", lang)
+        run = ld.start_ingest(
+            items, "twitter", f"{table}/{lang}", f"{state}/{lang}",
+            enrich=lambda posts: classify_posts(posts, TX),
+        )
+        run.awaitTermination()
+    back = [
+        spark.read.option("basePath", f"{table}/{lang}").parquet(f"{table}/{lang}")
+        for lang in ad.LANGS
+    ]
+    out = back[0]
+    for more in back[1:]:
+        out = out.unionByName(more)
+    return shown(out).select(
+        "id", "brand", "platform", "text", "date", "likes", "engagement", "bucket")
+
+
+# --- end to end -----------------------------------------------------------------
+
+UNIFIED_SQL = f"""al AS (SELECT * FROM mi UNION ALL SELECT * FROM fo UNION ALL SELECT * FROM pr),
+fd AS (SELECT * FROM al WHERE ({FOCUS_SQL}) AND {WINDOW_SQL.replace("date BETWEEN", "CAST(date AS TIMESTAMP) BETWEEN")}),
+un AS (SELECT *, row_number() OVER (PARTITION BY brand, platform, substring(text, 1, 200)
+  ORDER BY date NULLS LAST, id, text) AS rn FROM fd)"""
+
+
+@query("U0_unified_posts", with_sql(
+    "SELECT id, brand, platform, text, date, engagement FROM un WHERE rn = 1",
+    PD, MICROBLOG_SQL, FORUM_SQL, PROFESSIONAL_SQL, UNIFIED_SQL))
+def _(spark, sf):
+    root = land(spark, sf)
+    posts = flow.unified_posts(spark, root, RULES, ad.WINDOW, json_arrays=False)
+    return shown(posts).select("id", "brand", "platform", "text", "date", "engagement")

@@ -178,8 +178,7 @@ def _(spark, sf):
 @query("X10_topic_guard", with_sql(
     "SELECT doc_id, bucket, '' AS topic_label FROM cl", classify_sql(TX)))
 def _(spark, sf):
-    # The test taxonomy leaves fewer than a thousand default posts per twenty
-    # thousand documents; a minimum above the row count closes the guard.
+    # A minimum above the number of posts closes the guard at every scale.
     docs = ad.documents(spark, sf).select("doc_id", "text")
     posts = cl.classify_posts(docs, TX)
     guarded = tp.detect_topics(posts, TX.default.key, min_posts=docs.count() + 1)
@@ -252,11 +251,19 @@ def _(spark, sf):
     return fl.keyword_in_window(ad.posts_docs(spark, sf), "the", *ad.WINDOW).select("id", "brand")
 
 
-@query("F10_empty_guard", "SELECT lang AS brand, count(*) AS n FROM documents WHERE text IS NULL GROUP BY lang")
+@query("F10_empty_guard", with_sql("""SELECT 'text' AS missing, count(*) AS posts FROM pd
+  WHERE text IS NULL UNION ALL SELECT 'keyword', count(*) FROM pd
+  WHERE contains(lower(text), 'no such keyword')""", PD))
 def _(spark, sf):
-    posts = ad.posts_docs(spark, sf).filter(F.col("text").isNull())
-    found = dd.dedup_prefix(fl.date_window(fl.focus_filter(posts, RULES), *ad.WINDOW))
-    return found.groupBy("brand").agg(F.count(F.lit(1)).alias("n"))
+    posts = ad.posts_docs(spark, sf)
+
+    def through(empty, missing):
+        found = dd.dedup_prefix(fl.date_window(fl.focus_filter(empty, RULES), *ad.WINDOW))
+        return found.agg(F.lit(missing).alias("missing"), F.count(F.lit(1)).alias("posts"))
+
+    no_text = through(posts.filter(F.col("text").isNull()), "text")
+    no_word = through(fl.keyword_filter(posts, "No such keyword"), "keyword")
+    return no_text.unionByName(no_word)
 
 
 # --- dedup, unions, joins -----------------------------------------------------

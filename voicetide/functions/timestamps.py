@@ -10,13 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Zone-less layouts tried after ISO-8601, weekday prefix already removed.
-GENERAL_FORMATS = (
-    "d MMM yyyy HH:mm:ss", "d MMM yyyy", "MMM d, yyyy", "MMMM d, yyyy",
-    "MMM d yyyy", "yyyy/M/d HH:mm:ss", "yyyy/M/d", "M/d/yyyy HH:mm:ss", "M/d/yyyy",
-)
-#: Layouts that carry an offset.
-ZONED_FORMATS = ("MMM dd HH:mm:ss xx yyyy", "d MMM yyyy HH:mm:ss xx")
+#: Layout of microblog timestamps, weekday already removed.
+MICROBLOG_FORMAT = "MMM d HH:mm:ss xx yyyy"
+
+#: Other layouts by shape.  The value has no weekday and ends in an offset.
+GENERAL_FORMATS = {
+    r"^\d{1,2} [A-Za-z]{3} ": "d MMM yyyy[ HH:mm:ss] xx",
+    r"^[A-Za-z]{3} \d{1,2},? \d{4}": "MMM d[,] yyyy[ HH:mm:ss] xx",
+    r"^[A-Za-z]{4,9} \d{1,2},? \d{4}": "MMMM d[,] yyyy[ HH:mm:ss] xx",
+    r"^\d{4}/": "yyyy/M/d[ HH:mm:ss] xx",
+    r"^\d{1,2}/": "M/d/yyyy[ HH:mm:ss] xx",
+}
 
 # Years 1 to 9999, in epoch seconds.
 _EPOCH_MIN, _EPOCH_MAX = -62135596800, 253402300799
@@ -34,24 +38,25 @@ def epoch_to_utc(seconds: Column) -> Column:
 def text_to_utc(text: Column) -> Column:
     """Parse a timestamp string; null when nothing fits."""
     value = F.trim(text)
-    iso = value.rlike(r"^\d{4}-\d{1,2}-\d{1,2}")
-    zoned = value.rlike(r"(?i)(z|utc|[+-]\d{2}:?\d{2})$")
-    no_weekday = F.regexp_replace(value, r"^(?i)(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
-    no_weekday = F.regexp_replace(no_weekday, r"(?i)\s(gmt|utc|z)$", " +0000")
-    iso_value = F.when(
-        iso,
-        F.when(zoned, _instant_to_utc(F.try_to_timestamp(value)))
-        .otherwise(value.try_cast("timestamp_ntz")),
+    zoned = value.rlike(r"(?i)(z|utc|gmt|[+-]\d{2}:?\d{2})$")
+    iso = F.when(zoned, _instant_to_utc(F.try_to_timestamp(value))).otherwise(
+        value.try_cast("timestamp_ntz")
     )
-    others = [
-        *[_instant_to_utc(F.try_to_timestamp(no_weekday, F.lit(f))) for f in ZONED_FORMATS],
-        *[F.try_to_timestamp(no_weekday, F.lit(f)).cast("timestamp_ntz") for f in GENERAL_FORMATS],
-    ]
-    return F.coalesce(iso_value, *[F.when(~iso, o) for o in others])
+    plain = F.regexp_replace(value, r"^(?i)(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
+    microblog = F.try_to_timestamp(plain, F.lit(MICROBLOG_FORMAT))
+    offset = F.regexp_replace(
+        F.when(zoned, plain).otherwise(F.concat(plain, F.lit(" +0000"))),
+        r"(?i)\s(gmt|utc|z)$", " +0000",
+    )
+    layout = F.lit(None).cast("string")
+    for shape, pattern in reversed(GENERAL_FORMATS.items()):
+        layout = F.when(plain.rlike(shape), F.lit(pattern)).otherwise(layout)
+    other = F.coalesce(microblog, F.try_to_timestamp(offset, layout))
+    return F.when(value.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), iso).otherwise(_instant_to_utc(other))
 
 
-def variant_is_number(value: Column) -> Column:
-    return F.schema_of_variant(value).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
+def variant_is_text(value: Column) -> Column:
+    return F.schema_of_variant(value) == "STRING"
 
 
 def variant_text(value: Column) -> Column:
@@ -61,19 +66,16 @@ def variant_text(value: Column) -> Column:
 
 def truthy_variant(value: Column) -> Column:
     """The variant itself, or null when it is JSON null, ``""`` or 0."""
-    falsy = (
-        F.is_variant_null(value)
-        | (variant_is_number(value) & (F.try_variant_get(value, "$", "double") == 0))
-        | (variant_text(value) == "")
-    )
+    zero = ~variant_is_text(value) & (F.try_variant_get(value, "$", "double") == 0)
+    falsy = F.is_variant_null(value) | (variant_text(value) == "") | F.coalesce(zero, F.lit(False))
     return F.when(~F.coalesce(falsy, F.lit(False)), value)
 
 
 def variant_to_utc(value: Column) -> Column:
     """Timestamp of a variant that holds a number or a string."""
-    return F.when(
-        variant_is_number(value), epoch_to_utc(F.try_variant_get(value, "$", "double"))
-    ).otherwise(text_to_utc(variant_text(value)))
+    return F.when(variant_is_text(value), text_to_utc(variant_text(value))).otherwise(
+        epoch_to_utc(F.try_variant_get(value, "$", "double"))
+    )
 
 
 def coerce_timestamp(col: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,38 +11,64 @@ from pyspark.sql import functions as F
 from voicetide.config import FocusRule
 
 
+def once(value: Column, condition: Callable[[Column], Column]) -> Column:
+    """``condition`` of a value that is written into the plan a single time.
+
+    Spark moves filters below projections and copies the projected expression
+    to every place the filter names it.  For a value that is costly to compute
+    (a parsed date, a normalised text) that would be many computations per row.
+    """
+    return F.exists(F.array(value), condition)
+
+
 def contains_word(text: Column, word: str) -> Column:
     """Case-insensitive substring; null text does not match."""
     return F.coalesce(F.lower(text).contains(word.lower()), F.lit(False))
 
 
-def _any_word(text: Column, words: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [contains_word(text, w) for w in words], F.lit(False))
+def _any_word(lowered: Column, words: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [lowered.contains(w.lower()) for w in words], F.lit(False))
 
 
-def focus_predicate(text: Column, rule: FocusRule) -> Column:
-    off_topic = _any_word(text, rule.excluded) & ~_any_word(text, rule.rescue)
-    return contains_word(text, rule.keyword) & ~off_topic
+def focus_predicate(lowered: Column, rule: FocusRule) -> Column:
+    """Rule on a lower-case text."""
+    off_topic = _any_word(lowered, rule.excluded) & ~_any_word(lowered, rule.rescue)
+    return lowered.contains(rule.keyword.lower()) & ~off_topic
 
 
 def focus_filter(posts: DataFrame, rules: Mapping[str, FocusRule]) -> DataFrame:
     """Apply each brand's focus rule; brands without a rule are dropped."""
-    keep = [
-        (F.col("brand") == brand) & focus_predicate(F.col("text"), rule)
-        for brand, rule in rules.items()
-    ]
-    return posts.filter(reduce(lambda a, b: a | b, keep, F.lit(False)))
+
+    def keep(lowered: Column) -> Column:
+        parts = [
+            (F.col("brand") == brand) & focus_predicate(lowered, rule)
+            for brand, rule in rules.items()
+        ]
+        return reduce(lambda a, b: a | b, parts, F.lit(False))
+
+    on_brand = F.col("brand").isin(list(rules))
+    return posts.filter(on_brand & once(F.lower("text"), keep))
 
 
 def keyword_filter(posts: DataFrame, word: str) -> DataFrame:
     return posts.filter(contains_word(F.col("text"), word))
 
 
-def date_window(posts: DataFrame, first: str, last: str) -> DataFrame:
-    """Keep rows without a date and rows with ``first <= date <= last``."""
+def in_window(date: Column, first: str, last: str) -> Column:
     lo, hi = (F.lit(v).cast("timestamp_ntz") for v in (first, last))
+    return date.isNull() | date.between(lo, hi)
+
+
+def date_window(posts: DataFrame, first: str, last: str, computed: bool = False) -> DataFrame:
+    """Keep rows without a date and rows with ``first <= date <= last``.
+
+    On a stored date the predicate reaches the scan; set ``computed`` when the
+    date is parsed in the same plan.
+    """
     date = F.col("date")
-    return posts.filter(date.isNull() | date.between(lo, hi))
+    if computed:
+        return posts.filter(once(date, lambda d: in_window(d, first, last)))
+    return posts.filter(in_window(date, first, last))
 
 
 def keyword_in_window(posts: DataFrame, word: str, first: str, last: str) -> DataFrame:

@@ -41,21 +41,27 @@ class _Fields:
         found = [ts.variant_text(ts.truthy_variant(v)) for v in self.variant(*names)]
         return F.coalesce(*found, F.lit(""))
 
-    def timestamp(self, *names: str) -> Column:
-        return ts.variant_to_utc(F.coalesce(*[ts.truthy_variant(v) for v in self.variant(*names)]))
+    def first_variant(self, *names: str) -> Column:
+        return F.coalesce(*[ts.truthy_variant(v) for v in self.variant(*names)])
 
     def nested(self, name: str, path: str) -> Column:
         return F.try_variant_get(self._get(name, "variant"), path, "string")
 
 
+def _with_parsed_date(posts: DataFrame) -> DataFrame:
+    """Parse the landed timestamp in its own projection, so that the parser's
+    many uses of the value do not repeat the choice of the field."""
+    return posts.withColumn("date", ts.variant_to_utc(F.col("date")))
+
+
 def normalise_microblog(items: DataFrame) -> DataFrame:
     f = _Fields(items)
-    return items.select(
+    return _with_parsed_date(items.select(
         f.key("id", "id_str").alias("id"),
         F.lit(S.MICROBLOG).alias("platform"),
         "brand",
         sc.first_truthy(f.text("text", "full_text", "rawContent"), "").alias("text"),
-        f.timestamp("createdAt", "created_at").alias("date"),
+        f.first_variant("createdAt", "created_at").alias("date"),
         sc.first_truthy(f.text("url", "tweetUrl"), "").alias("url"),
         sc.first_nonzero(f.count("likeCount", "favorite_count")).alias("likes"),
         sc.first_nonzero(f.count("retweetCount", "retweet_count")).alias("retweets"),
@@ -65,37 +71,37 @@ def normalise_microblog(items: DataFrame) -> DataFrame:
         sc.first_truthy(
             [f.nested("author", "$.userName"), f.nested("user", "$.screen_name")], ""
         ).alias("author"),
-    )
+    ))
 
 
 def normalise_forum(items: DataFrame) -> DataFrame:
     f = _Fields(items)
     body = sc.first_truthy(f.text("body", "title", "selftext", "text"), "")
     title = sc.fill_text(f.text("title")[0])
-    return items.select(
+    return _with_parsed_date(items.select(
         f.key("id").alias("id"),
         F.lit(S.FORUM).alias("platform"),
         "brand",
         # A post with a title only repeats it: the title is also its body.
         sc.strip(F.concat(title, F.lit(" "), body)).alias("text"),
-        f.timestamp("createdAt", "created_utc").alias("date"),
+        f.first_variant("createdAt", "created_utc").alias("date"),
         sc.first_truthy(f.text("url", "permalink"), "").alias("url"),
         sc.first_nonzero(f.count("score", "ups")).alias("likes"),
         F.lit(0).cast("bigint").alias("retweets"),
         sc.first_nonzero(f.count("numComments", "num_comments")).alias("replies"),
         sc.null_to_zero_sum(f.count("score", "numComments")).alias("engagement"),
         f.key("author").alias("author"),
-    )
+    ))
 
 
 def normalise_professional(items: DataFrame) -> DataFrame:
     f = _Fields(items)
-    return items.select(
+    return _with_parsed_date(items.select(
         f.key("id", "urn").alias("id"),
         F.lit(S.PROFESSIONAL).alias("platform"),
         "brand",
         sc.first_truthy(f.text("text", "commentary", "content", "body"), "").alias("text"),
-        f.timestamp("postedAt", "publishedAt", "date").alias("date"),
+        f.first_variant("postedAt", "publishedAt", "date").alias("date"),
         sc.first_truthy(f.text("url", "postUrl"), "").alias("url"),
         sc.first_nonzero(f.count("totalReactionCount", "likes")).alias("likes"),
         sc.first_nonzero(f.count("repostCount")).alias("retweets"),
@@ -103,7 +109,7 @@ def normalise_professional(items: DataFrame) -> DataFrame:
         # Reposts are not part of this platform's score.
         sc.null_to_zero_sum(f.count("totalReactionCount", "commentsCount")).alias("engagement"),
         sc.first_truthy([f.nested("author", "$.name"), f.text("authorName")[0]], "").alias("author"),
-    )
+    ))
 
 
 NORMALISERS = {

@@ -39,7 +39,7 @@ def unify(
     Filters are row predicates, so Spark runs them below the union and before
     the one shuffle (dedup).
     """
-    posts = date_window(focus_filter(union_all(normalised), rules), *window)
+    posts = date_window(focus_filter(union_all(normalised), rules), *window, computed=True)
     return tag_source(add_month_columns(dedup_prefix(posts)), data_source)
 
 

@@ -42,9 +42,9 @@ DOCUMENT = (
 
 def map_of(key: Column | str, value: Column) -> Column:
     """Aggregate (key, value) rows to one map; keys are unique per group."""
-    return F.map_from_entries(F.sort_array(F.collect_list(F.struct(
+    return F.map_from_entries(F.collect_list(F.struct(
         (F.col(key) if isinstance(key, str) else key).alias("k"), value.alias("v")
-    ))))
+    )))
 
 
 def _section(rows: DataFrame, name: str, value: Column) -> DataFrame:
@@ -91,7 +91,7 @@ def sections(
     label = F.col("bucket_label")
 
     def present_map(value: Column) -> Column:
-        rows = F.sort_array(F.collect_list(F.when(present, F.struct(label, value.alias("v")))))
+        rows = F.collect_list(F.when(present, F.struct(label, value.alias("v"))))
         return F.map_from_entries(rows)
 
     by_bucket = marts["monthly_buckets"].groupBy("brand", "month_idx", "month").agg(

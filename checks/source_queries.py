@@ -25,9 +25,13 @@ from voicetide.streaming import landed as ld
 
 PD, PO = ad.PD_SQL, ad.PO_SQL
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
-EPOCH = F.timestamp_diff(
-    "SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("date")
-)
+
+
+def _columns():
+    epoch = F.timestamp_diff(
+        "SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("date")
+    )
+    return F.col("id"), F.col("text"), F.col("likes"), F.col("engagement"), epoch
 
 
 def _by_lang(**values):
@@ -53,77 +57,76 @@ def _iso(suffix=""):
     return F.date_format("date", ISO + suffix)
 
 
-ID, TEXT = F.col("id"), F.col("text")
-LIKES, SCORE = F.col("likes"), F.col("engagement")
-
-
 def microblog_items(posts):
-    handle = F.concat(F.lit("v"), ID)
+    id_, text, likes, score, epoch = _columns()
+    handle = F.concat(F.lit("v"), id_)
     return posts.select(
         "brand",
-        _variant(en=ID.cast("bigint"), de=F.lit(0), es=F.concat(F.lit("x"), ID)).alias("id"),
-        _variant(fr=F.concat(F.lit("s"), ID), de=F.concat(F.lit("s"), ID)).alias("id_str"),
-        _by_lang(en=TEXT, de=F.lit(""), es=TEXT).alias("text"),
-        _by_lang(fr=TEXT).alias("full_text"),
-        _by_lang(de=TEXT).alias("rawContent"),
-        _variant(en=_iso(".SSS'Z'"), de=EPOCH, es=F.lit("")).alias("createdAt"),
+        _variant(en=id_.cast("bigint"), de=F.lit(0), es=F.concat(F.lit("x"), id_)).alias("id"),
+        _variant(fr=F.concat(F.lit("s"), id_), de=F.concat(F.lit("s"), id_)).alias("id_str"),
+        _by_lang(en=text, de=F.lit(""), es=text).alias("text"),
+        _by_lang(fr=text).alias("full_text"),
+        _by_lang(de=text).alias("rawContent"),
+        _variant(en=_iso(".SSS'Z'"), de=epoch, es=F.lit("")).alias("createdAt"),
         _variant(
             fr=F.date_format("date", "EEE MMM dd HH:mm:ss '+0000' yyyy"),
             es=F.date_format("date", "yyyy-MM-dd"),
         ).alias("created_at"),
         _by_lang(en=F.col("url"), es=F.lit("")).alias("url"),
         _by_lang(fr=F.col("url"), es=F.col("url")).alias("tweetUrl"),
-        _by_lang(en=LIKES, de=F.lit(0).cast("bigint")).alias("likeCount"),
-        _by_lang(fr=LIKES, de=LIKES).alias("favorite_count"),
-        _by_lang(en=SCORE).alias("retweetCount"),
-        _by_lang(fr=SCORE).alias("retweet_count"),
-        _by_lang(de=LIKES).alias("replyCount"),
-        _by_lang(en=_object("userName", F.concat(F.lit("u"), ID))).alias("author"),
+        _by_lang(en=likes, de=F.lit(0).cast("bigint")).alias("likeCount"),
+        _by_lang(fr=likes, de=likes).alias("favorite_count"),
+        _by_lang(en=score).alias("retweetCount"),
+        _by_lang(fr=score).alias("retweet_count"),
+        _by_lang(de=likes).alias("replyCount"),
+        _by_lang(en=_object("userName", F.concat(F.lit("u"), id_))).alias("author"),
         _by_lang(fr=_object("screen_name", handle), de=_object("screen_name", handle)).alias("user"),
     )
 
 
 def forum_items(posts):
+    id_, text, likes, score, epoch = _columns()
     return posts.select(
         "brand",
-        ID.cast("variant").alias("id"),
+        id_.cast("variant").alias("id"),
         _by_lang(en=F.col("platform"), fr=F.col("platform")).alias("title"),
-        _by_lang(en=TEXT).alias("body"),
-        _by_lang(de=F.concat(F.lit("\n "), TEXT)).alias("selftext"),
-        _by_lang(es=TEXT).alias("text"),
-        _variant(en=_iso("'+05:30'"), de=EPOCH.cast("string"), es=F.lit("yesterday")).alias("createdAt"),
-        _variant(fr=EPOCH).alias("created_utc"),
+        _by_lang(en=text).alias("body"),
+        _by_lang(de=F.concat(F.lit("\n "), text)).alias("selftext"),
+        _by_lang(es=text).alias("text"),
+        _variant(en=_iso("'+05:30'"), de=epoch.cast("string"), es=F.lit("yesterday")).alias("createdAt"),
+        _variant(fr=epoch).alias("created_utc"),
         _by_lang(en=F.col("url")).alias("url"),
         _by_lang(fr=F.col("url")).alias("permalink"),
-        _by_lang(en=LIKES, de=LIKES).alias("score"),
-        _by_lang(fr=LIKES).alias("ups"),
-        _by_lang(en=SCORE).alias("numComments"),
-        _by_lang(fr=SCORE).alias("num_comments"),
-        _variant(en=F.concat(F.lit("u"), ID)).alias("author"),
+        _by_lang(en=likes, de=likes).alias("score"),
+        _by_lang(fr=likes).alias("ups"),
+        _by_lang(en=score).alias("numComments"),
+        _by_lang(fr=score).alias("num_comments"),
+        _variant(en=F.concat(F.lit("u"), id_)).alias("author"),
     )
 
 
 def professional_items(posts):
+    id_, text, likes, score, epoch = _columns()
     return posts.select(
         "brand",
-        _variant(en=ID, de=F.lit("")).alias("id"),
-        _variant(fr=F.concat(F.lit("urn:"), ID), de=F.concat(F.lit("urn:"), ID)).alias("urn"),
-        _by_lang(en=TEXT).alias("text"),
-        _by_lang(fr=TEXT).alias("commentary"),
-        _by_lang(de=TEXT).alias("content"),
-        _by_lang(es=TEXT).alias("body"),
+        _variant(en=id_, de=F.lit("")).alias("id"),
+        _variant(fr=F.concat(F.lit("urn:"), id_), de=F.concat(F.lit("urn:"), id_)).alias("urn"),
+        _by_lang(en=text).alias("text"),
+        _by_lang(fr=text).alias("commentary"),
+        _by_lang(de=text).alias("content"),
+        _by_lang(es=text).alias("body"),
         _variant(en=_iso("'Z'")).alias("postedAt"),
         _variant(fr=_iso()).alias("publishedAt"),
-        _variant(de=EPOCH.cast("double")).alias("date"),
+        _variant(de=epoch.cast("double")).alias("date"),
         _by_lang(en=F.col("url")).alias("url"),
         _by_lang(fr=F.col("url")).alias("postUrl"),
-        _by_lang(en=SCORE).alias("totalReactionCount"),
-        _by_lang(fr=LIKES).alias("likes"),
-        _by_lang(en=LIKES).alias("repostCount"),
-        _by_lang(en=LIKES).alias("commentsCount"),
-        _by_lang(fr=SCORE).alias("comments"),
-        _by_lang(en=_object("name", F.concat(F.lit("u"), ID))).alias("author"),
-        _by_lang(de=F.concat(F.lit("u"), ID)).alias("authorName"),
+        _by_lang(en=score).alias("totalReactionCount"),
+        _by_lang(fr=likes).alias("likes"),
+        _by_lang(en=likes).alias("repostCount"),
+        _by_lang(en=likes).alias("commentsCount"),
+        _by_lang(fr=score).alias("comments"),
+        _by_lang(en=_object("name", F.concat(F.lit("u"), id_))).alias("author"),
+        _by_lang(de=F.concat(F.lit("u"), id_)).alias("authorName"),
     )
 
 
@@ -133,7 +136,7 @@ ITEMS = {"twitter": microblog_items, "reddit": forum_items, "linkedin": professi
 def land(spark, sf, sources=tuple(ITEMS), langs=ad.LANGS):
     """Write the items of all documents as JSON Lines, one folder per brand and source."""
     root = fresh_path(spark, "landed")
-    posts = ad.posts_docs(spark, sf)
+    posts = flow.materialise(ad.posts_docs(spark, sf), "to-land")
     for source in sources:
         items = ITEMS[source](posts)
         for lang in langs:
@@ -163,7 +166,8 @@ DAY = "strftime(date, '%Y-%m-%d %H:%M:%S')"
 MIDNIGHT = "strftime(date_trunc('day', date), '%Y-%m-%d %H:%M:%S')"
 
 MICROBLOG_SQL = f"""mi AS (SELECT brand, 'Twitter/X' AS platform,
-  {by_lang_sql(en="id", fr="'s' || id", de="'s' || id", es="'x' || id")} AS id, text,
+  {by_lang_sql(en="CASE WHEN id = '0' THEN '' ELSE id END", fr="'s' || id", de="'s' || id",
+    es="'x' || id")} AS id, text,
   {by_lang_sql(en=DAY, fr=DAY, de=DAY, es=MIDNIGHT)} AS date,
   {by_lang_sql("url", de="''")} AS url,
   {by_lang_sql("likes", es="0")} AS likes, {by_lang_sql("0", en="engagement", fr="engagement")} AS retweets,
@@ -249,26 +253,32 @@ def _(spark, sf):
     return nm.tag_source(docs, "real").withColumn("platform", F.lit(S.FORUM))
 
 
-P8_FORMATS = {
-    "en": (_iso(".SSS'Z'"), DAY),
-    "fr": (F.date_format("date", "EEE MMM dd HH:mm:ss '+0000' yyyy"), DAY),
-    "de": (_iso("'+02:00'"), "strftime(date - INTERVAL 2 HOURS, '%Y-%m-%d %H:%M:%S')"),
-    "es": (F.date_format("date", "MMM d, yyyy"), MIDNIGHT),
+P8_SQL = {
+    "en": DAY,
+    "fr": DAY,
+    "de": "strftime(date - INTERVAL 2 HOURS, '%Y-%m-%d %H:%M:%S')",
+    "es": MIDNIGHT,
 }
 
 
 @query("P8_parse_timestamp", with_sql(
-    f"SELECT id, {DAY} AS epoch, {by_lang_sql(**{k: v[1] for k, v in P8_FORMATS.items()})} AS date, "
+    f"SELECT id, {DAY} AS epoch, {by_lang_sql(**P8_SQL)} AS date, "
     "NULL::VARCHAR AS digits, NULL::VARCHAR AS garbage FROM pd", PD))
 def _(spark, sf):
     posts = ad.posts_docs(spark, sf)
-    text = _by_lang(**{k: v[0] for k, v in P8_FORMATS.items()})
+    epoch = _columns()[-1]
+    text = _by_lang(
+        en=_iso(".SSS'Z'"),
+        fr=F.date_format("date", "EEE MMM dd HH:mm:ss '+0000' yyyy"),
+        de=_iso("'+02:00'"),
+        es=F.date_format("date", "MMM d, yyyy"),
+    )
     label = sc.second_label
     return posts.select(
         "id",
-        label(ts.variant_to_utc(EPOCH.cast("variant"))).alias("epoch"),
+        label(ts.variant_to_utc(epoch.cast("variant"))).alias("epoch"),
         label(ts.variant_to_utc(text.cast("variant"))).alias("date"),
-        label(ts.variant_to_utc(EPOCH.cast("string").cast("variant"))).alias("digits"),
+        label(ts.variant_to_utc(epoch.cast("string").cast("variant"))).alias("digits"),
         label(ts.text_to_utc(F.concat(F.lit("on "), text))).alias("garbage"),
     )
 

@@ -18,6 +18,7 @@ from voicetide.operators import topics as tp
 from voicetide.operators import topn as tn
 from voicetide.operators import unions as un
 from voicetide.operators.normalise import available_columns, tag_source
+from voicetide.plans.flow import materialise
 
 PD = ad.PD_SQL
 TX = ad.TEXT_TAXONOMY
@@ -188,7 +189,7 @@ def _(spark, sf):
 @query("X11_detect_emerging_topics")
 def _(spark, sf):
     docs = ad.documents(spark, sf).select("doc_id", "text")
-    posts = cl.classify_posts(docs, DEFAULT_TX)
+    posts = materialise(cl.classify_posts(docs, DEFAULT_TX), "classified")
     found = tp.detect_topics(posts, DEFAULT_TX.default.key)
     return found.select("doc_id", "bucket", "topic_label")
 

@@ -58,6 +58,15 @@ def with_terms(docs: DataFrame, text: str, stop_words: Sequence[str]) -> DataFra
     ).drop("_words")
 
 
+def _exploded(docs: DataFrame, array: Column) -> DataFrame:
+    """One row per element.
+
+    For a plain explode Spark adds a filter on the array's size, which would
+    tokenise each text twice; the outer form has no such filter.
+    """
+    return docs.select(F.explode_outer(array).alias("term")).filter(F.col("term").isNotNull())
+
+
 def _top_terms(terms: DataFrame, limit: int) -> list:
     return (
         terms.groupBy("term")
@@ -80,10 +89,10 @@ def vocabulary(
     """
     tokens = docs.select(words(F.col(text), stop_words).alias("w"))
     probe = 4 * max_features
-    singles = _top_terms(tokens.select(F.explode("w").alias("term")), probe)
+    singles = _top_terms(_exploded(tokens, F.col("w")), probe)
     floor = singles[max_features - 1]["n"] if len(singles) >= max_features else 1
     known = len(singles) < probe or singles[-1]["n"] < floor
-    adjacent = tokens.select(F.explode(word_pairs(F.col("w"))).alias("term"))
+    adjacent = _exploded(tokens, word_pairs(F.col("w")))
     if known and singles:
         frequent = [r["term"] for r in singles if r["n"] >= floor]
         parts = F.split("term", " ")
@@ -134,7 +143,7 @@ def tfidf_rows(model: TfIdf, docs: DataFrame, key: str, text: str = "text") -> D
     vectors = model.transform(docs.select(key, text), text)
     names = F.array(*[F.lit(t) for t in model.terms])
     return (
-        vectors.select(key, F.posexplode(vector_to_array("features")).alias("_i", "weight"))
+        vectors.select(key, F.posexplode_outer(vector_to_array("features")).alias("_i", "weight"))
         .filter(F.col("weight") > 0)
         .select(key, names[F.col("_i")].alias("term"), "weight")
     )
@@ -151,7 +160,7 @@ def cluster_terms(
     centres = vectors.groupBy(cluster).agg(Summarizer.mean(F.col("features")).alias("centre"))
     names = F.array(*[F.lit(t) for t in terms])
     rows = centres.select(
-        cluster, F.posexplode(vector_to_array("centre")).alias("_i", "mean_weight")
+        cluster, F.posexplode_outer(vector_to_array("centre")).alias("_i", "mean_weight")
     ).select(cluster, names[F.col("_i")].alias("term"), F.bround("mean_weight", 9).alias("w"))
     order = Window.partitionBy(cluster).orderBy(F.desc("w"), "term")
     top = rows.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= k)

@@ -86,8 +86,8 @@ def reports(
     gap_points: float = 2,
     n_posts: int = 8,
 ) -> dict[str, DataFrame]:
-    """Every report.  Posts are aggregated once; the cube is written because
-    nearly all reports start from it."""
+    """Every report.  Posts are aggregated once; the cube and the two tables most
+    reports start from are written, all of them a few hundred rows."""
     a, b = brands
     last = len(calendar) - 1
     cube = materialise(
@@ -98,16 +98,15 @@ def reports(
     )
     ranked = top_posts(posts.filter(F.col("brand").isin(a, b)), n_posts)
     top = materialise(ranked, "top-posts")
-    totals = mt.monthly_totals(cube, brands, calendar)
-    monthly = mt.monthly_buckets(cube, brands, taxonomy, calendar)
-    gaps = cp.competitive_gap(cube, a, b, taxonomy)
+    monthly = materialise(mt.monthly_buckets(cube, brands, taxonomy, calendar), "monthly")
+    gaps = materialise(cp.competitive_gap(cube, a, b, taxonomy), "gaps")
     first_last = (0, min(2, last))
     topics = em.topic_growth(posts, taxonomy.default.key, calendar, *first_last)
     samples = em.topic_samples(posts, topics, taxonomy.default.key)
     return {
         "platform_counts": mt.platform_counts(cube),
         "kpis": mt.overall_kpis(cube, brands),
-        "monthly_totals": totals,
+        "monthly_totals": mt.monthly_totals(cube, brands, calendar),
         "monthly_buckets": monthly,
         "biggest_movers": mt.biggest_movers(mt.first_last_change(monthly, 0, first_last[1])),
         "bucket_shares": mt.bucket_shares(cube, brands, taxonomy),

@@ -8,7 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-POST = T.StructType.fromDDL(
+_TYPES = {
+    "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(),
+    "double": T.DoubleType(), "boolean": T.BooleanType(), "variant": T.VariantType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def struct(fields: str) -> T.StructType:
+    """``"name type, ..."`` as a struct, without needing a session."""
+    pairs = [field.split() for field in fields.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+POST = struct(
     "id string, platform string, brand string, text string, date timestamp_ntz, url string, "
     "likes bigint, retweets bigint, replies bigint, engagement bigint, author string, "
     "month string, month_num int, data_source string"
@@ -16,7 +29,7 @@ POST = T.StructType.fromDDL(
 
 CLASSIFIED = T.StructType(
     POST.fields
-    + T.StructType.fromDDL(
+    + struct(
         "bucket string, bucket_label string, confidence double, sentiment string, "
         "is_complaint boolean, is_escalation boolean, topic_label string"
     ).fields
@@ -25,18 +38,18 @@ CLASSIFIED = T.StructType(
 # Platform names and the landed field names of each platform.
 MICROBLOG, FORUM, PROFESSIONAL = "Twitter/X", "Reddit", "LinkedIn"
 
-RAW_MICROBLOG = T.StructType.fromDDL(
+RAW_MICROBLOG = struct(
     "id variant, id_str variant, text string, full_text string, rawContent string, "
     "createdAt variant, created_at variant, url string, tweetUrl string, "
     "likeCount bigint, favorite_count bigint, retweetCount bigint, retweet_count bigint, "
     "replyCount bigint, author variant, user variant"
 )
-RAW_FORUM = T.StructType.fromDDL(
+RAW_FORUM = struct(
     "id variant, title string, body string, selftext string, text string, "
     "createdAt variant, created_utc variant, url string, permalink string, score bigint, "
     "ups bigint, numComments bigint, num_comments bigint, author variant"
 )
-RAW_PROFESSIONAL = T.StructType.fromDDL(
+RAW_PROFESSIONAL = struct(
     "id variant, urn variant, text string, commentary string, content string, body string, "
     "postedAt variant, publishedAt variant, date variant, url string, postUrl string, "
     "totalReactionCount bigint, likes bigint, repostCount bigint, commentsCount bigint, "

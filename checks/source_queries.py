@@ -377,7 +377,7 @@ def written_document(spark, sf):
     path = fresh_path(spark, "analytics")
     posts = ad.posts_orders(spark, sf, platform=True)
     marts = flow.reports(posts, ad.PAIR, ad.ORDER_TAXONOMY, ad.CALENDAR)
-    flow.write_reports(marts, path, ad.PAIR, ad.ORDER_TAXONOMY, ad.CALENDAR)
+    flow.write_reports(marts, path, ad.PAIR, ad.ORDER_TAXONOMY)
     return doc.read_document(spark, path)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voicetide.config import Calendar, Taxonomy
@@ -51,19 +51,19 @@ def competitive_gap(cube: DataFrame, a: str, b: str, taxonomy: Taxonomy) -> Data
     )
 
 
-def gap_lists(gaps: DataFrame, points: float = 2) -> DataFrame:
-    """Labels where ``a`` (``b``) is significantly higher, in bucket order."""
+def gap_list_columns(points: float = 2) -> list[Column]:
+    """Aggregates: labels where ``a`` (``b``) is significantly higher, in bucket order."""
     side = gap_significance(F.col("diff_share"), points)
 
-    def labels(which: str):
-        found = F.collect_list(
-            F.when(F.col("_side") == which, F.struct("bucket_ord", "bucket_label"))
-        )
+    def labels(which: str) -> Column:
+        found = F.collect_list(F.when(side == which, F.struct("bucket_ord", "bucket_label")))
         return F.transform(F.sort_array(found), lambda s: s["bucket_label"])
 
-    return gaps.withColumn("_side", side).agg(
-        labels("higher").alias("higher_a"), labels("lower").alias("higher_b")
-    )
+    return [labels("higher").alias("higher_a"), labels("lower").alias("higher_b")]
+
+
+def gap_lists(gaps: DataFrame, points: float = 2) -> DataFrame:
+    return gaps.agg(*gap_list_columns(points))
 
 
 def sorted_gap(gaps: DataFrame) -> DataFrame:

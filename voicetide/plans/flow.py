@@ -124,7 +124,7 @@ def write_reports(
     path: str,
     brands: tuple[str, str],
     taxonomy: Taxonomy,
-    calendar: Calendar,
+    gap_points: float = 2,
 ) -> None:
     """The nested analytics document under ``path``."""
-    doc.write_document(doc.sections(marts, brands, taxonomy, calendar), path)
+    doc.write_document(doc.sections(marts, brands, taxonomy, gap_points), path)

@@ -11,9 +11,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voicetide.config import Calendar, Taxonomy
+from voicetide.config import Taxonomy
 from voicetide.functions import scalars as sc
 from voicetide.functions.literals import grid
+from voicetide.operators.competitive import gap_list_columns
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -78,7 +79,7 @@ def sections(
     marts: Mapping[str, DataFrame],
     brands: tuple[str, str],
     taxonomy: Taxonomy,
-    calendar: Calendar,
+    gap_points: float = 2,
 ) -> DataFrame:
     """One (section, JSON text) row per report."""
     a, b = brands
@@ -134,14 +135,11 @@ def sections(
         F.lit(f"{b}_share"), F.col("b_share"),
         F.lit("diff_share"), F.col("diff_share"),
     )
-    gaps = marts["competitive"].agg(map_of("bucket_label", gap_doc).alias("by_bucket"))
-    higher = marts["gap_lists"].select(
-        F.create_map(F.lit(a), F.col("higher_a"), F.lit(b), F.col("higher_b")).alias("higher")
-    )
-    # Two one-row aggregates side by side, joined on a constant key.
-    competitive = gaps.withColumn("_one", F.lit(1)).join(
-        higher.withColumn("_one", F.lit(1)), "_one"
+    gaps = marts["competitive"].agg(
+        map_of("bucket_label", gap_doc).alias("by_bucket"), *gap_list_columns(gap_points)
     )
+    higher = F.create_map(F.lit(a), F.col("higher_a"), F.lit(b), F.col("higher_b"))
+    competitive = F.first(F.struct("by_bucket", higher.alias("higher")))
 
     issues = marts["emerging"]
     order = F.struct(
@@ -156,7 +154,7 @@ def sections(
         _section(kpis, "kpis", map_of("brand", kpi)),
         _section(trend, "monthly_trend", map_of("brand", trend_doc)),
         _section(buckets, "bucket_analysis", map_of("brand", F.col("v"))),
-        _section(competitive, "competitive", F.first(F.struct("by_bucket", "higher"))),
+        _section(gaps, "competitive", competitive),
         _section(issues, "emerging", emerging),
         _section(rep, "rep_posts", map_of("brand", F.col("v"))),
     ]

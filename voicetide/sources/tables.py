@@ -61,7 +61,8 @@ def write_csv(posts: DataFrame, path: str) -> None:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = CLASSIFIED) -> DataFrame:
     """Read a post CSV.  Texts hold line breaks, so records span lines.
 
-    ``date`` is read as text and bad values become null.
+    ``date`` is read as text and bad values become null.  The null marker is a
+    character no text holds, so that a quoted empty string stays a string.
     """
     text_date = T.StructType(
         [T.StructField(f.name, T.StringType()) if f.name == "date" else f for f in schema.fields]
@@ -72,6 +73,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = CLASSIFIED)
         .option("multiLine", True)
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("nullValue", "\x01")
         .csv(path)
     )
     if "date" in rows.columns:

@@ -189,7 +189,7 @@ def _(spark, sf):
 @query("X11_detect_emerging_topics")
 def _(spark, sf):
     docs = ad.documents(spark, sf).select("doc_id", "text")
-    posts = materialise(cl.classify_posts(docs, DEFAULT_TX), "classified")
+    posts = materialise(cl.classify_posts(docs, DEFAULT_TX), "classified", ["bucket"])
     found = tp.detect_topics(posts, DEFAULT_TX.default.key)
     return found.select("doc_id", "bucket", "topic_label")
 

@@ -82,13 +82,14 @@ def dense_fill(cube: DataFrame, axes: Mapping[str, Sequence[Any]]) -> DataFrame:
 
 
 def group_sizes(posts: DataFrame) -> DataFrame:
-    """Counts by (brand, platform) and by (brand, bucket) in one pass."""
-    return (
-        posts.groupingSets(
-            [["brand", "platform"], ["brand", "bucket"]], "brand", "platform", "bucket"
-        )
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Counts by (brand, platform) and by (brand, bucket) in one pass.
+
+    Grouping sets copy every input row once per set, so they run on the counts
+    of the finest grouping instead of on the posts.
+    """
+    finest = posts.groupBy("brand", "platform", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    sets = [["brand", "platform"], ["brand", "bucket"]]
+    return finest.groupingSets(sets, "brand", "platform", "bucket").agg(F.sum("n").alias("n"))
 
 
 def source_mix(posts: DataFrame) -> DataFrame:

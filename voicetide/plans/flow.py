@@ -62,19 +62,18 @@ def unified_posts(
 def classified_posts(posts: DataFrame, taxonomy: Taxonomy, n_topics: int = 10) -> DataFrame:
     """Bucket, confidence, sentiment, flags and topic of every post.
 
-    Topics need passes over the default bucket, so the labelled posts are
-    written to the shared folder once and read back from there.
+    Topics need several passes over the default bucket, so the labelled posts
+    are written to the shared folder once, by bucket, and read back from there:
+    those passes then read no other bucket.
     """
-    labelled = label_posts(posts, taxonomy)
-    return detect_topics(
-        materialise(labelled, "labelled"), taxonomy.default.key, n_topics=n_topics
-    )
+    labelled = materialise(label_posts(posts, taxonomy), "labelled", ["bucket"])
+    return detect_topics(labelled, taxonomy.default.key, n_topics=n_topics)
 
 
-def materialise(rows: DataFrame, name: str) -> DataFrame:
+def materialise(rows: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write to the shared folder and read back: survives lost executors."""
     path = fresh_path(rows.sparkSession, name)
-    rows.write.parquet(path)
+    rows.write.partitionBy(*partition_by).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voicetide.operators.unions import union_all
 from voicetide.schema import RAW_SOURCES
 from voicetide.sources.paths import empty_frame, path_exists
 
@@ -32,22 +33,18 @@ def read_raw(
     of files, so a large brand lands as many files.  Missing paths give no rows.
     """
     _, schema = RAW_SOURCES[source]
-    found = {b: raw_path(root, b, source) for b in brands}
-    for brand, path in list(found.items()):
-        if not path_exists(spark, path):
+    reader = spark.read.schema(schema).option("multiLine", json_arrays)
+    frames = []
+    for brand in brands:
+        path = raw_path(root, brand, source)
+        if path_exists(spark, path):
+            # A constant brand lets Spark drop the other brands' filter rules.
+            frames.append(reader.json(path).withColumn("brand", F.lit(brand)))
+        else:
             log.warning("no landed data at %s", path)
-            del found[brand]
-    if not found:
+    if not frames:
         return empty_frame(spark, schema).withColumn("brand", F.lit(""))
-    reader = spark.read.schema(schema).option("multiLine", json_arrays)
-    items = reader.json(list(found.values()))
-    # The longest brand wins where one brand name starts another.
-    ordered = sorted(found, key=len, reverse=True)
-    file = F.col("_metadata.file_path")
-    brand = F.coalesce(
-        *[F.when(file.contains(f"/{b}_{source}.json"), F.lit(b)) for b in ordered]
-    )
-    return items.withColumn("brand", brand)
+    return union_all(frames)
 
 
 def write_raw(items: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

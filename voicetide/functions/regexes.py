@@ -28,6 +28,7 @@ FOLDS = {"İ": "i", "ı": "i", "ſ": "s", "K": "k"}
 
 _PLAIN = re.compile(r"[A-Za-z0-9 @,;:'/_.?*+()|-]+")
 _GUARD_LENGTH = 3
+_GROUP_FROM, _GROUP_LETTERS = 8, 5
 
 
 def fold(text: Column) -> Column:
@@ -68,6 +69,25 @@ def _guard(pattern: str) -> str:
     return f"(?={''.join(classes)})" if classes else ""
 
 
+def _arranged(pattern: str) -> str:
+    """The same alternation, tried in a few groups with a look-ahead each.
+
+    Alternatives that start with different letters never match at the same
+    place, so only the order among equal first letters has to be kept.
+    """
+    alternatives = _alternatives(pattern)
+    first = {a: _literal_prefix(a)[:1].lower() for a in alternatives}
+    letters = sorted(set(first.values()))
+    if letters[0] == "" or len(alternatives) <= _GROUP_FROM:
+        return pattern
+    groups = []
+    for start in range(0, len(letters), _GROUP_LETTERS):
+        chosen = letters[start:start + _GROUP_LETTERS]
+        part = "|".join(a for a in alternatives if first[a] in chosen)
+        groups.append(f"{_guard(part)}(?:{part})")
+    return "|".join(groups)
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """A list of patterns as one alternation.
@@ -83,7 +103,7 @@ class Lexicon:
     def of(cls, patterns: Iterable[str] | str) -> Lexicon:
         joined = patterns if isinstance(patterns, str) else "|".join(patterns)
         if _PLAIN.fullmatch(joined) and "(?" not in joined:
-            return cls(f"{ASCII_FLAGS}{_guard(joined)}(?:{joined})", True)
+            return cls(f"{ASCII_FLAGS}{_guard(joined)}(?:{_arranged(joined)})", True)
         return cls(FLAGS + joined, False)
 
 

@@ -98,4 +98,5 @@ def bucket_deep_dive(
     so the planner broadcasts by size without a hint.
     """
     months = trend.filter(F.col("brand") == brand).select("bucket_label", *calendar.names)
-    return gaps.join(plan, "bucket_label", "inner").join(months, "bucket_label", "left")
+    joined = gaps.join(plan, "bucket_label", "inner").join(months, "bucket_label", "left")
+    return joined.orderBy(F.desc("a_count"), "bucket_ord")

@@ -28,13 +28,26 @@ def test_no_python_and_no_cross_join(spark, small, name):
     assert not [word for word in FORBIDDEN if word in text]
 
 
-def test_top_posts_cut_before_the_shuffle(spark, small):
-    text = plan(tn.top_posts(ad.posts_orders(spark, small, platform=True)))
+def test_top_n_cuts_before_the_shuffle(spark, small):
+    posts = ad.posts_orders(spark, small).select("brand", "bucket", "id", "engagement")
+    text = plan(tn.top_n(posts, ["brand", "bucket"], [ad.F.desc("engagement"), ad.F.asc("id")], 8))
     assert text.count("WindowGroupLimit") == 4
     first = text[text.rindex("Exchange hashpartitioning(brand"):]
     assert "Partial" in first and "WindowGroupLimit" in first
 
 
+def test_top_posts_filter_before_ranking(spark, small):
+    orders = ad.posts_orders(spark, small).withColumn("platform", ad.F.lit("p"))
+    text = plan(tn.top_posts(orders))
+    join = text.index("BroadcastHashJoin [brand")
+    # Every sort of wide rows is above the join with the floors.
+    assert "SortMergeJoin" not in text
+    wide, narrow = text[:join], text[join:]
+    assert "Filter (isnull(_floor" in wide and "GlobalLimit 10000" in narrow
+    floors = narrow[narrow.index("BroadcastExchange"):]
+    assert "partial_max" in floors and "concat(order" not in floors
+
+
 def test_dedup_has_one_shuffle_and_a_local_limit(spark, small):
     posts = ad.posts_orders(spark, small, platform=False).withColumn("platform", ad.F.lit("p"))
     text = plan(dd.dedup_prefix(posts))

@@ -77,6 +77,27 @@ def test_top_n_against_brute_force(spark, salts):
     assert {(r.g, r.id, r.rn) for r in got} == want
 
 
+@pytest.mark.parametrize("spread_of_scores", [1, 3, 5000])
+def test_top_posts_against_brute_force(spark, spread_of_scores):
+    rng = random.Random(11)
+    rows = [
+        ("x" if rng.random() < 0.7 else "y", rng.choice("AB"),
+         None if rng.random() < 0.05 else rng.randrange(spread_of_scores), f"{i:04d}")
+        for i in range(1500)
+    ]
+    rows += [("z", "A", 5, "z1"), ("z", "A", None, "z2"), (None, "A", 1, "n1")]
+    # Many posts without an id share one part of the floor.
+    rows += [("w", "A", i, "") for i in range(40)]
+    frame = spark.createDataFrame(rows, "brand string, bucket string, engagement bigint, id string")
+    got = tn.top_posts(frame.repartition(5), 8, columns=("id", "engagement")).collect()
+    want = []
+    for group in {r[:2] for r in rows}:
+        mine = [r for r in rows if r[:2] == group]
+        mine.sort(key=lambda r: (r[2] is None, -(r[2] or 0), r[3]))
+        want += [(*r[:2], r[3], r[2], i + 1) for i, r in enumerate(mine[:8])]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
 def test_focus_rule(spark):
     rule = FocusRule("Acme", ("garden", "shop floor"), ("order",))
     rows = spark.createDataFrame([

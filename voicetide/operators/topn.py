@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 64
+PARTS = 256
+MAX_FLOORS = 10_000
 
 
 def top_n(
@@ -38,16 +40,45 @@ def top_n(
     return rows.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
+def above_floor(
+    rows: DataFrame, keys: Sequence[str], value: str, row_key: str, n: int
+) -> DataFrame:
+    """Rows that can be among the ``n`` largest of their group, by hash aggregation only.
+
+    Rows fall into ``PARTS`` parts per group by a hash of their key.  The parts'
+    maxima belong to different rows, so the n-th largest of them is a floor
+    that at least ``n`` rows reach.  A group without a floor keeps all rows,
+    which also makes the limit safe that bounds the broadcast.
+    """
+    maxima = rows.groupBy(*keys, F.pmod(F.xxhash64(row_key), F.lit(PARTS)).alias("_part")).agg(
+        F.max(value).alias("_floor")
+    )
+    by_size = Window.partitionBy(*keys).orderBy(F.desc("_floor"))
+    floors = (
+        maxima.withColumn("_rn", F.row_number().over(by_size))
+        .filter(F.col("_rn") == n)
+        .select(*keys, "_floor")
+        .limit(MAX_FLOORS)
+    )
+    reached = F.col("_floor").isNull() | (F.col(value) >= F.col("_floor"))
+    return rows.join(F.broadcast(floors), list(keys), "left").filter(reached).drop("_floor")
+
+
 def top_posts(
     posts: DataFrame,
     n: int = 8,
     keys: Sequence[str] = ("brand", "bucket"),
     columns: Sequence[str] = ("id", "text", "platform", "date", "engagement", "sentiment", "url"),
 ) -> DataFrame:
-    """Most engaging posts per group, ties by id."""
+    """Most engaging posts per group, ties by id.
+
+    Wide rows are not sorted: a narrow pass finds each group's floor, and only
+    the posts that reach it are ranked.
+    """
     wanted = list(dict.fromkeys([*keys, *columns]))
+    rows = above_floor(posts.select(*wanted), keys, "engagement", "id", n)
     return top_n(
-        posts.select(*wanted), keys, [F.col("engagement").desc(), F.col("id").asc()], n
+        rows.select(*wanted), keys, [F.col("engagement").desc(), F.col("id").asc()], n
     )
 
 

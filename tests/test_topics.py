@@ -87,6 +87,19 @@ def test_posts_without_terms_are_misc(spark):
     assert [r[0] for r in got] == ["misc"]
 
 
+def test_clusters_are_the_nearest_centres(spark):
+    rng = random.Random(2)
+    halves = [("late", "rider", "delay"), ("soup", "cold", "taste")]
+    docs = [(i, " ".join(rng.choices(halves[i % 2], k=8))) for i in range(60)]
+    rows = spark.createDataFrame(docs, "i int, text string")
+    model = tp.fit_topics(rows, len(docs), n_topics=2)
+    centres = model.clusters.clusterCenters()
+    assert len(centres) == 2 and len(model.labels) == 2
+    for row in model.clusters.transform(model.weights.transform(rows)).collect():
+        away = [sum((a - b) ** 2 for a, b in zip(row.features.toArray(), c)) for c in centres]
+        assert row._cluster == away.index(min(away))
+
+
 def test_topic_count():
     assert [tp.topic_count(n) for n in (20, 25, 45, 1000)] == [5, 6, 10, 10]
 

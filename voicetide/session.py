@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,22 +28,31 @@ def local_session(cores: str = "*", app: str = "voicetide", **extra: str) -> Spa
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder for written intermediates.
 
-    The cluster names it in ``spark.checkpoint.dir``.  A temporary folder is
-    used only in local mode, where the driver and the executors are one process.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a
+    folder below the warehouse serves, which all executors reach as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_folder(spark.sparkContext.applicationId)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediates"
 
 
-@functools.cache
-def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"voicetide-{application_id}-")
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder; never reused, so retries are safe.
+
+    Returned frames read these folders lazily, so they live as long as the
+    application: ``release`` drops them all when its results are stored.
+    """
+    return f"{shared_folder(spark).rstrip('/')}/{_home(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder; never reused, so retries are safe."""
-    return f"{shared_folder(spark).rstrip('/')}/voicetide/{name}-{uuid.uuid4().hex}"
+def release(spark: SparkSession) -> None:
+    """Delete every written intermediate of this library in the shared folder.
+
+    Call it when no frame made before is read any more.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/{_home(spark)}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _home(spark: SparkSession) -> str:
+    return f"voicetide-{spark.sparkContext.applicationId}"

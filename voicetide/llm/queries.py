@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voicetide.llm import packing, quality
+from voicetide.llm import packing, quality, toxicity, warc
 from voicetide.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
 
@@ -20,5 +24,35 @@ def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.digest(packing.pieces(table(spark, sf, "documents")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_quality, op5_packing)}
-ORACLES: dict[str, str] = {}
+def op8_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP8_SQL = """WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages),
+h AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex,
+    min(page_id) OVER (PARTITION BY payload) AS first_id FROM p),
+b AS (
+  SELECT *, array_to_string([
+    substr('0000000100100011010001010110011110001001101010111100110111101111',
+      4 * instr('0123456789abcdef', c) - 3, 4) FOR c IN string_split(hex, '')], '') AS bits FROM h)
+SELECT page_id, payload_bytes, array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+      16 * CAST(substr(bits, CAST(5 * i + 1 AS INT), 1) AS INT)
+      + 8 * CAST(substr(bits, CAST(5 * i + 2 AS INT), 1) AS INT)
+      + 4 * CAST(substr(bits, CAST(5 * i + 3 AS INT), 1) AS INT)
+      + 2 * CAST(substr(bits, CAST(5 * i + 4 AS INT), 1) AS INT)
+      + CAST(substr(bits, CAST(5 * i + 5 AS INT), 1) AS INT) AS INT), 1) FOR i IN range(0, 32)], '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first_id OR first_id IS NULL THEN 'response'
+    ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM b"""
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f for f in (op2_toxicity, op4_quality, op5_packing, op8_warc)
+}
+ORACLES: dict[str, str] = {"op8_warc": OP8_SQL}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voicetide.llm import packing, quality, toxicity, warc
+from voicetide.llm import neighbours, packing, quality, toxicity, url_filter, warc
 from voicetide.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +53,100 @@ SELECT page_id, payload_bytes, array_to_string([
 FROM b"""
 
 
+def op9_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, sf, "embeddings"))
+
+
+# DuckDB's list functions on FLOAT[] work in single precision, so the vectors are cast first.
+OP9_SQL = """WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
+    list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x)) AS n
+  FROM embeddings),
+ok AS (SELECT * FROM v WHERE n > 0 AND isfinite(n) AND len(list_filter(e, lambda x: x IS NULL)) = 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e) AND list_dot_product(a.e, b.e) >= 0.9 * sqrt(a.n) * sqrt(b.n)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS low FROM r GROUP BY a),
+d AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(d.n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM v LEFT JOIN d ON d.a = vec_id LEFT JOIN c ON c.a = vec_id"""
+
+
+def fetched(pages: DataFrame) -> DataFrame:
+    """Pages as captures: the table has no fetch time, so the id gives one in 2024."""
+    seconds = F.pmod(F.col("page_id") * 86_413, F.lit(366 * 86_400))
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    return pages.select("page_id", "url", F.timestamp_add("SECOND", seconds, start).alias("fetched_at"))
+
+
+def list_log(pages: DataFrame) -> DataFrame:
+    """Dated list entries made from the hosts of the pages, by digits of an md5.
+
+    Four per host: list, action, date in 2023 or 2024, and whether the host or
+    the domain above it is named.
+    """
+    hosts = pages.select(url_filter.host(F.col("url")).alias("host")).filter("host IS NOT NULL")
+    made = hosts.distinct().select("host", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k"))
+    made = made.withColumn("h", F.md5(F.concat("host", F.lit("/"), F.col("k").cast("string")).cast("binary")))
+
+    def digits(start: int, n: int):
+        return F.conv(F.substring("h", start, n), 16, 10).cast("int")
+
+    start = F.lit("2023-07-01 00:00:00").cast("timestamp_ntz")
+    return made.select(
+        F.concat(F.lit("list"), (digits(1, 2) % 5).cast("string")).alias("list"),
+        F.when(digits(3, 2) % 4 == 0, F.try_element_at(url_filter.above(F.col("host")), F.lit(2)))
+        .otherwise(F.col("host")).alias("domain"),
+        F.element_at(F.array(F.lit("block"), F.lit("allow"), F.lit("remove")), digits(5, 2) % 3 + 1)
+        .alias("action"),
+        F.timestamp_add("HOUR", digits(7, 4) % 12_000, start).alias("effective_at"),
+    )
+
+
+def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    return url_filter.judge(fetched(pages), list_log(pages)).select(
+        "page_id", "host", "fetched_at", "n_lists", "n_blocking", "blocked_by", "blocked"
+    )
+
+
+OP10_SQL = r"""WITH cap AS (
+  SELECT page_id, nullif(rtrim(regexp_extract(lower(trim(url)),
+      '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '.'), '') AS host,
+    TIMESTAMP '2024-01-01' + to_seconds((page_id * 86413) % (366 * 86400)) AS fetched_at FROM pages),
+hk AS (
+  SELECT host, md5(host || '/' || k) AS h FROM (SELECT DISTINCT host FROM cap WHERE host IS NOT NULL),
+    range(0, 4) t(k)),
+ent AS (
+  SELECT 'list' || (CAST('0x' || substr(h, 1, 2) AS INT) % 5) AS list,
+    CASE WHEN CAST('0x' || substr(h, 3, 2) AS INT) % 4 = 0
+      THEN CASE WHEN contains(host, '.') THEN substr(host, instr(host, '.') + 1) END
+      ELSE host END AS domain,
+    [2, 1, 0][CAST('0x' || substr(h, 5, 2) AS INT) % 3 + 1] AS code,
+    TIMESTAMP '2023-07-01' + to_hours(CAST('0x' || substr(h, 7, 4) AS INT) % 12000) AS valid_from
+  FROM hk),
+lg AS (SELECT list, domain, valid_from, max(code) AS code FROM ent WHERE domain IS NOT NULL GROUP BY ALL),
+iv AS (SELECT *, lead(valid_from) OVER (PARTITION BY list, domain ORDER BY valid_from) AS valid_to FROM lg),
+dom AS (
+  SELECT page_id, fetched_at, array_to_string(string_split(host, '.')[i:], '.') AS domain
+  FROM cap, range(1, 12) t(i) WHERE i <= len(string_split(host, '.'))),
+hit AS (
+  SELECT page_id, list, arg_max(code, length(domain)) AS code
+  FROM dom JOIN iv USING (domain)
+  WHERE code > 0 AND fetched_at >= valid_from AND (valid_to IS NULL OR fetched_at < valid_to)
+  GROUP BY ALL),
+res AS (
+  SELECT page_id, count(*) AS n_lists, count(*) FILTER (code = 2) AS n_blocking,
+    min(list) FILTER (code = 2) AS blocked_by FROM hit GROUP BY page_id)
+SELECT page_id, host, fetched_at, coalesce(n_lists, 0) AS n_lists,
+  coalesce(n_blocking, 0) AS n_blocking, blocked_by, coalesce(n_blocking, 0) > 0 AS blocked
+FROM cap LEFT JOIN res USING (page_id)"""
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_toxicity, op4_quality, op5_packing, op8_warc)
+    f.__name__: f
+    for f in (op2_toxicity, op4_quality, op5_packing, op8_warc, op9_embeddings, op10_url_filter)
 }
-ORACLES: dict[str, str] = {"op8_warc": OP8_SQL}
+ORACLES: dict[str, str] = {"op8_warc": OP8_SQL, "op9_embeddings": OP9_SQL, "op10_url_filter": OP10_SQL}

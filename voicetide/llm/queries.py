@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voicetide.llm import neighbours, packing, quality, toxicity, url_filter, warc
+from voicetide.llm import lm, neighbours, packing, quality, toxicity, url_filter, warc
 from voicetide.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op3_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score(table(spark, sf, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
 
@@ -147,6 +151,6 @@ FROM cap LEFT JOIN res USING (page_id)"""
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_toxicity, op4_quality, op5_packing, op8_warc, op9_embeddings, op10_url_filter)
+    for f in (op2_toxicity, op3_lm, op4_quality, op5_packing, op8_warc, op9_embeddings, op10_url_filter)
 }
 ORACLES: dict[str, str] = {"op8_warc": OP8_SQL, "op9_embeddings": OP9_SQL, "op10_url_filter": OP10_SQL}

@@ -51,11 +51,14 @@ def free_name(rows: DataFrame, name: str) -> str:
 
 
 def slices(batch: pa.RecordBatch, sized: int) -> Iterator[pa.RecordBatch]:
-    """A batch in pieces of bounded rows and bytes of one text column.
+    """A batch in pieces of bounded rows and bytes of one text or list column.
 
     A text longer than the bound is a piece of its own: texts are never cut.
     """
-    sizes = pc.fill_null(pc.binary_length(batch.column(sized)), 0).to_numpy(zero_copy_only=False)
+    column = batch.column(sized)
+    lists = pa.types.is_list(column.type)
+    length = pc.multiply(pc.list_value_length(column), 8) if lists else pc.binary_length(column)
+    sizes = pc.fill_null(length, 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
     start = 0
     while start < batch.num_rows:
@@ -96,8 +99,10 @@ def add_columns(
                 if parents is not None:
                     index = pa.array(parents, pa.int64())
                     passed = [c.take(index) for c in passed]
-                new = [pa.array(c, type=arrow.field(len(kept) + i).type) for i, c in enumerate(made)]
-                columns = [c.cast(arrow.field(i).type) for i, c in enumerate(passed)] + new
+                columns = [
+                    (c if isinstance(c, pa.Array) else pa.array(c, f.type)).cast(f.type)
+                    for c, f in zip([*passed, *made], arrow, strict=True)
+                ]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return source.mapInArrow(run, schema)

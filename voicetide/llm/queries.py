@@ -7,12 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voicetide.llm import lm, neighbours, packing, quality, toxicity, url_filter, warc
+from voicetide.llm import lm, merge_dropout, neighbours, packing, quality, toxicity, url_filter, warc
 from voicetide.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_merge_dropout(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    decoded = merge_dropout.decode(
+        merge_dropout.encode(docs, ["doc_id", "text"]), ["doc_id", "text", "pieces"]
+    )
+    return decoded.select(
+        "doc_id", F.size("pieces").alias("n_pieces"), "pieces",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -151,6 +162,6 @@ FROM cap LEFT JOIN res USING (page_id)"""
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_toxicity, op3_lm, op4_quality, op5_packing, op8_warc, op9_embeddings, op10_url_filter)
+    for f in (op1_merge_dropout, op2_toxicity, op3_lm, op4_quality, op5_packing, op8_warc, op9_embeddings, op10_url_filter)
 }
 ORACLES: dict[str, str] = {"op8_warc": OP8_SQL, "op9_embeddings": OP9_SQL, "op10_url_filter": OP10_SQL}

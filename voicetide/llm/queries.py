@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voicetide.llm import lm, merge_dropout, neighbours, packing, quality, toxicity, url_filter, warc
+from voicetide.llm import line_templates, lm, merge_dropout, neighbours, packing, quality, toxicity, url_filter, warc
 from voicetide.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,57 @@ def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.digest(packing.pieces(table(spark, sf, "documents")))
 
 
+def op7_line_templates(spark: SparkSession, sf: str) -> DataFrame:
+    return line_templates.dedup(table(spark, sf, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", "text"
+    )
+
+
+OP7_SQL = r"""WITH tx AS (
+  SELECT DISTINCT text AS h, coalesce(
+    list_min([md5(w) FOR w IN regexp_split_to_array(text, '[ \t\r\n\f\x0B]+') IF length(w) >= 8]),
+    md5(text)) AS sketch
+  FROM documents WHERE text IS NOT NULL),
+ln AS (
+  SELECT h, sketch, trim(regexp_replace(raw, '[ \t\r\f\x0B]+', ' ', 'g'), ' ') AS spaced
+  FROM (SELECT h, sketch, unnest(string_split(h, chr(10))) AS raw FROM tx)),
+ms AS (
+  SELECT h, sketch, line, string_split(line, ' ') AS tok FROM (
+    SELECT h, sketch, regexp_replace(spaced, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line FROM ln)
+  WHERE line <> ''),
+pl AS (SELECT DISTINCT h, sketch, line, tok, len(tok) AS n, (len(tok), tok[1:3]) AS leaf
+  FROM ms WHERE len(tok) >= 3),
+ex AS (
+  SELECT line FROM pl GROUP BY line HAVING count(*) >= 3 AND count(DISTINCT sketch) >= 3
+    AND count(DISTINCT sketch) >= 0.25 * count(*)),
+rare AS (SELECT line, tok, leaf, n, count(*) AS texts FROM pl WHERE n >= 6
+  GROUP BY ALL HAVING count(*) < 3),
+wt AS (SELECT * FROM rare WHERE leaf IN (SELECT leaf FROM rare GROUP BY leaf HAVING sum(texts) >= 3)),
+tk AS (SELECT line, leaf, n, texts, unnest(range(1, n + 1)) AS pos, unnest(tok) AS token FROM wt),
+ct AS (SELECT leaf, pos, token FROM tk WHERE token <> '<*>' GROUP BY ALL HAVING sum(texts) >= 3),
+sh AS (
+  SELECT line, leaf, n, list((pos, token) ORDER BY pos) AS kept FROM tk JOIN ct USING (leaf, pos, token)
+  GROUP BY ALL HAVING count(*) >= 0.7 * n),
+tp AS (
+  SELECT leaf, kept FROM (SELECT DISTINCT leaf, kept, h, sketch FROM sh JOIN pl USING (line, leaf))
+  GROUP BY ALL HAVING count(*) >= 3 AND count(DISTINCT sketch) >= 3
+    AND count(DISTINCT sketch) >= 0.25 * count(*)),
+bad AS (SELECT line FROM ex UNION SELECT line FROM sh JOIN tp USING (leaf, kept)),
+ow AS (
+  SELECT doc_id, text, i, raw, regexp_replace(trim(regexp_replace(raw, '[ \t\r\f\x0B]+', ' ', 'g'), ' '),
+    '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line
+  FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i,
+    unnest(string_split(text, chr(10))) AS raw FROM documents WHERE text IS NOT NULL)),
+rs AS (
+  SELECT doc_id, count(*) FILTER (line <> '') AS n_lines,
+    count(*) FILTER (bad.line IS NOT NULL) AS n_dropped,
+    coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (bad.line IS NULL), '') AS text
+  FROM ow LEFT JOIN bad USING (line) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INT) AS n_lines,
+  CAST(coalesce(n_dropped, 0) AS INT) AS n_dropped, rs.text
+FROM documents d LEFT JOIN rs USING (doc_id)"""
+
+
 def op8_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(table(spark, sf, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -162,6 +213,6 @@ FROM cap LEFT JOIN res USING (page_id)"""
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_merge_dropout, op2_toxicity, op3_lm, op4_quality, op5_packing, op8_warc, op9_embeddings, op10_url_filter)
+    for f in (op1_merge_dropout, op2_toxicity, op3_lm, op4_quality, op5_packing, op7_line_templates, op8_warc, op9_embeddings, op10_url_filter)
 }
-ORACLES: dict[str, str] = {"op8_warc": OP8_SQL, "op9_embeddings": OP9_SQL, "op10_url_filter": OP10_SQL}
+ORACLES: dict[str, str] = {"op7_line_templates": OP7_SQL, "op8_warc": OP8_SQL, "op9_embeddings": OP9_SQL, "op10_url_filter": OP10_SQL}

@@ -44,6 +44,18 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def hash_sample(rows: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
+    """The rows with the smallest hashes of ``keys``, at most ``most``.
+
+    A share of the hash range that surely holds enough rows is cut first, so the
+    tasks together send little more than ``most`` rows, however many they are.
+    """
+    n = rows.count()
+    share = min(1.0, (most + 8 * most**0.5 + 8) / max(n, 1))
+    place = F.shiftrightunsigned(F.xxhash64(*keys), 11) / float(2**53)
+    return rows.filter(place < share).orderBy(place, *keys).limit(most)
+
+
 def free_name(rows: DataFrame, name: str) -> str:
     """A column name that ``rows`` does not have."""
     taken = {c.lower() for c in rows.columns}

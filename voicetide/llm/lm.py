@@ -290,6 +290,23 @@ def with_values(
     )
 
 
+def most_frequent(values: DataFrame, most: int) -> pa.Table:
+    """The words down to the count at which they are still no more than ``most``.
+
+    The count comes from a histogram, so only those words leave the executors.
+    """
+    sizes = values.groupBy(F.floor(8 * F.log2(1 + F.col("c"))).alias("k")).count().collect()
+    total, least = 0, None
+    for k, n in sorted(((r.k, r["count"]) for r in sizes), reverse=True):
+        total += n
+        if total > most:
+            break
+        least = k
+    if least is None:
+        return values.limit(0).toArrow()
+    return values.filter(F.floor(8 * F.log2(1 + F.col("c"))) >= least).toArrow()
+
+
 SCANNED = (
     "row long, doc_id long, held_out boolean, n_tokens long, word binary, n long, "
     "known long, base double, lp array<double>"
@@ -349,7 +366,7 @@ def score(docs: DataFrame, path: str | None = None, head_words: int = HEAD_WORDS
     table = base.written(word_table(docs, langs), "words")
     sums = totals(table, docs, langs)
     values = base.written(with_values(table, train(table, models, path), sums, path), "values")
-    head = values.orderBy(F.desc("c"), "word").limit(head_words).toArrow()
+    head = most_frequent(values, head_words)
     scanned = base.written(scan(docs, head, models), "scanned")
     n = F.col("n")
     others = (

@@ -1,25 +1,48 @@
-"""The corpus pipeline: five stages, each written as Parquet and read by the next."""
+"""The corpus pipeline: five stages, each written as Parquet and read by the next.
+
+Toxic documents go, then documents of low quality, then lines that recur across
+documents, then near copies but one of each group; what is left is packed.
+Every stage but the last returns the columns it was given.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from voicetide.llm import base, line_templates, packing, prob_minhash, quality, toxicity
 
-from voicetide.llm import base, packing, quality
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.keep_clean(docs, base.table(spark, sf_dir, "labels"))
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_clean(docs)
 
 
+def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cleaned = line_templates.dedup(docs)
+    shorter = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return cleaned.withColumn("n_chars", shorter.cast("long")).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return prob_minhash.keep_first(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pieces(docs))
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("quality", drop_low_quality),
+    ("line_dedup", drop_recurring_lines),
+    ("near_dedup", drop_near_copies),
     ("packing", pack),
 ]
-#: Tokenising and the robust estimates have no SQL form; tests use brute force.
+#: Model fits, sketches and tokenising have no SQL form; the tests use brute force.
 ORACLE_SQL = None
 
 

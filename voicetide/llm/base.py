@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +35,26 @@ def id_crc(name: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python tasks import this package where it lies, as on a shared installation.
+
+    A cluster without one gets the package by ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def written(rows: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
+    importable(rows.sparkSession)
     path = fresh_path(rows.sparkSession, name)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
@@ -96,6 +112,7 @@ def add_columns(
     """
     if isinstance(added, str):
         added = T.StructType.fromDDL(added)
+    importable(rows.sparkSession)
     wanted = list(dict.fromkeys([*keep, *inputs]))
     source = rows.select(*wanted)
     schema = T.StructType([*source.select(*keep).schema.fields, *added.fields])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voicetide.llm import line_templates, lm, merge_dropout, neighbours, packing, quality, toxicity, url_filter, warc
+from voicetide.llm import line_templates, lm, merge_dropout, neighbours, packing, prob_minhash, quality, toxicity, url_filter, warc
 from voicetide.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.digest(packing.pieces(table(spark, sf, "documents")))
 
 
+def op6_prob_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = prob_minhash.classify(table(spark, sf, "documents"))
+    return found.select("doc_id", "class_id", "kept")
+
+
 def op7_line_templates(spark: SparkSession, sf: str) -> DataFrame:
     return line_templates.dedup(table(spark, sf, "documents")).select(
         "doc_id", "n_lines", "n_dropped", "text"
@@ -213,6 +218,6 @@ FROM cap LEFT JOIN res USING (page_id)"""
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_merge_dropout, op2_toxicity, op3_lm, op4_quality, op5_packing, op7_line_templates, op8_warc, op9_embeddings, op10_url_filter)
+    for f in (op1_merge_dropout, op2_toxicity, op3_lm, op4_quality, op5_packing, op6_prob_minhash, op7_line_templates, op8_warc, op9_embeddings, op10_url_filter)
 }
 ORACLES: dict[str, str] = {"op7_line_templates": OP7_SQL, "op8_warc": OP8_SQL, "op9_embeddings": OP9_SQL, "op10_url_filter": OP10_SQL}

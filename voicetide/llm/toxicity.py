@@ -26,7 +26,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voicetide.llm import base
@@ -284,7 +284,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def keep_clean(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents scored below one half, with the columns they came with."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
     scored = score(rows, fit(docs, labels), ["_row"], passages=False)

@@ -122,7 +122,8 @@ class Model:
         return [(a, b, s, math.exp(min(bound - s, 50.0))) for a, b, s in found if s > bound]
 
     def excess(self, n: int, found: list[tuple[int, int, float]]) -> float:
-        return -sum(math.log(e) for *_, e in self.significant(n, found))
+        bound = self.log_k + math.log(max(n, 1))
+        return sum(s - bound for _, _, s in found if s > bound)
 
     def probability(self, excess: float) -> float:
         return 1 / (1 + math.exp(-(self.intercept + self.slope * math.log1p(excess))))

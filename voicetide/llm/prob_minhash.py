@@ -329,7 +329,7 @@ def classify(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return chosen.select(
         "doc_id", "key",
         F.when(F.col("_f").isNull(), F.col("doc_id")).otherwise(F.col("_f.id")).alias("class_id"),
-        F.coalesce(mine, F.lit(True)).alias("kept"),
+        F.when(F.col("_f").isNull(), F.lit(True)).otherwise(mine).alias("kept"),
     )
 
 

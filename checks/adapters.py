@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from voicetide.config import Bucket, Calendar, Taxonomy
 from voicetide.operators.normalise import add_month_columns
-from voicetide.sources.tables import spread
 
 ORDER_BRANDS = ("F", "O", "P")
 PAIR = ("F", "O")
@@ -158,7 +157,8 @@ gp AS (SELECT *, round_even(a_share - b_share, 1) AS diff_share FROM ps)"""
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents"))
+    # the file layout decides how many tasks run the regexes
+    return table(spark, sf, "documents")
 
 
 def posts_docs(spark: SparkSession, sf: str) -> DataFrame:

@@ -221,10 +221,7 @@ def emerging(spark, sf):
   (ORDER BY coalesce(growth_pct, 0) DESC, type, issue) AS rank FROM ei""",
     PO, DIMS, MONTHLY, TOPICS_SQL, SPIKES_SQL, EMERGING_SQL))
 def _(spark, sf):
-    issues = emerging(spark, sf).withColumn("growth", F.coalesce("growth_pct", F.lit(0.0)))
-    # At most five topics and one spike per brand and bucket reach this window.
-    window = Window.partitionBy().orderBy(F.desc("growth"), "type", "issue")
-    return issues.withColumn("rank", F.row_number().over(window)).drop("growth")
+    return em.ranked(emerging(spark, sf), rank="rank")
 
 
 @query("A16_sentiment_distribution", with_sql(

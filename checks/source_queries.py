@@ -307,7 +307,29 @@ def _(spark, sf):
     "CASE WHEN brand = 'en' THEN engagement END AS retweets FROM pd", PD))
 def _(spark, sf):
     items = read_landed(spark, sf, "twitter")
-    return items.select("brand", "text", F.col("retweetCount").alias("retweets"))
+    retweets = F.try_variant_get(F.col("retweetCount"), "$", "bigint")
+    return items.select("brand", "text", retweets.alias("retweets"))
+
+
+@query("S1_counts_as_landed", """SELECT CAST(event_id AS VARCHAR) AS id,
+  CASE event_id % 5 WHEN 4 THEN 0 ELSE user_id END AS likes,
+  CASE event_id % 5 WHEN 3 THEN 3000 ELSE 0 END AS retweets,
+  CASE event_id % 5 WHEN 3 THEN user_id + 3000 WHEN 4 THEN 0 ELSE user_id END AS engagement
+FROM events WHERE event_id % 7 <> 6""")
+def _(spark, sf):
+    """Counts as 12, 12.0, "12", 3e3 and null; each seventh line is broken and set aside."""
+    n, id_ = F.col("user_id").cast("string"), F.col("event_id").cast("string")
+    forms = [n, F.concat(n, F.lit(".0")), F.concat(F.lit('"'), n, F.lit('"')),
+             F.concat(n, F.lit(', "retweetCount": 3e3')), F.lit("null")]
+    count = F.element_at(F.array(*forms), (F.col("event_id") % 5 + 1).cast("int"))
+    line = F.concat(F.lit('{"id": "'), id_, F.lit('", "likeCount": '), count, F.lit("}"))
+    broken = F.col("event_id") % 7 == 6
+    root = fresh_path(spark, "landed")
+    ad.table(spark, sf, "events").select(
+        F.when(broken, F.concat(F.lit("{"), line)).otherwise(line).alias("value")
+    ).write.text(rj.raw_path(root, "en", "twitter"))
+    items = rj.read_raw(spark, root, ["en"], "twitter", False, quarantine=f"{root}/broken")
+    return nm.NORMALISERS["twitter"](items).select("id", "likes", "retweets", "engagement")
 
 
 @query("S2_raw_json_sink", with_sql("SELECT brand, platform, id, text, likes FROM pd", PD))
@@ -372,6 +394,19 @@ def _(spark, sf):
         "id", "brand", "platform", "date", "engagement", "bucket", "confidence")
 
 
+@query("S7_csv_by_name", """SELECT CAST(event_id AS VARCHAR) AS id, event_type AS text, user_id AS likes,
+  CAST(NULL AS VARCHAR) AS brand FROM events""")
+def _(spark, sf):
+    """Columns in another order, one unknown, one absent, counts written as 12.0."""
+    path = fresh_path(spark, "csv")
+    tb.write_csv(ad.table(spark, sf, "events").select(
+        F.concat(F.col("user_id").cast("string"), F.lit(".0")).alias("likes"),
+        F.lit("x").alias("unknown"), F.col("event_type").alias("text"),
+        F.col("event_id").cast("string").alias("id"),
+    ), path)
+    return tb.read_csv(spark, path).select("id", "text", "likes", "brand")
+
+
 def written_document(spark, sf):
     """Reports of the orders as one document, read back."""
     path = fresh_path(spark, "analytics")

@@ -194,9 +194,11 @@ def _(spark, sf):
     return found.select("doc_id", "bucket", "topic_label")
 
 
-@query("X12_full_shuffle", "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS brand FROM orders")
+@query("X12_full_shuffle", """SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS brand,
+  md5(CAST(o_orderkey AS VARCHAR) || '/42') AS place FROM orders""")
 def _(spark, sf):
-    return tn.seeded_shuffle(ad.posts_orders(spark, sf).select("id", "brand"))
+    shuffled = tn.seeded_shuffle(ad.posts_orders(spark, sf).select("id", "brand"))
+    return shuffled.withColumn("place", tn.shuffle_place())
 
 
 # --- filters ----------------------------------------------------------------
@@ -252,15 +254,26 @@ def _(spark, sf):
     return fl.keyword_in_window(ad.posts_docs(spark, sf), "the", *ad.WINDOW).select("id", "brand")
 
 
-@query("F10_empty_guard", with_sql("""SELECT 'text' AS missing, count(*) AS posts FROM pd
-  WHERE text IS NULL UNION ALL SELECT 'keyword', count(*) FROM pd
+EMPTY_COLUMNS = (
+    "id string, platform string, brand string, text string, date timestamp_ntz, url string, "
+    "engagement bigint, likes bigint"
+)
+
+
+@query("F10_empty_guard", with_sql(f"""SELECT 'text' AS missing, count(*) AS posts,
+  '{EMPTY_COLUMNS}' AS columns FROM pd WHERE text IS NULL
+  UNION ALL SELECT 'keyword', count(*), '{EMPTY_COLUMNS}' FROM pd
   WHERE contains(lower(text), 'no such keyword')""", PD))
 def _(spark, sf):
     posts = ad.posts_docs(spark, sf)
 
     def through(empty, missing):
         found = dd.dedup_prefix(fl.date_window(fl.focus_filter(empty, RULES), *ad.WINDOW))
-        return found.agg(F.lit(missing).alias("missing"), F.count(F.lit(1)).alias("posts"))
+        columns = ", ".join(f"{name} {kind}" for name, kind in found.dtypes)
+        return found.agg(
+            F.lit(missing).alias("missing"), F.count(F.lit(1)).alias("posts"),
+            F.lit(columns).alias("columns"),
+        )
 
     no_text = through(posts.filter(F.col("text").isNull()), "text")
     no_word = through(fl.keyword_filter(posts, "No such keyword"), "keyword")
@@ -324,9 +337,9 @@ def _(spark, sf):
 FROM events GROUP BY event_type""")
 def _(spark, sf):
     events = ad.table(spark, sf, "events")
-    kinds = ("error", "click", "view")
-    batches = [events.filter(F.col("event_type") == k) for k in kinds]
-    batches.append(events.filter(~F.col("event_type").isin(*kinds)))
+    # batches by digits of the id, so that none of them depends on the event type
+    part = F.coalesce(F.col("event_id") % 4, F.lit(0))
+    batches = [events.filter(part == k) for k in range(4)]
     return un.union_all(batches).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
 

@@ -4,8 +4,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as registry
 from checks import adapters as ad
+from checks import load
 from voicetide.lexicons import default_taxonomy
 from voicetide.operators import classify as cl
 from voicetide.operators import cube as cb
@@ -22,9 +22,9 @@ def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(load().QUERIES))
 def test_no_python_and_no_cross_join(spark, small, name):
-    text = plan(registry.queries()[name](spark, small))
+    text = plan(load().QUERIES[name](spark, small))
     assert not [word for word in FORBIDDEN if word in text]
 
 
@@ -39,13 +39,20 @@ def test_top_n_cuts_before_the_shuffle(spark, small):
 def test_top_posts_filter_before_ranking(spark, small):
     orders = ad.posts_orders(spark, small).withColumn("platform", ad.F.lit("p"))
     text = plan(tn.top_posts(orders))
-    join = text.index("BroadcastHashJoin [brand")
-    # Every sort of wide rows is above the join with the floors.
-    assert "SortMergeJoin" not in text
-    wide, narrow = text[:join], text[join:]
-    assert "Filter (isnull(_floor" in wide and "GlobalLimit 10000" in narrow
-    floors = narrow[narrow.index("BroadcastExchange"):]
-    assert "partial_max" in floors and "concat(order" not in floors
+    # No limit and no hint: Spark sizes the floors, and ranking sees filtered rows only.
+    assert "GlobalLimit" not in text and "Filter (isnull(_floor" in text
+    assert "partial_max" in text
+    assert text.index("WindowGroupLimit") < text.index("Filter (isnull(_floor")
+
+
+@pytest.mark.parametrize("n", [8, 300])
+def test_floors_hold_for_many_groups_and_many_rows(spark, n):
+    groups = spark.range(12_000).selectExpr("id % 6000 AS brand", "id AS bucket", "id", "id AS engagement")
+    one = spark.range(5_000).selectExpr("-1L AS brand", "0L AS bucket", "id + 20000 AS id", "id AS engagement")
+    kept = tn.above_floor(groups.union(one), ["brand", "bucket"], "engagement", "id", n)
+    big = kept.filter("brand = -1")
+    assert kept.count() - big.count() == 12_000
+    assert n <= big.count() < 2_000 and big.agg({"engagement": "max"}).first()[0] == 4_999
 
 
 def test_dedup_has_one_shuffle_and_a_local_limit(spark, small):

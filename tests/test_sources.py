@@ -130,9 +130,3 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     land("b", [{"id": "3", "text": "three", "createdAt": "old"}])
     assert sorted(r.id for r in ingest()) == ["1", "2", "3"]
     assert sorted(r.id for r in ingest()) == ["1", "2", "3"]
-
-
-@pytest.mark.parametrize("partitions, expected", [(1, 4), (2, 4), (3, 3)])
-def test_spread_only_narrow_scans(spark, partitions, expected):
-    rows = spark.range(0, 100, 1, partitions)
-    assert tb.spread(rows).rdd.getNumPartitions() == expected

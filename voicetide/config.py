@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from voicetide.functions.literals import literal_table, lookup
 
-#: Largest dimension that is turned into plan literals.
-MAX_DIMENSION_ROWS = 10_000
-
 
 @dataclass(frozen=True)
 class Bucket:
@@ -64,10 +61,12 @@ class Taxonomy:
 
     @classmethod
     def from_df(cls, dim: DataFrame) -> Taxonomy:
-        """Read a taxonomy dimension; the row without a pattern is the default."""
-        rows = dim.orderBy("bucket_ord").limit(MAX_DIMENSION_ROWS + 1).collect()
-        if len(rows) > MAX_DIMENSION_ROWS:
-            raise ValueError(f"taxonomy has more than {MAX_DIMENSION_ROWS} rows")
+        """Read a taxonomy dimension; the row without a pattern is the default.
+
+        A taxonomy is configuration: its patterns are compiled into the plan.
+        Dimensions that grow with the data are joined (``operators.joins``).
+        """
+        rows = dim.orderBy("bucket_ord").collect()
         matched = [r for r in rows if r["pattern"]]
         default = [r for r in rows if not r["pattern"]]
         if len(default) != 1:
@@ -104,7 +103,12 @@ class Calendar:
 
     @property
     def names(self) -> list[str]:
-        return [p.month for p in self.periods]
+        """Month names; with the year where the calendar repeats a name."""
+        names = [p.month for p in self.periods]
+        return [
+            f"{n} {p.year}" if names.count(n) > 1 else n
+            for n, p in zip(names, self.periods, strict=True)
+        ]
 
     def __len__(self) -> int:
         return len(self.periods)

@@ -73,7 +73,8 @@ def signed_pct_label(before: Column, after: Column) -> Column:
 
 def growth_label(growth: Column, unit: str = "% MoM") -> Column:
     """``New`` for no or zero growth, otherwise the signed number."""
-    number = F.concat(growth.cast("string"), F.lit(unit))
+    # through a decimal, as a large double prints in scientific notation
+    number = F.concat(growth.cast("decimal(38,1)").cast("string"), F.lit(unit))
     return (
         F.when(growth.isNull() | (growth == 0), F.lit("New"))
         .when(growth > 0, F.concat(F.lit("+"), number))
@@ -101,11 +102,13 @@ def second_label(date: Column) -> Column:
 
 def plain_label(label: Column) -> Column:
     """Bucket label without its ``A. `` prefix."""
-    return F.regexp_replace(label, r"^[^.]*\. ", "")
+    return F.element_at(F.split(label, r"\. ", 2), -1)
 
 
 def title_case(col: Column) -> Column:
-    return F.initcap(col)
+    """Every run of letters with a capital first letter."""
+    runs = F.regexp_extract_all(F.lower(col), F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    return F.array_join(F.transform(runs, F.initcap), "")
 
 
 def month_name(date: Column) -> Column:

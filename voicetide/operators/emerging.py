@@ -123,7 +123,12 @@ def emerging_issues(topics: DataFrame, spiking: DataFrame, samples: DataFrame |
     return new.unionByName(risen)
 
 
-def ranked(issues: DataFrame, k: int | None = None) -> DataFrame:
-    """By growth, missing growth as zero, then type and name."""
-    out = issues.orderBy(F.coalesce("growth_pct", F.lit(0.0)).desc(), "type", "issue")
+def ranked(issues: DataFrame, k: int | None = None, rank: str | None = None) -> DataFrame:
+    """By growth, missing growth as zero, then type and name; ``rank`` names a column for
+    the place.  Issues are a few topics and one spike per brand and bucket at most."""
+    order = [F.coalesce("growth_pct", F.lit(0.0)).desc(), F.col("type"), F.col("issue")]
+    if rank:
+        place = F.row_number().over(Window.partitionBy().orderBy(*order))
+        issues = issues.withColumn(rank, place)
+    out = issues.orderBy(*order)
     return out.limit(k) if k else out

@@ -16,6 +16,11 @@ from voicetide.functions import scalars as sc
 from voicetide.operators.cube import dense_fill, roll_up
 
 
+def _of(cube: DataFrame, brands: Sequence[str]) -> DataFrame:
+    """The rows of the listed brands; a report shows no others."""
+    return cube.filter(F.col("brand").isin(list(brands)))
+
+
 def _with_month(rows: DataFrame, calendar: Calendar) -> DataFrame:
     return rows.withColumn("month", calendar.name_of(F.col("month_idx")))
 
@@ -25,7 +30,7 @@ def platform_counts(cube: DataFrame) -> DataFrame:
 
 
 def overall_kpis(cube: DataFrame, brands: Sequence[str]) -> DataFrame:
-    return dense_fill(cube, {"brand": brands}).select(
+    return dense_fill(_of(cube, brands), {"brand": brands}).select(
         "brand",
         F.col("n").alias("total_posts"),
         F.col("complaints").alias("complaint_posts"),
@@ -36,7 +41,7 @@ def overall_kpis(cube: DataFrame, brands: Sequence[str]) -> DataFrame:
 
 def kpi_rates(cube: DataFrame, brands: Sequence[str], platforms: Sequence[str]) -> DataFrame:
     """Complaint and escalation rates, mean engagement, posts by platform."""
-    rows = dense_fill(cube, {"brand": brands, "platform": platforms})
+    rows = dense_fill(_of(cube, brands), {"brand": brands, "platform": platforms})
     by_platform = [
         F.sum(F.when(F.col("platform") == p, F.col("n")).otherwise(0)).alias(p) for p in platforms
     ]
@@ -64,7 +69,7 @@ def kpi_rates(cube: DataFrame, brands: Sequence[str], platforms: Sequence[str])
 
 
 def negative_share(cube: DataFrame, brands: Sequence[str]) -> DataFrame:
-    return dense_fill(cube, {"brand": brands}).select(
+    return dense_fill(_of(cube, brands), {"brand": brands}).select(
         "brand",
         F.col("negatives").alias("negative_posts"),
         sc.share_pct(F.col("negatives"), F.greatest("n", F.lit(1))).alias("negative_pct"),
@@ -73,7 +78,7 @@ def negative_share(cube: DataFrame, brands: Sequence[str]) -> DataFrame:
 
 def monthly_totals(cube: DataFrame, brands: Sequence[str], calendar: Calendar) -> DataFrame:
     """Totals per brand and calendar month with the previous month's total."""
-    months = cube.filter(F.col("month_idx").isNotNull())
+    months = _of(cube, brands).filter(F.col("month_idx").isNotNull())
     dense = dense_fill(months, {"brand": brands, "month_idx": range(len(calendar))})
     by_month = Window.partitionBy("brand").orderBy("month_idx")
     prev = F.lag("n").over(by_month)
@@ -114,7 +119,7 @@ def monthly_buckets(
     cube: DataFrame, brands: Sequence[str], taxonomy: Taxonomy, calendar: Calendar
 ) -> DataFrame:
     """Dense counts per brand, month and bucket with share and previous count."""
-    months = cube.filter(F.col("month_idx").isNotNull())
+    months = _of(cube, brands).filter(F.col("month_idx").isNotNull())
     dense = dense_fill(
         months,
         {"brand": brands, "bucket": taxonomy.keys, "month_idx": range(len(calendar))},
@@ -203,7 +208,7 @@ def biggest_movers(changes: DataFrame) -> DataFrame:
 
 def bucket_shares(cube: DataFrame, brands: Sequence[str], taxonomy: Taxonomy) -> DataFrame:
     """Count and share of all the brand's posts per bucket, dense."""
-    dense = dense_fill(cube, {"brand": brands, "bucket": taxonomy.keys})
+    dense = dense_fill(_of(cube, brands), {"brand": brands, "bucket": taxonomy.keys})
     total = F.sum("n").over(Window.partitionBy("brand"))
     return (
         dense.select("brand", "bucket", "n", total.alias("brand_total"))
@@ -264,7 +269,7 @@ def trend_direction(totals: DataFrame, first_idx: int, last_idx: int) -> DataFra
 
 def sentiment_distribution(cube: DataFrame, brands: Sequence[str]) -> DataFrame:
     """Sentiment counts per brand; absent sentiments are left out."""
-    rows = roll_up(cube.filter(F.col("brand").isin(list(brands))), "brand")
+    rows = roll_up(_of(cube, brands), "brand")
     named = [("Negative", "negatives"), ("Neutral", "neutrals"), ("Positive", "positives")]
     pairs = F.array(
         *[F.struct(F.lit(s).alias("sentiment"), F.col(m).alias("n")) for s, m in named]
@@ -273,7 +278,7 @@ def sentiment_distribution(cube: DataFrame, brands: Sequence[str]) -> DataFrame:
 
 
 def sentiment_share(cube: DataFrame, brands: Sequence[str]) -> DataFrame:
-    dense = dense_fill(cube, {"brand": brands})
+    dense = dense_fill(_of(cube, brands), {"brand": brands})
     total = F.col("negatives") + F.col("neutrals") + F.col("positives")
     return dense.select(
         "brand",

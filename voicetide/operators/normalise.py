@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voicetide import schema as S
 from voicetide.functions import scalars as sc
@@ -32,7 +33,17 @@ class _Fields:
         return [self._get(n, "string") for n in names]
 
     def count(self, *names: str) -> list[Column]:
-        return [self._get(n, "bigint") for n in names]
+        """Counts as whole numbers, from a number or its text."""
+        return [self._count(n) for n in names]
+
+    def _count(self, name: str) -> Column:
+        value = self._get(name, "bigint")
+        if name not in self._columns or not isinstance(
+            self._items.schema[name].dataType, T.VariantType
+        ):
+            return value
+        whole = F.try_variant_get(value, "$", "bigint")
+        return F.coalesce(whole, F.try_variant_get(value, "$", "double").try_cast("bigint"))
 
     def variant(self, *names: str) -> list[Column]:
         return [self._get(n, "variant") for n in names]

@@ -83,20 +83,21 @@ def vocabulary(
     """The most frequent words and pairs, ties in alphabetical order.
 
     A pair occurs at most as often as each of its words, so no pair with a
-    word rarer than the ``max_features``-th word can make the list.  When the
-    words at least that frequent fit a plan literal, pairs are filtered by
-    them before they are counted; with very many ties all pairs are counted.
+    word rarer than the ``max_features``-th word can make the list: pairs are
+    joined with the words at least that frequent before they are counted.
     """
     tokens = docs.select(words(F.col(text), stop_words).alias("w"))
-    probe = 4 * max_features
-    singles = _top_terms(_exploded(tokens, F.col("w")), probe)
-    floor = singles[max_features - 1]["n"] if len(singles) >= max_features else 1
-    known = len(singles) < probe or singles[-1]["n"] < floor
-    adjacent = _exploded(tokens, word_pairs(F.col("w")))
-    if known and singles:
-        frequent = [r["term"] for r in singles if r["n"] >= floor]
-        parts = F.split("term", " ")
-        adjacent = adjacent.filter(parts[0].isin(frequent) & parts[1].isin(frequent))
+    counted = _exploded(tokens, F.col("w")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    singles = counted.orderBy(F.desc("n"), "term").limit(max_features).collect()
+    floor = singles[-1]["n"] if len(singles) == max_features else 1
+    frequent = counted.filter(F.col("n") >= floor).select("term")
+    parts = F.split("term", " ")
+    adjacent = (
+        _exploded(tokens, word_pairs(F.col("w")))
+        .withColumns({"_a": parts[0], "_b": parts[1]})
+        .join(frequent.withColumnRenamed("term", "_a"), "_a", "left_semi")
+        .join(frequent.withColumnRenamed("term", "_b"), "_b", "left_semi")
+    )
     pairs = _top_terms(adjacent, max_features)
     best = sorted([*singles, *pairs], key=lambda r: (-r["n"], r["term"]))
     return [r["term"] for r in best[:max_features]]
@@ -142,10 +143,12 @@ def tfidf_rows(model: TfIdf, docs: DataFrame, key: str, text: str = "text") -> D
     """One row per document and term with a positive weight."""
     vectors = model.transform(docs.select(key, text), text)
     names = F.array(*[F.lit(t) for t in model.terms])
+    parts = F.unwrap_udt("features")
+    entry = F.explode(F.arrays_zip(parts["indices"].alias("i"), parts["values"].alias("w")))
     return (
-        vectors.select(key, F.posexplode_outer(vector_to_array("features")).alias("_i", "weight"))
-        .filter(F.col("weight") > 0)
-        .select(key, names[F.col("_i")].alias("term"), "weight")
+        vectors.select(key, entry.alias("_e"))
+        .filter(F.col("_e.w") > 0)
+        .select(key, names[F.col("_e.i")].alias("term"), F.col("_e.w").alias("weight"))
     )
 
 

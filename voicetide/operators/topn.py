@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 64
-PARTS = 256
-MAX_FLOORS = 10_000
+#: Parts per group and per wanted row in ``above_floor``, and the least number of parts.
+PARTS_PER_ROW = 4
+MIN_PARTS = 256
 
 
 def top_n(
@@ -45,12 +46,13 @@ def above_floor(
 ) -> DataFrame:
     """Rows that can be among the ``n`` largest of their group, by hash aggregation only.
 
-    Rows fall into ``PARTS`` parts per group by a hash of their key.  The parts'
-    maxima belong to different rows, so the n-th largest of them is a floor
-    that at least ``n`` rows reach.  A group without a floor keeps all rows,
-    which also makes the limit safe that bounds the broadcast.
+    Rows fall into parts per group by a hash of their key, several for each
+    wanted row.  The parts' maxima belong to different rows, so the n-th largest
+    of them is a floor that at least ``n`` rows reach.  Only a group of too few
+    rows to fill ``n`` parts has no floor and keeps all of them.
     """
-    maxima = rows.groupBy(*keys, F.pmod(F.xxhash64(row_key), F.lit(PARTS)).alias("_part")).agg(
+    parts = max(MIN_PARTS, PARTS_PER_ROW * n)
+    maxima = rows.groupBy(*keys, F.pmod(F.xxhash64(row_key), F.lit(parts)).alias("_part")).agg(
         F.max(value).alias("_floor")
     )
     by_size = Window.partitionBy(*keys).orderBy(F.desc("_floor"))
@@ -58,10 +60,9 @@ def above_floor(
         maxima.withColumn("_rn", F.row_number().over(by_size))
         .filter(F.col("_rn") == n)
         .select(*keys, "_floor")
-        .limit(MAX_FLOORS)
     )
     reached = F.col("_floor").isNull() | (F.col(value) >= F.col("_floor"))
-    return rows.join(F.broadcast(floors), list(keys), "left").filter(reached).drop("_floor")
+    return rows.join(floors, list(keys), "left").filter(reached).drop("_floor")
 
 
 def top_posts(
@@ -87,6 +88,11 @@ def preview(posts: DataFrame, n: int = 500) -> DataFrame:
     return posts.orderBy(F.col("date").asc_nulls_last(), "id").limit(n)
 
 
+def shuffle_place(key: str = "id", seed: int = 42) -> Column:
+    """What a seeded order sorts by: a digest any engine has."""
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"/{seed}")).cast("binary"))
+
+
 def seeded_shuffle(posts: DataFrame, key: str = "id", seed: int = 42) -> DataFrame:
     """A random-looking order that is the same for any partitioning."""
-    return posts.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
+    return posts.orderBy(shuffle_place(key, seed), key)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voicetide.operators.dedup import keep_first
@@ -20,9 +20,14 @@ def union_missing(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def first_non_empty(frames: Sequence[DataFrame], key: str) -> DataFrame:
-    """Per key, the row of the first source that has the key."""
+def first_non_empty(
+    frames: Sequence[DataFrame], key: str, order: Sequence[Column] = ()
+) -> DataFrame:
+    """Per key, the row of the first source that has the key.
+
+    ``order`` decides among several rows of that source; it may be left out
+    where a source has a key once.
+    """
     tagged = [f.withColumn("_source", F.lit(i)) for i, f in enumerate(frames)]
     merged = union_missing(tagged)
-    order = [F.col("_source"), F.xxhash64(*[c for c in merged.columns if c != "_source"])]
-    return keep_first(merged, [F.col(key)], order).drop("_source")
+    return keep_first(merged, [F.col(key)], [F.col("_source"), *order]).drop("_source")

@@ -1,7 +1,7 @@
 """Table schemas.
 
 ``date`` is naive UTC (TIMESTAMP_NTZ).  Landed fields whose JSON type varies
-between records are VARIANT; counts are BIGINT.
+between records are VARIANT, counts among them: 12, 12.0, "12" and 1e3 all land.
 """
 
 from __future__ import annotations
@@ -41,19 +41,19 @@ MICROBLOG, FORUM, PROFESSIONAL = "Twitter/X", "Reddit", "LinkedIn"
 RAW_MICROBLOG = struct(
     "id variant, id_str variant, text string, full_text string, rawContent string, "
     "createdAt variant, created_at variant, url string, tweetUrl string, "
-    "likeCount bigint, favorite_count bigint, retweetCount bigint, retweet_count bigint, "
-    "replyCount bigint, author variant, user variant"
+    "likeCount variant, favorite_count variant, retweetCount variant, retweet_count variant, "
+    "replyCount variant, author variant, user variant"
 )
 RAW_FORUM = struct(
     "id variant, title string, body string, selftext string, text string, "
-    "createdAt variant, created_utc variant, url string, permalink string, score bigint, "
-    "ups bigint, numComments bigint, num_comments bigint, author variant"
+    "createdAt variant, created_utc variant, url string, permalink string, score variant, "
+    "ups variant, numComments variant, num_comments variant, author variant"
 )
 RAW_PROFESSIONAL = struct(
     "id variant, urn variant, text string, commentary string, content string, body string, "
     "postedAt variant, publishedAt variant, date variant, url string, postUrl string, "
-    "totalReactionCount bigint, likes bigint, repostCount bigint, commentsCount bigint, "
-    "comments bigint, author variant, authorName string"
+    "totalReactionCount variant, likes variant, repostCount variant, commentsCount variant, "
+    "comments variant, author variant, authorName string"
 )
 # End of fixed values.
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voicetide.operators.unions import union_all
 from voicetide.schema import RAW_SOURCES
@@ -14,6 +15,9 @@ from voicetide.sources.paths import empty_frame, path_exists
 
 log = logging.getLogger(__name__)
 
+#: The column that holds the text of a record that is not JSON.
+BROKEN = "_broken_record"
+
 
 def raw_path(root: str, brand: str, source: str) -> str:
     return f"{root.rstrip('/')}/{brand}_{source}.json"
@@ -25,21 +29,35 @@ def read_raw(
     brands: Sequence[str],
     source: str,
     json_arrays: bool = True,
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Items of one source for several brands, with a ``brand`` column.
 
     ``json_arrays=True`` reads one JSON array per file (one task per file);
     ``False`` reads JSON Lines, which split.  A path may be a file or a folder
     of files, so a large brand lands as many files.  Missing paths give no rows.
+
+    A record that is not JSON fails the read.  With ``quarantine`` such records
+    are written below that path instead, with the file they came from.
     """
     _, schema = RAW_SOURCES[source]
-    reader = spark.read.schema(schema).option("multiLine", json_arrays)
+    reader = spark.read.option("multiLine", json_arrays)
+    if quarantine is None:
+        reader = reader.schema(schema).option("mode", "FAILFAST")
+    else:
+        reader = (
+            reader.schema(T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())]))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN)
+        )
     frames = []
     for brand in brands:
         path = raw_path(root, brand, source)
         if path_exists(spark, path):
+            items = reader.json(path)
+            if quarantine is not None:
+                items = set_aside(items, f"{quarantine.rstrip('/')}/{brand}_{source}")
             # A constant brand lets Spark drop the other brands' filter rules.
-            frames.append(reader.json(path).withColumn("brand", F.lit(brand)))
+            frames.append(items.withColumn("brand", F.lit(brand)))
         else:
             log.warning("no landed data at %s", path)
     if not frames:
@@ -47,6 +65,18 @@ def read_raw(
     return union_all(frames)
 
 
+def set_aside(items: DataFrame, path: str) -> DataFrame:
+    """Write the broken records to ``path`` and return the others."""
+    broken = F.col(BROKEN).isNotNull()
+    held = items.filter(broken).select(
+        F.col(BROKEN).alias("record"), F.input_file_name().alias("file"),
+        # Spark asks for a parsed field beside the record's text
+        F.try_variant_get(F.col("id"), "$", "string").alias("id"),
+    )
+    held.write.mode("overwrite").json(path)
+    return items.filter(~broken).drop(BROKEN)
+
+
 def write_raw(items: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write items as JSON Lines, optionally partitioned (brand, platform)."""
     writer = items.write.mode("overwrite")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voicetide.functions.timestamps import coerce_timestamp
@@ -34,17 +35,6 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a scan over the cores when it has too few partitions for them.
-
-    A file with one row group is read by one task, which then runs every regex.
-    A large table has far more partitions than cores and is left as it is.
-    Only for plain scans: counting partitions must not start a job.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
-
-
 def write_csv(posts: DataFrame, path: str) -> None:
     """CSV with a header; quotes inside text are doubled, empty text stays empty."""
     (
@@ -59,26 +49,40 @@ def write_csv(posts: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = CLASSIFIED) -> DataFrame:
-    """Read a post CSV.  Texts hold line breaks, so records span lines.
+    """Read a post CSV by its header.  Texts hold line breaks, so records span lines.
 
-    ``date`` is read as text and bad values become null.  The null marker is a
-    character no text holds, so that a quoted empty string stays a string.
+    Columns are taken by name, in any order; absent ones are null and others are
+    left out.  A header without any known column is an error, and so are files
+    whose headers differ.  Bad dates and numbers become null, ``12.0`` counts as
+    12.  The null marker is a character no text holds, so that a quoted empty
+    string stays a string.
     """
-    text_date = T.StructType(
-        [T.StructField(f.name, T.StringType()) if f.name == "date" else f for f in schema.fields]
-    )
-    rows = (
-        spark.read.schema(text_date)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("nullValue", "\x01")
-        .csv(path)
+    reader = (
+        spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+        .option("emptyValue", "").option("nullValue", "\x01").option("mode", "FAILFAST")
     )
-    if "date" in rows.columns:
-        rows = rows.withColumn("date", coerce_timestamp(rows["date"]))
-    return rows
+    header = reader.csv(path).schema
+    if not header.fields:
+        return empty_frame(spark, schema)
+    known = [f.name for f in schema.fields if f.name in header.names]
+    if not known:
+        raise ValueError(f"{path}: no known column among {header.names}")
+    rows = reader.schema(header).option("enforceSchema", False).csv(path)
+
+    def value(field: T.StructField) -> Column:
+        if field.name not in known:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        column = rows[f"`{field.name}`"]
+        if field.name == "date":
+            typed = coerce_timestamp(column)
+        elif isinstance(field.dataType, (T.LongType, T.IntegerType)):
+            kind = field.dataType.simpleString()
+            typed = F.coalesce(column.try_cast(kind), column.try_cast("double").try_cast(kind))
+        else:
+            typed = column.try_cast(field.dataType)
+        return typed.alias(field.name)
+
+    return rows.select(*[value(f) for f in schema.fields])
 
 
 def read_posts(spark: SparkSession, parquet_path: str, csv_path: str | None = None) -> DataFrame:

@@ -175,3 +175,17 @@ def test_number_label_and_snippets(spark):
     growth = spark.createDataFrame([(12.5,), (-3.0,), (0.0,), (None,)], "g double")
     assert [r[0] for r in growth.select(sc.growth_label(F.col("g"))).collect()] == [
         "+12.5% MoM", "-3.0% MoM", "New", "New"]
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("2025-04-01 12:00 PM", "2025-04-01 12:00:00"), ("Apr 1, 2025 3:04 PM", "2025-04-01 15:04:00"),
+    ("April 1, 2025 3:04:05 am", "2025-04-01 03:04:05"), ("4/1/2025 11:30 PM", "2025-04-01 23:30:00"),
+    ("1 April 2025", "2025-04-01 00:00:00"), ("20250401", "2025-04-01 00:00:00"), ("2025-04", "2025-04-01 00:00:00"),
+    ("April 2025", "2025-04-01 00:00:00"), ("2025.04.01", "2025-04-01 00:00:00"), ("01-04-2025", "2025-01-04 00:00:00"),
+    ("1 Apr 2025 09:30", "2025-04-01 09:30:00"), ("2025-04-01T10:00:00+02:00", "2025-04-01 08:00:00"),
+    ("12345678901", None), ("PM", None), ("20251301", None),
+])
+def test_more_layouts(spark, text, want):
+    row = spark.createDataFrame([(text,)], "t string").select(
+        ts.text_to_utc(F.col("t")).cast("string").alias("d")).first()
+    assert row.d == want

@@ -15,11 +15,21 @@ MICROBLOG_FORMAT = "MMM d HH:mm:ss xx yyyy"
 
 #: Other layouts by shape.  The value has no weekday and ends in an offset.
 GENERAL_FORMATS = {
-    r"^\d{1,2} [A-Za-z]{3} ": "d MMM yyyy[ HH:mm:ss] xx",
-    r"^[A-Za-z]{3} \d{1,2},? \d{4}": "MMM d[,] yyyy[ HH:mm:ss] xx",
-    r"^[A-Za-z]{4,9} \d{1,2},? \d{4}": "MMMM d[,] yyyy[ HH:mm:ss] xx",
-    r"^\d{4}/": "yyyy/M/d[ HH:mm:ss] xx",
-    r"^\d{1,2}/": "M/d/yyyy[ HH:mm:ss] xx",
+    r"(?i)^\d{4}-\d{1,2}-\d{1,2} .*[ap]m$": "yyyy-M-d h:mm[:ss][ ]a xx",
+    r"(?i)^[a-z]{3} \d{1,2},? \d{4} .*[ap]m$": "MMM d[,] yyyy h:mm[:ss][ ]a xx",
+    r"(?i)^[a-z]{4,9} \d{1,2},? \d{4} .*[ap]m$": "MMMM d[,] yyyy h:mm[:ss][ ]a xx",
+    r"(?i)^\d{1,2}/\d{1,2}/\d{4} .*[ap]m$": "M/d/yyyy h:mm[:ss][ ]a xx",
+    r"^\d{1,2} [A-Za-z]{3} ": "d MMM yyyy[ HH:mm[:ss]] xx",
+    r"^\d{1,2} [A-Za-z]{4,9} ": "d MMMM yyyy[ HH:mm[:ss]] xx",
+    r"^[A-Za-z]{3} \d{1,2},? \d{4}": "MMM d[,] yyyy[ HH:mm[:ss]] xx",
+    r"^[A-Za-z]{4,9} \d{1,2},? \d{4}": "MMMM d[,] yyyy[ HH:mm[:ss]] xx",
+    r"^[A-Za-z]{3} \d{4}$": "MMM yyyy xx",
+    r"^[A-Za-z]{4,9} \d{4}$": "MMMM yyyy xx",
+    r"^\d{8}$": "yyyyMMdd xx",
+    r"^\d{4}/": "yyyy/M/d[ HH:mm[:ss]] xx",
+    r"^\d{4}\.": "yyyy.M.d[ HH:mm[:ss]] xx",
+    r"^\d{1,2}/": "M/d/yyyy[ HH:mm[:ss]] xx",
+    r"^\d{1,2}-\d{1,2}-\d{4}": "M-d-yyyy[ HH:mm[:ss]] xx",
 }
 
 # Years 1 to 9999, in epoch seconds.
@@ -38,7 +48,9 @@ def epoch_to_utc(seconds: Column) -> Column:
 def text_to_utc(text: Column) -> Column:
     """Parse a timestamp string; null when nothing fits."""
     value = F.trim(text)
-    zoned = value.rlike(r"(?i)(z|utc|gmt|[+-]\d{2}:?\d{2})$")
+    # the year of a dashed date is no offset
+    dashed = value.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$")
+    zoned = value.rlike(r"(?i)(z|utc|gmt|[+-]\d{2}:?\d{2})$") & ~dashed
     iso = F.when(zoned, _instant_to_utc(F.try_to_timestamp(value))).otherwise(
         value.try_cast("timestamp_ntz")
     )
@@ -52,7 +64,8 @@ def text_to_utc(text: Column) -> Column:
     for shape, pattern in reversed(GENERAL_FORMATS.items()):
         layout = F.when(plain.rlike(shape), F.lit(pattern)).otherwise(layout)
     other = F.coalesce(microblog, F.try_to_timestamp(offset, layout))
-    return F.when(value.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), iso).otherwise(_instant_to_utc(other))
+    is_iso = value.rlike(r"^\d{4}-\d{1,2}($|-\d{1,2})") & ~value.rlike(r"(?i)[ap]m$")
+    return F.when(is_iso, iso).otherwise(_instant_to_utc(other))
 
 
 def variant_is_text(value: Column) -> Column:

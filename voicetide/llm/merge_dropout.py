@@ -91,6 +91,9 @@ class Encoder:
         apart = "" if any("\n" in t for t in ids) else "\n"
         self.units = re.compile(f"{SPACE}*[^{SPACE}{apart}]+|{SPACE}+" + (f"|{apart}" if apart else ""))
         self.plain: dict[str, tuple[int, bytes]] = {}
+        self.raw = [t.replace(SPACE, " ").encode() for t in vocabulary.text]
+        for i, byte in vocabulary.byte_of.items():
+            self.raw[i] = byte
 
     def decide(self, variant: np.ndarray, number: np.ndarray) -> np.ndarray:
         """Whether the candidate of this number is skipped in this variant."""
@@ -293,19 +296,8 @@ class Encoder:
         return [b"".join(out[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
     def decode(self, ids: list[int]) -> str:
-        vocabulary, parts, raw = self.vocabulary, [], b""
-        for i in ids:
-            byte = vocabulary.byte_of.get(i)
-            if byte is not None:
-                raw += byte
-                continue
-            if raw:
-                parts.append(raw.decode("utf-8", "replace"))
-                raw = b""
-            parts.append(vocabulary.text[i].replace(SPACE, " "))
-        if raw:
-            parts.append(raw.decode("utf-8", "replace"))
-        return "".join(parts).removeprefix(" ")
+        """The text of ids: pieces and byte pieces are bytes in a row."""
+        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
 
 @functools.lru_cache(maxsize=4)
@@ -328,15 +320,24 @@ def encode(
     seed: int = SEED,
     path: str | None = None,
 ) -> DataFrame:
-    """The columns ``keep`` and ``pieces``; ``key`` (a long) varies segmentations by text."""
+    """The columns ``keep``, ``pieces``, and ``lossless``: whether they decode to the text.
+
+    ``key`` (a long) varies segmentations by text.
+    """
     path = path or default_pieces()
     name = base.free_name(docs, "_key")
     rows = docs.withColumn(name, F.xxhash64("doc_id") if key is None else key)
 
     def make(texts: list[str | None], keys: list[int]) -> tuple[None, list]:
-        return None, [_lists(encoder(path, dropout, seed).encode(texts, keys))]
-
-    return base.add_columns(rows, make, "pieces array<int>", ["text", name], keep)
+        coder = encoder(path, dropout, seed)
+        packed = coder.encode(texts, keys)
+        same = [
+            coder.decode(np.frombuffer(p, "<i4").tolist()) == (t or "")
+            for p, t in zip(packed, texts, strict=True)
+        ]
+        return None, [_lists(packed), same]
+
+    return base.add_columns(rows, make, "pieces array<int>, lossless boolean", ["text", name], keep)
 
 
 def decode(rows: DataFrame, keep: list[str], path: str | None = None) -> DataFrame:

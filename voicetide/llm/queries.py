@@ -14,14 +14,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_merge_dropout(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    decoded = merge_dropout.decode(
-        merge_dropout.encode(docs, ["doc_id", "text"]), ["doc_id", "text", "pieces"]
-    )
-    return decoded.select(
-        "doc_id", F.size("pieces").alias("n_pieces"), "pieces",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
-    )
+    encoded = merge_dropout.encode(table(spark, sf, "documents"), ["doc_id"])
+    return encoded.select("doc_id", F.size("pieces").alias("n_pieces"), "pieces", "lossless")
 
 
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:

@@ -123,19 +123,20 @@ def _backward(weights: list[np.ndarray], length: int) -> list[np.ndarray]:
     return beta
 
 
-def log_likelihood(words: list[bytes], log_p: np.ndarray, path: str) -> np.ndarray:
-    """Natural log of the summed probability of all segmentations of each word."""
-    lat, out = lattice(path), np.zeros(len(words))
+def log_likelihood(words: list[bytes], models: list[np.ndarray], path: str) -> np.ndarray:
+    """Natural logs of the summed probability of all segmentations: [word, model]."""
+    lat, out = lattice(path), np.zeros((len(words), len(models)))
     groups, marked = by_length(words)
     for length, members in groups.items():
         if length > ARRAY_LENGTH:
             for i in members:
-                out[i] = _one(lat, marked[i], log_p)[0][-1]
+                out[i] = [_one(lat, marked[i], log_p)[0][-1] for log_p in models]
             continue
         for first in range(0, len(members), ARRAY_WORDS):
             part = members[first : first + ARRAY_WORDS]
             arcs, chars = lat.arcs([marked[i] for i in part])
-            out[part] = _forward(_weights(lat, arcs, chars, log_p), length)[-1]
+            for k, log_p in enumerate(models):
+                out[part, k] = _forward(_weights(lat, arcs, chars, log_p), length)[-1]
     return out
 
 
@@ -156,6 +157,7 @@ def expected_counts(
             weights = _weights(lat, arcs, chars, log_p)
             alpha, beta = _forward(weights, length), _backward(weights, length)
             share = weight[part]
+            pieces_, uses = [], []
             for size, ids in enumerate(arcs, 1):
                 for start in range(length - size + 1):
                     used = np.flatnonzero(ids[:, start] >= 0)
@@ -163,8 +165,11 @@ def expected_counts(
                         alpha[start][used] + weights[size - 1][used, start]
                         + beta[start + size][used] - alpha[-1][used]
                     )
-                    at = ids[used, start] + (start + size == length) * lat.vocabulary.size
-                    total += np.bincount(at, np.exp(log_use) * share[used], len(total))
+                    pieces_.append(
+                        ids[used, start] + (start + size == length) * lat.vocabulary.size
+                    )
+                    uses.append(np.exp(log_use) * share[used])
+            total += np.bincount(np.concatenate(pieces_), np.concatenate(uses), len(total))
             # no other arc covers a character outside the vocabulary
             row, at = np.nonzero(arcs[0] < 0)
             for r, position, code in zip(row, at, chars[row, at], strict=True):

@@ -48,6 +48,8 @@ HELD_OUT = 2
 HEAD_WORDS = 150_000
 #: Words a map task counts before it hands the counts on.
 COUNT_WORDS = 300_000
+#: Words whose lattices a task works on at a time.
+GATHERED_WORDS = 150_000
 EM_STEPS = 3
 #: Languages with a model of their own (those with most training texts); all other
 #: training texts together are one more.
@@ -55,7 +57,7 @@ LANGUAGES = 8
 #: Share of words of other languages among those that a language's training texts lack.
 BORROWED = 0.1
 #: Weight of the vocabulary's own scores against the corpus, in pieces.
-PRIOR_PIECES = 10_000.0
+PRIOR_PIECES = 300.0
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -154,16 +156,12 @@ def train(table: DataFrame, models: int, path: str, steps: int = EM_STEPS) -> li
     def expect(given: list[np.ndarray]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros((models, len(prior)))
-            for batch in batches:
-                for first in range(0, batch.num_rows, 50_000):
-                    part = batch.slice(first, 50_000)
-                    counts = _matrix(part.column(1), models)
-                    for k in range(models):
-                        seen = np.flatnonzero(counts[:, k])
-                        found = part.column(0).take(pa.array(seen)).to_pylist()
-                        total[k] += lattice.expected_counts(
-                            found, np.ones(len(found)), given[k], path
-                        )
+            for part in gathered(batches):
+                counts = _matrix(part.column(1), models)
+                for k in range(models):
+                    seen = np.flatnonzero(counts[:, k])
+                    found = part.column(0).take(pa.array(seen)).to_pylist()
+                    total[k] += lattice.expected_counts(found, np.ones(len(found)), given[k], path)
             model, piece = np.nonzero(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(model, pa.int64()), pa.array(piece, pa.int64()),
@@ -186,6 +184,19 @@ def train(table: DataFrame, models: int, path: str, steps: int = EM_STEPS) -> li
     return given
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = GATHERED_WORDS) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``rows`` rows: whole arrays of words are cheap, small ones are not."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.concat_batches(held)
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     """An array of equally long lists as a matrix."""
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
@@ -266,24 +277,18 @@ def with_values(
     models = len(log_p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, 50_000):
-                part = batch.slice(first, 50_000)
-                found = part.column(0).to_pylist()
-                counts = _matrix(part.column(1), models)
-                spelled = np.stack(
-                    [lattice.log_likelihood(found, p, path) for p in log_p], axis=1
-                )
-                scores = sums.log10_words(counts, spelled)
-                n = counts.sum(axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), pa.array(n, pa.int64()),
-                        pa.array(sums.log10_base(n), pa.float64()),
-                        pa.array(list(scores), pa.list_(pa.float64())),
-                    ],
-                    names=["word", "c", "base", "lp"],
-                )
+        for part in gathered(batches):
+            counts = _matrix(part.column(1), models)
+            spelled = lattice.log_likelihood(part.column(0).to_pylist(), log_p, path)
+            scores = sums.log10_words(counts, spelled)
+            n = counts.sum(axis=1)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(n) + 1) * models, pa.int32()), pa.array(scores.ravel())
+            )
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(n), pa.array(sums.log10_base(n)), lists],
+                names=["word", "c", "base", "lp"],
+            )
 
     return table.select("word", "c").mapInArrow(
         run, "word binary, c long, base double, lp array<double>"

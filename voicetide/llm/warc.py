@@ -31,6 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voicetide.llm.base import hash_sample
 from voicetide.session import fresh_path
 
 #: Payloads from this size on are written once and then referred to.
@@ -185,11 +186,10 @@ def parse(raw: bytes) -> dict:
 
 def train_dictionary(pages: DataFrame) -> bytes:
     """From the beginnings of a bounded sample of pages; empty if there are too few."""
+    some = pages.select("page_id", "url", "html").filter("html <> ''")
     sample = (
-        pages.select("page_id", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html"))
-        .filter("length(html) > 0")
-        .orderBy(F.xxhash64("page_id", "url"), "page_id", "url")
-        .limit(SAMPLE_PAGES)
+        hash_sample(some, ["page_id", "url"], SAMPLE_PAGES)
+        .select("page_id", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html"))
         .collect()
     )
     samples = [record(r.page_id, r.url, r.html.encode("utf-8", "replace"), None) for r in sample]

@@ -135,12 +135,9 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def fit_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic): labelled texts outside the held-out fold, equal texts once."""
-    known = (
-        labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
-        .groupBy("doc_id")
-        .agg(F.max("toxic").alias("_toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(MAX_FIT_ROWS)
+    usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
+    known = base.hash_sample(
+        usable.groupBy("doc_id").agg(F.max("toxic").alias("_toxic")), ["doc_id"], MAX_FIT_ROWS
     )
     # at most MAX_FIT_ROWS pairs of numbers are broadcast
     rows = docs.select("doc_id", base.text_col().alias("text")).join(F.broadcast(known), "doc_id")

@@ -10,11 +10,13 @@ probability J_P, the probability Jaccard of the texts.
 *Candidates.*  Equal texts are one node.  Nodes that agree in a band of
 registers share a bucket.  First each node is compared with its buckets'
 leaders (the smallest node), which is linear and joins a group of near copies of
-any size.  What lies in one bucket but in different components afterwards is
-compared pair by pair, in tiles, by signatures; so no link is lost to the star.
+any size.  Nodes outside their leader's component are then compared with all of
+their bucket, in tiles, by signature and text; a tile returns links only, one
+per component.  So no link is lost to the star, and no pairs are written.
 
-*Verification.*  Pairs whose registers rule out the threshold (six standard
-errors) are left out, the others' J_P is computed from the texts.  Links join
+*Verification.*  Pairs whose registers rule out the threshold (four standard
+errors, 3e-5, as sure as the bands) are left out, the others' J_P is computed
+from the texts.  Links join
 components; a group's documents share the smallest id as ``class_id``.
 
 Defined results.  Null texts and texts without words link with nothing and stay.
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from voicetide.llm import base
 from voicetide.llm.graph import components
-from voicetide.llm.merge_dropout import keyed, mix
+from voicetide.llm.merge_dropout import mix
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -44,7 +46,7 @@ THRESHOLD = 0.8
 BANDS, BAND_ROWS = 25, 5
 REGISTERS = 128
 #: Standard errors by which the estimate may fall short of the threshold.
-ERRORS = 6.0
+ERRORS = 4.0
 #: Arrivals drawn at first, per register, beyond the logarithm of their number.
 MARGIN = 4.0
 TILE_ROWS = 512
@@ -100,17 +102,21 @@ def _arrivals(
     """((times, registers), elements) of all arrivals before ``span``."""
     at, number = np.zeros(len(ids)), 0
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    width = 1  # most elements of a long text have no arrival in time: one draw each
+    golden = np.uint64(0x9E3779B97F4A7C15)
+    stream = mix(ids + golden)
+    # most elements of a long text have no arrival in time: one draw each; else all at once
+    most = span * float(rate.max())
+    width = 1 if most < 0.5 else int(min(most + 4 * math.sqrt(most) + 4, 4096))
     while len(ids):
-        numbers = np.arange(number, number + width)
-        bits = keyed(0, np.repeat(ids, width), np.tile(numbers, len(ids))).reshape(-1, width)
-        uniform = ((bits >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
-        times = at[:, None] + np.cumsum(-np.log(uniform) / rate[:, None], axis=1)
+        numbers = np.arange(number + 1, number + width + 1, dtype=np.uint64) * golden
+        bits = mix(stream[:, None] + numbers)
+        uniform = ((bits >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
+        times = at[:, None] - np.cumsum(np.log(uniform), axis=1) / rate[:, None]
         row, column = np.nonzero(times < span)
         register = mix(bits[row, column] + np.uint64(1)) % np.uint64(registers)
         out.append((times[row, column], register.astype(np.int64), ids[row]))
         more = times[:, -1] < span
-        ids, rate, at = ids[more], rate[more], times[more, -1]
+        ids, stream, rate, at = ids[more], stream[more], rate[more], times[more, -1]
         number += width
         width = int(min(max(4, registers * 8 // max(len(ids), 1)), 256))
     times, register, elements = (np.concatenate(c) for c in zip(*out, strict=True))
@@ -223,12 +229,63 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return marked.filter("near").select("a", "b")
 
 
-def left_over(members: DataFrame, reached: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of one bucket that are in different components after the stars.
+def packed_bags(texts: DataFrame) -> DataFrame:
+    """(node, bag): shingle hashes, then their counts as 32-bit floats."""
 
-    ``members`` has (bucket, node, leader, size, sig).  Only nodes outside their
+    def make(found: list[str]) -> tuple[None, list[list[bytes]]]:
+        bags = (shingles(t) for t in found)
+        return None, [[ids.tobytes() + n.astype("<f4").tobytes() for ids, n in bags]]
+
+    return base.add_columns(texts, make, "bag binary", ["text"], ["node"])
+
+
+def _bag(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(packed) // 12
+    return np.frombuffer(packed, "<u8", n), np.frombuffer(packed, "<f4", n, 8 * n)
+
+
+def tile_links(tile: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Links of the asking nodes of a tile to other components, one per component.
+
+    A node's candidates in this tile are tried from the most similar signature
+    on until one is verified, so a component gets one link or is ruled out.  A
+    pair is looked at in the first bucket it shares only.
+    """
+    asks, other = tile[tile["asks"]], tile[~tile["asks"]]
+    a, b = [], []
+    if len(asks) and len(other):
+        least, here = least_agreement(threshold), tile["bucket"].iloc[0]
+        sigs = np.frombuffer(b"".join(other["sig"]), "<u4").reshape(len(other), -1)
+        keys = np.array(other["bands"].to_list())
+        nodes, parts = other["node"].to_numpy(), other["component"].to_numpy()
+        packed, bags = other["bag"].to_list(), {}
+        for row in asks.itertuples(index=False):
+            agreement = (sigs == np.frombuffer(row.sig, "<u4")).mean(axis=1)
+            mine = np.asarray(row.bands)
+            first = mine[(keys == mine).argmax(axis=1)] == here
+            found = np.flatnonzero((agreement >= least) & (parts != row.component) & first)
+            own, linked = _bag(row.bag), set()
+            for i in found[np.argsort(-agreement[found], kind="stable")].tolist():
+                if parts[i] in linked:
+                    continue
+                if i not in bags:
+                    bags[i] = _bag(packed[i])
+                if probability_jaccard(own, bags[i]) >= threshold:
+                    linked.add(parts[i])
+                    a.append(min(nodes[i], row.node))
+                    b.append(max(nodes[i], row.node))
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+
+def left_over(
+    members: DataFrame, nodes: DataFrame, texts: DataFrame, reached: DataFrame, threshold: float
+) -> DataFrame | None:
+    """Links inside buckets that the stars left in several components; None if there are
+    no such buckets.
+
+    ``members`` has (bucket, node, leader, size).  Only nodes outside their
     leader's component are replicated, over the tiles of their bucket; a tile
-    compares them with its share of the bucket by signature.
+    compares them with its share of the bucket and returns links only.
     """
     of = reached.toDF("node", "component")
     leaders = reached.toDF("leader", "leader_component")
@@ -238,40 +295,36 @@ def left_over(members: DataFrame, reached: DataFrame, threshold: float) -> DataF
         .withColumn("apart", F.col("component") != F.coalesce("leader_component", "leader"))
     )
     open_ = placed.groupBy("bucket").agg(F.max("apart").alias("_o")).filter("_o").select("bucket")
-    rows = placed.join(open_, "bucket")
+    rows = base.written(placed.join(open_, "bucket"), "open")
+    if rows.isEmpty():
+        return None
+    wanted = rows.select("node").distinct()
+    content = base.written(
+        packed_bags(texts.join(wanted, "node", "left_semi")).join(
+            nodes.select("node", "sig", "bands"), "node"
+        ),
+        "bags",
+    )
     tiles = F.ceil(F.col("size") / TILE_ROWS).cast("int")
     own = F.pmod(F.xxhash64("node"), tiles).cast("int")
+    tile = "struct<tile:int,asks:boolean>"
+    mine = F.array(F.struct(own.alias("tile"), F.lit(False).alias("asks")).cast(tile))
+    asked = F.transform(
+        F.sequence(F.lit(0), tiles - 1),
+        lambda t: F.struct(t.alias("tile"), F.lit(True).alias("asks")).cast(tile),
+    )
     dealt = rows.select(
-        "bucket", "node", "component", "sig",
-        F.explode(
-            F.concat(
-                F.array(F.struct(own.alias("tile"), F.lit(False).alias("asks"))),
-                F.when(
-                    F.col("apart"),
-                    F.transform(
-                        F.sequence(F.lit(0), tiles - 1),
-                        lambda t: F.struct(t.alias("tile"), F.lit(True).alias("asks")),
-                    ),
-                ).otherwise(F.array().cast("array<struct<tile:int,asks:boolean>>")),
-            )
-        ).alias("_t"),
-    ).select("bucket", "node", "component", "sig", "_t.tile", "_t.asks")
-    least = least_agreement(threshold)
+        "bucket", "node", "component",
+        F.explode(F.when(F.col("apart"), F.concat(mine, asked)).otherwise(mine)).alias("_t"),
+    ).select("bucket", "node", "component", "_t.tile", "_t.asks")
 
-    def compare(tile: pd.DataFrame) -> pd.DataFrame:
-        asks, other = tile[tile["asks"]], tile[~tile["asks"]]
-        a, b = [], []
-        if len(asks) and len(other):
-            sigs = np.frombuffer(b"".join(other["sig"]), "<u4").reshape(len(other), -1)
-            nodes, parts = other["node"].to_numpy(), other["component"].to_numpy()
-            for node, part, sig in zip(asks["node"], asks["component"], asks["sig"], strict=True):
-                near = (sigs == np.frombuffer(sig, "<u4")).mean(axis=1) >= least
-                found = nodes[near & (parts != part)]
-                a.extend(np.minimum(found, node).tolist())
-                b.extend(np.maximum(found, node).tolist())
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+    def compare(found: pd.DataFrame) -> pd.DataFrame:
+        return tile_links(found, threshold)
 
-    return dealt.groupBy("bucket", "tile").applyInPandas(compare, "a long, b long").distinct()
+    return (
+        dealt.join(content, "node").groupBy("bucket", "tile")
+        .applyInPandas(compare, "a long, b long").distinct()
+    )
 
 
 def groups(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -301,14 +354,10 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Da
     first = base.written(promising(star, nodes, threshold), "candidates")
     links = base.written(verified(first, texts, threshold), "links")
     reached = components(links)
-    with_sig = members.join(nodes.select("node", "sig"), "node")
-    rest = base.written(left_over(with_sig, reached, threshold), "candidates")
-    if rest.isEmpty():
-        final = reached
-    else:
-        tried = rest.join(first, ["a", "b"], "left_anti")
-        final = components(links.union(verified(tried, texts, threshold)))
-    placed = nodes.select("key", "node").join(final, "node", "left")
+    rest = left_over(members, nodes, texts, reached, threshold)
+    if rest is not None:
+        reached = components(links.union(rest))
+    placed = nodes.select("key", "node").join(reached, "node", "left")
     return signed.select("doc_id", "key"), placed.select(
         "key", F.coalesce("component", "node").alias("component")
     )

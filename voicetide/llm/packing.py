@@ -18,6 +18,7 @@ import functools
 import os
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +27,9 @@ from voicetide.llm import base
 
 MAX_TOKENS = 2048
 END_ID = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
+#: What a piece at the end of a word ends with in this vocabulary.
+WORD_END = "</w>"
 PIECES = "start long, length long, doc_tokens long, ids binary"
 
 
@@ -49,12 +52,27 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.cache: dict[bytes, bytes] = {}
         self.marks = {m: self._direct([m.decode()])[0] for m in (b".", b",")}
 
     def _direct(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in found]
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Words of letters only: each is one word to the tokenizer as well, so they go
+        through it as one text, and pieces that end a word tell them apart."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(ends) != len(words):
+            return self._direct(words)
+        packed, ends = ids.tobytes(), ends.tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     @staticmethod
     def words(text: str) -> list[bytes]:
@@ -80,8 +98,13 @@ class WordIds:
                     plain.add(word[:-1])
             else:
                 plain.add(word)
-        ordered = list(plain)
-        cache.update(zip(ordered, self._direct([w.decode() for w in ordered]), strict=True))
+        letters, others = [], []
+        for word in plain:
+            text = word.decode()
+            (letters if text.isalpha() else others).append((word, text))
+        for group, encode in ((letters, self._letters), (others, self._direct)):
+            ids = encode([t for _, t in group])
+            cache.update(zip([w for w, _ in group], ids, strict=True))
         for word, stem in bare.items():
             cache[word] = cache[stem] + self.marks[word[-1:]]
 

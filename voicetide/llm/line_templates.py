@@ -9,8 +9,8 @@ digit is a variable field from the start.  Two kinds of templates recur:
   tokens share a template, if those are at least ``SIMILARITY`` of the line.
 
 A template that recurs in ``MIN_DOCS`` texts or more is dropped from all of them,
-unless it recurs only because texts were copied: a text's sketch is its smallest
-hash of a long word, which copies share and unrelated texts don't, and the
+unless it recurs only because texts were copied: the smallest leaf among a text's
+other lines is its sketch, which copies share and unrelated texts don't, and the
 sketches of the texts must be many (``MIN_DOCS``, and ``MIN_VARIETY`` of the
 texts).  Copied documents are left to document dedup.
 
@@ -42,48 +42,75 @@ SIMILARITY = 0.7
 MIN_GENERAL_TOKENS = 6
 #: Least share of different sketches among the texts of a template.
 MIN_VARIETY = 0.25
-#: Words of this length go into a text's sketch.
-LONG_WORD = 8
 FIELD = "<*>"
 
 
-def masked(line: Column) -> Column:
-    """The line with tokens parted by one space, tokens with digits as variable fields."""
-    spaced = F.trim(F.regexp_replace(line, r"[ \t\r\f\x0B]+", " "))
-    return F.regexp_replace(spaced, r"[^ ]*[0-9][^ ]*", FIELD)
+def spaced(line: Column) -> Column:
+    """Tokens parted by one space.  Most lines are only searched, not rebuilt."""
+    return F.when(
+        line.rlike(r"[\t\r\f\x0B]|  |^ | $"),
+        F.trim(F.regexp_replace(line, r"[ \t\r\f\x0B]+", " ")),
+    ).otherwise(line)
+
+
+def fields(line: Column) -> Column:
+    """Tokens with digits as variable fields."""
+    return F.when(
+        line.rlike("[0-9]"), F.regexp_replace(line, r"[^ 0-9]*[0-9][^ ]*", FIELD)
+    ).otherwise(line)
 
 
 def line_hash(line: Column) -> Column:
-    return F.xxhash64(masked(line))
+    return F.xxhash64(fields(spaced(line)))
 
 
-def sketch(text: Column) -> Column:
-    """The smallest md5 of a text's long words; of the text itself if it has none."""
-    long_words = F.filter(F.split(text, r"[ \t\r\n\f\x0B]+"), lambda w: F.length(w) >= LONG_WORD)
-    hashes = F.transform(F.array_distinct(long_words), lambda w: F.md5(w.cast("binary")))
-    return F.coalesce(F.array_min(hashes), F.md5(text.cast("binary")))
+def bound(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once.
+
+    Spark copies a projected expression into every later use of it, but not
+    through a generator; the outer form adds no filter that computes it again.
+    """
+    return rows.select("*", F.explode_outer(F.array(value)).alias(name))
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(h, sketch, line, lh, n): the masked lines that may be dropped, per text hash."""
-    texts = docs.filter(F.col("text").isNotNull()).select(
-        F.xxhash64("text").alias("h"), sketch(F.col("text")).alias("sketch"), "text"
-    )
-    each = texts.select("h", "sketch", F.explode(F.split("text", "\n")).alias("_line"))
+    """(h, line, lh, n): the masked lines that may be dropped, per text hash."""
+    texts = docs.filter(F.col("text").isNotNull()).select(F.xxhash64("text").alias("h"), "text")
+    each = texts.select("h", F.explode_outer(F.split("text", "\n")).alias("_line"))
+    cut = bound(each, "_spaced", spaced(F.col("_line")))
     return (
-        each.select("h", "sketch", masked(F.col("_line")).alias("line"))
-        .filter(F.col("line") != "")
+        bound(cut, "line", fields(F.col("_spaced")))
         .select(
-            "h", "sketch", "line", F.xxhash64("line").alias("lh"),
+            "h", "line", F.xxhash64("line").alias("lh"),
             (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).alias("n"),
         )
-        .filter(F.col("n") >= MIN_TOKENS)
+        .filter((F.col("line") != "") & (F.col("n") >= MIN_TOKENS))
     )
 
 
 def leaf(line: Column, n: Column) -> Column:
     """The leaf of the tree: number of tokens and leading tokens."""
-    return F.xxhash64(n, F.substring_index(line, " ", DEPTH))
+    key = F.concat(F.substring_index(line, " ", DEPTH), F.lit("/"), n.cast("string"))
+    return F.md5(key.cast("binary"))
+
+
+def places_of(docs: DataFrame) -> DataFrame:
+    """(h, lh, leaf, n, sketch): every text's distinct lines.
+
+    A line's sketch is the smallest leaf of its text's other lines: copies share
+    it, edited or not, unless an edit meets that very line's beginning; other
+    texts have other leaves.  All texts of one leaf alone share that leaf as sketch.
+    """
+    found = lines(docs).withColumn("leaf", leaf(F.col("line"), F.col("n")))
+    each = written(found.select("h", "lh", "leaf", "n").distinct(), "lines")
+    # the leaves of one text are as many as its lines at most
+    two = each.groupBy("h").agg(
+        F.slice(F.array_sort(F.collect_set("leaf")), 1, 2).alias("_two")
+    )
+    first, second = F.get("_two", F.lit(0)), F.get("_two", F.lit(1))
+    other = F.when(F.col("leaf") == first, second).otherwise(first)
+    sketch = F.coalesce(other, F.col("leaf")).alias("sketch")
+    return written(each.join(two, "h").select("h", "lh", "leaf", "n", sketch), "places")
 
 
 def recurring(places: DataFrame, key: str) -> DataFrame:
@@ -139,10 +166,7 @@ def generalised(docs: DataFrame, places: DataFrame) -> DataFrame:
 
 def bad_lines(docs: DataFrame) -> DataFrame:
     """(h, bad): per text hash the hashes of its lines whose template recurs."""
-    found = lines(docs).withColumn("leaf", leaf(F.col("line"), F.col("n")))
-    places = written(
-        found.groupBy("h", "sketch", "lh", "leaf", "n").agg(F.lit(1).alias("_")).drop("_"), "places"
-    )
+    places = places_of(docs)
     exact = recurring(places.select("lh", "h", "sketch"), "lh")
     shared = written(generalised(docs, places), "templates")
     of_text = shared.join(places, "lh").select("template", "h", "sketch").distinct()
@@ -159,11 +183,16 @@ def dedup(docs: DataFrame) -> DataFrame:
     joined = rows.join(bad, F.xxhash64(F.col("text")) == F.col("_h"), "left")
     every = F.split("text", "\n")
     stay = F.filter(every, lambda x: ~F.array_contains(F.col("_bad"), line_hash(x)))
-    filled = F.size(F.filter(every, lambda x: masked(x) != ""))
-    clean = F.when(F.col("_bad").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
-    dropped = F.when(F.col("_bad").isNull(), F.lit(0)).otherwise(F.size(every) - F.size(stay))
-    return joined.select(
+    filled = F.size(F.filter(every, lambda x: x.rlike(r"[^ \t\r\f\x0B]")))
+    own = [c for c in rows.columns if c != "text"]
+    found = joined.select(
+        *[F.col(f"`{c}`") for c in own], "text", filled.alias("_filled"),
+        F.when(F.col("_bad").isNotNull(), F.struct(stay.alias("l"), F.size(every).alias("n"))).alias("_s"),
+    )
+    clean = F.when(F.col("_s").isNull(), F.col("text")).otherwise(F.array_join("_s.l", "\n"))
+    dropped = F.when(F.col("_s").isNull(), F.lit(0)).otherwise(F.col("_s.n") - F.size("_s.l"))
+    return found.select(
         *[clean.alias("text") if c == "text" else F.col(f"`{c}`") for c in rows.columns],
-        F.when(F.col("text").isNull(), F.lit(0)).otherwise(filled).alias("n_lines"),
-        F.when(F.col("text").isNull(), F.lit(0)).otherwise(dropped).alias("n_dropped"),
+        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.col("_filled")).alias("n_lines"),
+        dropped.alias("n_dropped"),
     )

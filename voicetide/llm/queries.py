@@ -45,20 +45,21 @@ def op7_line_templates(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-OP7_SQL = r"""WITH tx AS (
-  SELECT DISTINCT text AS h, coalesce(
-    list_min([md5(w) FOR w IN regexp_split_to_array(text, '[ \t\r\n\f\x0B]+') IF length(w) >= 8]),
-    md5(text)) AS sketch
-  FROM documents WHERE text IS NOT NULL),
-ln AS (
-  SELECT h, sketch, trim(regexp_replace(raw, '[ \t\r\f\x0B]+', ' ', 'g'), ' ') AS spaced
-  FROM (SELECT h, sketch, unnest(string_split(h, chr(10))) AS raw FROM tx)),
+OP7_SQL = r"""WITH ln AS (
+  SELECT h, trim(regexp_replace(raw, '[ \t\r\f\x0B]+', ' ', 'g'), ' ') AS spaced
+  FROM (SELECT DISTINCT text AS h, unnest(string_split(text, chr(10))) AS raw
+    FROM documents WHERE text IS NOT NULL)),
 ms AS (
-  SELECT h, sketch, line, string_split(line, ' ') AS tok FROM (
-    SELECT h, sketch, regexp_replace(spaced, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line FROM ln)
+  SELECT h, line, string_split(line, ' ') AS tok FROM (
+    SELECT h, regexp_replace(spaced, '[^ 0-9]*[0-9][^ ]*', '<*>', 'g') AS line FROM ln)
   WHERE line <> ''),
-pl AS (SELECT DISTINCT h, sketch, line, tok, len(tok) AS n, (len(tok), tok[1:3]) AS leaf
+ps AS (SELECT DISTINCT h, line, tok, len(tok) AS n,
+    md5(array_to_string(tok[1:3], ' ') || '/' || len(tok)) AS leaf
   FROM ms WHERE len(tok) >= 3),
+tw AS (SELECT h, list_sort(list(DISTINCT leaf)) AS two FROM ps GROUP BY h),
+pl AS (SELECT h, line, tok, n, leaf,
+    coalesce(CASE WHEN leaf = two[1] THEN two[2] ELSE two[1] END, leaf) AS sketch
+  FROM ps JOIN tw USING (h)),
 ex AS (
   SELECT line FROM pl GROUP BY line HAVING count(*) >= 3 AND count(DISTINCT sketch) >= 3
     AND count(DISTINCT sketch) >= 0.25 * count(*)),
@@ -77,7 +78,7 @@ tp AS (
 bad AS (SELECT line FROM ex UNION SELECT line FROM sh JOIN tp USING (leaf, kept)),
 ow AS (
   SELECT doc_id, text, i, raw, regexp_replace(trim(regexp_replace(raw, '[ \t\r\f\x0B]+', ' ', 'g'), ' '),
-    '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line
+    '[^ 0-9]*[0-9][^ ]*', '<*>', 'g') AS line
   FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i,
     unnest(string_split(text, chr(10))) AS raw FROM documents WHERE text IS NOT NULL)),
 rs AS (

@@ -98,3 +98,43 @@ def test_sql_on_odd_texts(spark, tmp_path, extra):
     want = _rows([d[0] for d in cursor.description], cursor.fetchall())
     found = lt.dedup(docs).select("doc_id", "n_lines", "n_dropped", "text")
     assert _rows(found.columns, [tuple(r) for r in found.collect()]) == want
+
+
+@pytest.mark.parametrize("shared, mine", [(3, 1), (5, 1), (10, 1), (10, 3), (20, 3)])
+def test_lines_of_a_passage_do_not_protect_each_other(spark, shared, mine):
+    passage = [f"shared{'abcdefghijklmnopqrstuvwxyz'[k]} line of the passage that every text holds" for k in range(shared)]
+    private = ["\n".join(own(26 * k + i) for k in range(mine)) for i in range(6)]
+    found = run(spark, ["\n".join([*passage, p]) for p in private])
+    assert [r.text for r in found.values()] == private
+
+
+def test_texts_of_templates_alone(spark):
+    page = "Reading {} was taken at noon\nStation number {} reports no fault\nSerial {} of the series"
+    found = run(spark, [page.format(i, 7 * i, 100 + i) for i in range(5)])
+    assert [(r.text, r.n_dropped) for r in found.values()] == [("", 3)] * 5
+
+
+def copies(stem, n):
+    """Edited copies of a text of twelve lines: one word of another line in each."""
+    alphabet = "abcdefghijkl"
+    body = [
+        [f"{stem}{alphabet[k]}{alphabet[w]}" for w in range(12)] for k in range(12)
+    ]
+    out = []
+    for i in range(n):
+        made = [list(x) for x in body]
+        made[i % 12][(5 * i) % 12] = f"edit{stem}{alphabet[i % 12]}{alphabet[i // 12]}"
+        out.append("\n".join(" ".join(x) for x in made))
+    return out
+
+
+def test_edited_copies_are_left_alone(spark):
+    found = run(spark, copies("tree", 40) + [own(i) for i in range(4)])
+    assert all(r.n_dropped == 0 for r in found.values())
+
+
+def test_a_line_in_groups_of_copies(spark):
+    licence = "Published under the public licence of the library"
+    bodies = [c for stem in ("tree", "lake", "hill", "moon") for c in copies(stem, 4)]
+    found = run(spark, [f"{b}\n{licence}" for b in bodies])
+    assert [r.text for r in found.values()] == bodies

@@ -9,10 +9,10 @@ digit is a variable field from the start.  Two kinds of templates recur:
   tokens share a template, if those are at least ``SIMILARITY`` of the line.
 
 A template that recurs in ``MIN_DOCS`` texts or more is dropped from all of them,
-unless it recurs only because texts were copied: the smallest leaf among a text's
-other lines is its sketch, which copies share and unrelated texts don't, and the
-sketches of the texts must be many (``MIN_DOCS``, and ``MIN_VARIETY`` of the
-texts).  Copied documents are left to document dedup.
+unless it recurs only because texts were copied: a text's sketch comes from lines
+of its own, or from the rarest of its lines if it has hardly any (``sketches``), so
+copies share it and unrelated texts don't, however many lines they share.  The
+sketches of the texts must be many (``MIN_DOCS``, and ``MIN_VARIETY`` of the texts).  Copied documents are left to document dedup.
 
 All of it is DataFrame code.  The verdict depends on a line's content alone, so
 equal texts count once, no row ids are needed, and texts meet their bad lines
@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voicetide.llm.base import written
+from voicetide.llm.graph import components
 
 #: Texts a template must recur in.
 MIN_DOCS = 3
@@ -42,6 +43,10 @@ SIMILARITY = 0.7
 MIN_GENERAL_TOKENS = 6
 #: Least share of different sketches among the texts of a template.
 MIN_VARIETY = 0.25
+#: Tokens at each end of a line that tell edited copies of it.
+EDGE = 5
+#: Least share of its tokens in lines of its own by which a text is no copy.
+OWN = 0.05
 FIELD = "<*>"
 
 
@@ -74,14 +79,21 @@ def bound(rows: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(h, line, lh, n): the masked lines that may be dropped, per text hash."""
+    """(h, line, lh, head, tail, n): the masked lines that may be dropped, per text hash."""
     texts = docs.filter(F.col("text").isNotNull()).select(F.xxhash64("text").alias("h"), "text")
     each = texts.select("h", F.explode_outer(F.split("text", "\n")).alias("_line"))
     cut = bound(each, "_spaced", spaced(F.col("_line")))
+    # ends are taken with the line's digits: pages of one form are not copies
+    raw = F.col("_spaced")
+    digits = F.when(raw.rlike("[0-9]"), F.regexp_replace(raw, "[^0-9]+", "")).otherwise("")
+
+    def end(side: int) -> Column:
+        return F.xxhash64(F.lit(side), F.substring_index(raw, " ", side * EDGE), digits)
+
     return (
         bound(cut, "line", fields(F.col("_spaced")))
         .select(
-            "h", "line", F.xxhash64("line").alias("lh"),
+            "h", "line", F.xxhash64("line").alias("lh"), end(1).alias("head"), end(-1).alias("tail"),
             (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).alias("n"),
         )
         .filter((F.col("line") != "") & (F.col("n") >= MIN_TOKENS))
@@ -94,23 +106,67 @@ def leaf(line: Column, n: Column) -> Column:
     return F.md5(key.cast("binary"))
 
 
-def places_of(docs: DataFrame) -> DataFrame:
-    """(h, lh, leaf, n, sketch): every text's distinct lines.
+def texts_of(each: DataFrame, key: str) -> DataFrame:
+    """(key, <key>_texts) of the line ends found in two texts or more."""
+    found = each.select("h", key).distinct().groupBy(key)
+    return found.agg(F.count(F.lit(1)).alias(f"{key}_texts")).filter(F.col(f"{key}_texts") > 1)
+
+
+def sketches(each: DataFrame) -> DataFrame:
+    """(h, sketch): texts that are near copies share a sketch, other texts don't.
 
-    A line's sketch is the smallest leaf of its text's other lines: copies share
-    it, edited or not, unless an edit meets that very line's beginning; other
-    texts have other leaves.  All texts of one leaf alone share that leaf as sketch.
+    A line is a text's own if neither its head nor its tail is found in ``MIN_DOCS``
+    texts: an edit meets one of them, so an edited line still counts as recurring.
+    Lines in which the two overlap are judged by the head.
+    A text with enough lines of its own has one of those as sketch, whatever it
+    shares; one that a second text holds is preferred, so pairs of copies agree.
+    A text of one line has that as sketch, whatever its numbers.
+    The others are made of recurring lines.  Their rarest two are joined to
+    components: those of a group of copies are rarer than what the group shares
+    with the rest, and they hang together where edits change the choice.
     """
+    seen = each.join(texts_of(each, "head"), "head", "left").join(texts_of(each, "tail"), "tail", "left")
+    of_head = F.coalesce("head_texts", F.lit(1))
+    of_tail = F.when(F.col("n") < 2 * EDGE, 0).otherwise(F.coalesce("tail_texts", F.lit(1)))
+    placed = seen.select(
+        "h", "lh", "n", "c", F.greatest(of_head, of_tail).alias("_t"),
+        F.when(of_head >= of_tail, F.col("head")).otherwise(F.col("tail")).alias("_k"),
+    )
+    mine = F.col("_t") < MIN_DOCS
+    texts = written(
+        placed.groupBy("h").agg(
+            F.sum("n").alias("_all"), F.sum(F.when(mine, F.col("n"))).alias("_own"),
+            F.when(F.sum("c") == 1, F.min("lh")).alias("_line"),
+            F.min(F.when(mine & (F.col("_t") > 1), F.col("_k"))).alias("_pair"),
+            F.min(F.when(mine, F.col("_k"))).alias("_one"),
+            # the lines of one text
+            F.slice(
+                F.array_sort(F.collect_set(F.when(~mine, F.struct("_t", "_k")))), 1, 2
+            ).alias("_rarest"),
+        ).select(
+            "h", "_line", (F.coalesce("_own", F.lit(0)) >= OWN * F.col("_all")).alias("_alone"),
+            F.coalesce("_pair", "_one").alias("_o"),
+            F.get("_rarest", F.lit(0))["_k"].alias("a"), F.get("_rarest", F.lit(1))["_k"].alias("b"),
+        ),
+        "texts",
+    )
+    reached = components(texts.filter("NOT _alone AND b IS NOT NULL").select("a", "b").distinct())
+    joined = texts.join(reached.toDF("a", "_c"), "a", "left")
+    shared = F.coalesce("_c", "a", "_o")
+    several = F.when(F.col("_alone"), F.col("_o")).otherwise(shared)
+    return joined.select("h", F.coalesce("_line", several).alias("sketch"))
+
+
+def places_of(docs: DataFrame) -> DataFrame:
+    """(h, lh, leaf, n, sketch): every text's distinct lines."""
     found = lines(docs).withColumn("leaf", leaf(F.col("line"), F.col("n")))
-    each = written(found.select("h", "lh", "leaf", "n").distinct(), "lines")
-    # the leaves of one text are as many as its lines at most
-    two = each.groupBy("h").agg(
-        F.slice(F.array_sort(F.collect_set("leaf")), 1, 2).alias("_two")
+    each = written(
+        found.groupBy("h", "lh", "leaf", "n").agg(
+            F.count(F.lit(1)).alias("c"), F.min("head").alias("head"), F.min("tail").alias("tail")
+        ),
+        "lines",
     )
-    first, second = F.get("_two", F.lit(0)), F.get("_two", F.lit(1))
-    other = F.when(F.col("leaf") == first, second).otherwise(first)
-    sketch = F.coalesce(other, F.col("leaf")).alias("sketch")
-    return written(each.join(two, "h").select("h", "lh", "leaf", "n", sketch), "places")
+    return written(each.join(sketches(each), "h").select("h", "lh", "leaf", "n", "sketch"), "places")
 
 
 def recurring(places: DataFrame, key: str) -> DataFrame:

@@ -138,3 +138,10 @@ def test_a_line_in_groups_of_copies(spark):
     bodies = [c for stem in ("tree", "lake", "hill", "moon") for c in copies(stem, 4)]
     found = run(spark, [f"{b}\n{licence}" for b in bodies])
     assert [r.text for r in found.values()] == bodies
+
+
+def test_a_group_of_copies_has_no_veto(spark):
+    licence = "Published under the public licence of the library"
+    group = copies("tree", 40)
+    found = run(spark, [f"{b}\n{licence}" for b in group] + [f"{own(i)}\n{licence}" for i in range(6)])
+    assert [r.text for r in found.values()] == group + [own(i) for i in range(6)]

@@ -11,8 +11,8 @@ digit is a variable field from the start.  Two kinds of templates recur:
 A template that recurs in ``MIN_DOCS`` texts or more is dropped from all of them,
 unless it recurs only because texts were copied: a text's sketch comes from lines
 of its own, or from the rarest of its lines if it has hardly any (``sketches``), so
-copies share it and unrelated texts don't, however many lines they share.  The
-sketches of the texts must be many (``MIN_DOCS``, and ``MIN_VARIETY`` of the texts).  Copied documents are left to document dedup.
+copies share it and unrelated texts don't, however many lines they share.  There
+must be ``MIN_DOCS`` different sketches; further copies don't change that.  Copied documents are left to document dedup.
 
 All of it is DataFrame code.  The verdict depends on a line's content alone, so
 equal texts count once, no row ids are needed, and texts meet their bad lines
@@ -41,8 +41,6 @@ MIN_TOKENS = 3
 #: Share of a line's tokens that a generalised template must keep, and its least length.
 SIMILARITY = 0.7
 MIN_GENERAL_TOKENS = 6
-#: Least share of different sketches among the texts of a template.
-MIN_VARIETY = 0.25
 #: Tokens at each end of a line that tell edited copies of it.
 EDGE = 5
 #: Least share of its tokens in lines of its own by which a text is no copy.
@@ -170,13 +168,10 @@ def places_of(docs: DataFrame) -> DataFrame:
 
 
 def recurring(places: DataFrame, key: str) -> DataFrame:
-    """Keys found in enough texts that are not copies; ``places`` has distinct (key, h, sketch)."""
-    by_sketch = places.groupBy(key, "sketch").agg(F.count(F.lit(1)).alias("_n"))
-    found = by_sketch.groupBy(key).agg(
-        F.sum("_n").alias("texts"), F.count(F.lit(1)).alias("sketches")
-    )
-    enough = (F.col("texts") >= MIN_DOCS) & (F.col("sketches") >= MIN_DOCS)
-    return found.filter(enough & (F.col("sketches") >= MIN_VARIETY * F.col("texts"))).select(key)
+    """Keys found in enough texts that are not copies, however many copies there are besides."""
+    by_sketch = places.select(key, "sketch").distinct()
+    found = by_sketch.groupBy(key).agg(F.count(F.lit(1)).alias("sketches"))
+    return found.filter(F.col("sketches") >= MIN_DOCS).select(key)
 
 
 def generalised(docs: DataFrame, places: DataFrame) -> DataFrame:

@@ -105,7 +105,7 @@ def test_lines_of_a_passage_do_not_protect_each_other(spark, shared, mine):
     passage = [f"shared{'abcdefghijklmnopqrstuvwxyz'[k]} line of the passage that every text holds" for k in range(shared)]
     private = ["\n".join(own(26 * k + i) for k in range(mine)) for i in range(6)]
     found = run(spark, ["\n".join([*passage, p]) for p in private])
-    assert [r.text for r in found.values()] == private
+    assert [found[i].text for i in range(len(found))] == private
 
 
 def test_texts_of_templates_alone(spark):
@@ -137,11 +137,21 @@ def test_a_line_in_groups_of_copies(spark):
     licence = "Published under the public licence of the library"
     bodies = [c for stem in ("tree", "lake", "hill", "moon") for c in copies(stem, 4)]
     found = run(spark, [f"{b}\n{licence}" for b in bodies])
-    assert [r.text for r in found.values()] == bodies
+    assert [found[i].text for i in range(len(found))] == bodies
 
 
 def test_a_group_of_copies_has_no_veto(spark):
     licence = "Published under the public licence of the library"
     group = copies("tree", 40)
     found = run(spark, [f"{b}\n{licence}" for b in group] + [f"{own(i)}\n{licence}" for i in range(6)])
-    assert [r.text for r in found.values()] == group + [own(i) for i in range(6)]
+    assert [found[i].text for i in range(len(found))] == group + [own(i) for i in range(6)]
+
+
+def test_short_lines_that_recur_often_go(spark):
+    found = run(spark, [f"Home\n{own(i)}\nRead more" for i in range(12)] + [f"{own(20 + i)}\nThe." for i in range(3)])
+    assert [found[i].text for i in range(len(found))] == [own(i) for i in range(12)] + [f"{own(20 + i)}\nThe." for i in range(3)]
+
+
+def test_copies_keep_their_short_lines(spark):
+    group = [f"Home\n{c}" for c in copies("tree", 40)]
+    assert all(r.n_dropped == 0 for r in run(spark, group).values())

@@ -20,7 +20,8 @@ through a hash of the text.  Counts are aggregated before every shuffle; a line
 that a third of the texts hold is one row per task.
 
 Defined results.  Null text: stays null, no lines.  Empty text: no lines.  Blank
-lines and lines of fewer than ``MIN_TOKENS`` tokens are never dropped.  Repeated
+lines are never dropped; lines of fewer than ``MIN_TOKENS`` tokens must recur in
+``MIN_SHORT_DOCS`` texts.  Repeated
 rows and equal texts: one text for the counts, all cleaned alike.  A text whose
 lines all go is empty.  An empty table gives an empty result.
 """
@@ -37,7 +38,9 @@ from voicetide.llm.graph import components
 MIN_DOCS = 3
 #: Leading tokens that the tree looks at after the number of tokens.
 DEPTH = 3
+#: Lines of fewer tokens may meet by chance: they must recur in more texts.
 MIN_TOKENS = 3
+MIN_SHORT_DOCS = 10
 #: Share of a line's tokens that a generalised template must keep, and its least length.
 SIMILARITY = 0.7
 MIN_GENERAL_TOKENS = 6
@@ -94,7 +97,7 @@ def lines(docs: DataFrame) -> DataFrame:
             "h", "line", F.xxhash64("line").alias("lh"), end(1).alias("head"), end(-1).alias("tail"),
             (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).alias("n"),
         )
-        .filter((F.col("line") != "") & (F.col("n") >= MIN_TOKENS))
+        .filter(F.col("line") != "")
     )
 
 
@@ -118,12 +121,14 @@ def sketches(each: DataFrame) -> DataFrame:
     Lines in which the two overlap are judged by the head.
     A text with enough lines of its own has one of those as sketch, whatever it
     shares; one that a second text holds is preferred, so pairs of copies agree.
-    A text of one line has that as sketch, whatever its numbers.
+    A text of one line has that as sketch, whatever its numbers.  Short lines tell
+    texts apart only where there are no others (``places_of``).
     The others are made of recurring lines.  Their rarest two are joined to
     components: those of a group of copies are rarer than what the group shares
     with the rest, and they hang together where edits change the choice.
     """
-    seen = each.join(texts_of(each, "head"), "head", "left").join(texts_of(each, "tail"), "tail", "left")
+    long = each.filter(F.col("n") >= MIN_TOKENS)
+    seen = long.join(texts_of(long, "head"), "head", "left").join(texts_of(long, "tail"), "tail", "left")
     of_head = F.coalesce("head_texts", F.lit(1))
     of_tail = F.when(F.col("n") < 2 * EDGE, 0).otherwise(F.coalesce("tail_texts", F.lit(1)))
     placed = seen.select(
@@ -164,14 +169,19 @@ def places_of(docs: DataFrame) -> DataFrame:
         ),
         "lines",
     )
-    return written(each.join(sketches(each), "h").select("h", "lh", "leaf", "n", "sketch"), "places")
+    short = each.groupBy("h").agg(F.bit_xor("lh").alias("_x"), F.max("n").alias("_n")).filter(
+        F.col("_n") < MIN_TOKENS
+    )
+    known = sketches(each).union(short.select("h", "_x"))
+    return written(each.join(known, "h").select("h", "lh", "leaf", "n", "sketch"), "places")
 
 
 def recurring(places: DataFrame, key: str) -> DataFrame:
     """Keys found in enough texts that are not copies, however many copies there are besides."""
-    by_sketch = places.select(key, "sketch").distinct()
-    found = by_sketch.groupBy(key).agg(F.count(F.lit(1)).alias("sketches"))
-    return found.filter(F.col("sketches") >= MIN_DOCS).select(key)
+    by_sketch = places.select(key, "n", "sketch").distinct()
+    found = by_sketch.groupBy(key, "n").agg(F.count(F.lit(1)).alias("sketches"))
+    least = F.when(F.col("n") < MIN_TOKENS, MIN_SHORT_DOCS).otherwise(MIN_DOCS)
+    return found.filter(F.col("sketches") >= least).select(key)
 
 
 def generalised(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -218,9 +228,9 @@ def generalised(docs: DataFrame, places: DataFrame) -> DataFrame:
 def bad_lines(docs: DataFrame) -> DataFrame:
     """(h, bad): per text hash the hashes of its lines whose template recurs."""
     places = places_of(docs)
-    exact = recurring(places.select("lh", "h", "sketch"), "lh")
+    exact = recurring(places, "lh")
     shared = written(generalised(docs, places), "templates")
-    of_text = shared.join(places, "lh").select("template", "h", "sketch").distinct()
+    of_text = shared.join(places, "lh").select("template", "n", "sketch")
     general = shared.join(recurring(of_text, "template"), "template").select("lh")
     bad = exact.union(general).distinct()
     return places.join(bad, "lh").groupBy("h").agg(F.collect_set("lh").alias("bad"))

@@ -155,3 +155,16 @@ def test_short_lines_that_recur_often_go(spark):
 def test_copies_keep_their_short_lines(spark):
     group = [f"Home\n{c}" for c in copies("tree", 40)]
     assert all(r.n_dropped == 0 for r in run(spark, group).values())
+
+
+def test_frequent_values_of_a_field(spark):
+    names = ["anna"] * 5 + ["boris"] * 4 + ["clara", "dmitri"]
+    found = run(spark, [f"{own(i)}\nPosted by the author {n} in our main forum" for i, n in enumerate(names)])
+    assert [found[i].text for i in range(len(found))] == [own(i) for i in range(len(names))]
+
+
+def test_a_line_of_copies_goes_by_its_template(spark):
+    line = "Posted by the author {} in our main forum"
+    group = [f"{c}\n{line.format('anna')}" for c in copies("tree", 12)]
+    found = run(spark, group + [f"{own(i)}\n{line.format(n)}" for i, n in enumerate(["boris", "clara", "dmitri"])])
+    assert all(r.n_dropped == 1 for r in found.values())

@@ -187,19 +187,19 @@ def recurring(places: DataFrame, key: str) -> DataFrame:
 def generalised(docs: DataFrame, places: DataFrame) -> DataFrame:
     """(lh, template) of the lines that share a template with variable fields.
 
-    Only lines found in fewer than ``MIN_DOCS`` texts whose leaf is found in that
-    many are looked at.
+    All lines of a leaf count, each once however many texts hold it.  For a token to
+    be constant, one line isn't enough even if it recurs: a line counts for less
+    than ``MIN_DOCS`` texts, so a frequent value of a field is a field as a rare one is.
     """
-    rare = (
+    every = (
         places.filter(F.col("n") >= MIN_GENERAL_TOKENS)
-        .groupBy("lh", "leaf").agg(F.count(F.lit(1)).alias("texts"))
-        .filter(F.col("texts") < MIN_DOCS)
+        .groupBy("lh", "leaf").agg(F.least(F.count(F.lit(1)), F.lit(MIN_DOCS - 1)).alias("texts"))
     )
     leaves = (
-        rare.groupBy("leaf").agg(F.sum("texts").alias("_t"))
+        every.groupBy("leaf").agg(F.sum("texts").alias("_t"))
         .filter(F.col("_t") >= MIN_DOCS).select("leaf")
     )
-    wanted = rare.join(leaves, "leaf")
+    wanted = every.join(leaves, "leaf")
     content = lines(docs).filter(F.col("n") >= MIN_GENERAL_TOKENS).select("lh", "line")
     # equal lines are one row before the tokens are taken apart
     whole = content.join(wanted, "lh").groupBy("lh", "leaf", "texts").agg(F.min("line").alias("line"))

@@ -135,3 +135,17 @@ def test_cases(edge, nothing):
     # the repeated row and the copy of "one two" go
     assert kept.count() == edge.count() - 2
     assert pm.classify(nothing).count() == 0 and pm.keep_first(nothing).count() == 0
+
+
+def test_tiles_are_bounded_on_both_sides(spark, monkeypatch):
+    monkeypatch.setattr(pm, "TILE_ROWS", 50)
+    rows = spark.range(400).selectExpr(
+        "1L AS bucket", "id AS node", "id AS component", "400L AS size", "true AS apart", "400L AS askers"
+    )
+    dealt = pm.tiled(rows).collect()
+    tiles = {}
+    for r in dealt:
+        tiles.setdefault((r.tile, r.asker_tile), ([], []))[r.asks].append(r.node)
+    assert max(len(a) + len(b) for a, b in tiles.values()) <= 4 * 50
+    met = [(x, y) for others, asks in tiles.values() for x in asks for y in others]
+    assert len(met) == len(set(met)) == 400 * 400

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -277,6 +278,35 @@ def tile_links(tile: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
+def tiled(rows: DataFrame) -> DataFrame:
+    """(bucket, node, component, tile, asker_tile, asks): the members of open buckets, dealt
+    so that every asking node meets every node of its bucket in one (tile, asker_tile), and
+    that none of these holds more than about twice ``TILE_ROWS`` rows.
+    """
+
+    def parts(n: str) -> Column:
+        return F.ceil(F.col(n) / TILE_ROWS).cast("int")
+
+    def own(n: str) -> Column:
+        return F.pmod(F.xxhash64("node"), parts(n)).cast("int")
+
+    def places(n: str, place: Callable[[Column], Column]) -> Column:
+        return F.transform(F.sequence(F.lit(0), parts(n) - 1), place)
+
+    def at(tile: Column, asker_tile: Column, asks: bool) -> Column:
+        found = F.struct(
+            tile.alias("tile"), asker_tile.alias("asker_tile"), F.lit(asks).alias("asks")
+        )
+        return found.cast("struct<tile:int,asker_tile:int,asks:boolean>")
+
+    mine = places("askers", lambda t: at(own("size"), t, False))
+    asked = places("size", lambda t: at(t, own("askers"), True))
+    return rows.select(
+        "bucket", "node", "component",
+        F.explode(F.when(F.col("apart"), F.concat(mine, asked)).otherwise(mine)).alias("_t"),
+    ).select("bucket", "node", "component", "_t.*")
+
+
 def left_over(
     members: DataFrame, nodes: DataFrame, texts: DataFrame, reached: DataFrame, threshold: float
 ) -> DataFrame | None:
@@ -284,8 +314,8 @@ def left_over(
     no such buckets.
 
     ``members`` has (bucket, node, leader, size).  Only nodes outside their
-    leader's component are replicated, over the tiles of their bucket; a tile
-    compares them with its share of the bucket and returns links only.
+    leader's component ask; both sides are dealt in tiles of bounded size, and a pair
+    of tiles returns links only.
     """
     of = reached.toDF("node", "component")
     leaders = reached.toDF("leader", "leader_component")
@@ -294,7 +324,7 @@ def left_over(
         .withColumn("component", F.coalesce("component", "node"))
         .withColumn("apart", F.col("component") != F.coalesce("leader_component", "leader"))
     )
-    open_ = placed.groupBy("bucket").agg(F.max("apart").alias("_o")).filter("_o").select("bucket")
+    open_ = placed.groupBy("bucket").agg(F.count_if("apart").alias("askers")).filter("askers > 0")
     rows = base.written(placed.join(open_, "bucket"), "open")
     if rows.isEmpty():
         return None
@@ -305,24 +335,12 @@ def left_over(
         ),
         "bags",
     )
-    tiles = F.ceil(F.col("size") / TILE_ROWS).cast("int")
-    own = F.pmod(F.xxhash64("node"), tiles).cast("int")
-    tile = "struct<tile:int,asks:boolean>"
-    mine = F.array(F.struct(own.alias("tile"), F.lit(False).alias("asks")).cast(tile))
-    asked = F.transform(
-        F.sequence(F.lit(0), tiles - 1),
-        lambda t: F.struct(t.alias("tile"), F.lit(True).alias("asks")).cast(tile),
-    )
-    dealt = rows.select(
-        "bucket", "node", "component",
-        F.explode(F.when(F.col("apart"), F.concat(mine, asked)).otherwise(mine)).alias("_t"),
-    ).select("bucket", "node", "component", "_t.tile", "_t.asks")
 
     def compare(found: pd.DataFrame) -> pd.DataFrame:
         return tile_links(found, threshold)
 
     return (
-        dealt.join(content, "node").groupBy("bucket", "tile")
+        tiled(rows).join(content, "node").groupBy("bucket", "tile", "asker_tile")
         .applyInPandas(compare, "a long, b long").distinct()
     )
 

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -149,3 +150,10 @@ def test_tiles_are_bounded_on_both_sides(spark, monkeypatch):
     assert max(len(a) + len(b) for a, b in tiles.values()) <= 4 * 50
     met = [(x, y) for others, asks in tiles.values() for x in asks for y in others]
     assert len(met) == len(set(met)) == 400 * 400
+
+
+def test_signatures_lose_far_fewer_pairs_than_bands():
+    p, n = pm.THRESHOLD, pm.REGISTERS
+    least = pm.least_agreement(p)
+    lost = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1) if k / n < least)
+    assert lost < 0.01 * (1 - p**pm.BAND_ROWS) ** pm.BANDS

@@ -14,9 +14,9 @@ any size.  Nodes outside their leader's component are then compared with all of
 their bucket, in tiles, by signature and text; a tile returns links only, one
 per component.  So no link is lost to the star, and no pairs are written.
 
-*Verification.*  Pairs whose registers rule out the threshold (four standard
-errors, 3e-5, as sure as the bands) are left out, the others' J_P is computed
-from the texts.  Links join
+*Verification.*  Pairs whose registers rule out the threshold (six standard
+errors: a pair at the threshold is lost with probability 3e-8, far below the
+bands' 5e-5) are left out, the others' J_P is computed from the texts.  Links join
 components; a group's documents share the smallest id as ``class_id``.
 
 Defined results.  Null texts and texts without words link with nothing and stay.
@@ -47,7 +47,7 @@ THRESHOLD = 0.8
 BANDS, BAND_ROWS = 25, 5
 REGISTERS = 128
 #: Standard errors by which the estimate may fall short of the threshold.
-ERRORS = 4.0
+ERRORS = 6.0
 #: Arrivals drawn at first, per register, beyond the logarithm of their number.
 MARGIN = 4.0
 TILE_ROWS = 512

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voicetide.llm import line_templates, lm, merge_dropout, neighbours, packing, prob_minhash, quality, toxicity, url_filter, warc
+from voicetide.llm import (
+    fingerprints, line_templates, lm, merge_dropout, neighbours, packing, prefix_trie, prob_minhash, quality, spelling,
+    toxicity, url_filter, warc,
+)
 from voicetide.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,8 +214,99 @@ SELECT page_id, host, fetched_at, coalesce(n_lists, 0) AS n_lists,
 FROM cap LEFT JOIN res USING (page_id)"""
 
 
+def crc32_sql(codes: str) -> str:
+    """The unsigned crc32 of a list of byte values."""
+    step = "list_reduce([xor(a, b)] || range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda a, b: {step}), 4294967295)"
+
+
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
+ID_CRC = crc32_sql("[CAST(ord(c) AS BIGINT) FOR c IN string_split(CAST(conv_id AS VARCHAR), '')]")
+OP11_SQL = f"""WITH tn AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS pos,
+    dense_rank() OVER (ORDER BY role, text) AS t, length(text) AS chars
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    WHERE conv_id IS NOT NULL)),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS first, {ID_CRC} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM tn)),
+rb AS (
+  SELECT conv_id, list(t ORDER BY part, pos) AS ts FROM (
+    SELECT i.conv_id, 0 AS part, pos, t FROM ids i JOIN tn ON tn.conv_id = i.first AND pos <= h
+    UNION ALL SELECT conv_id, 1, pos, t FROM ids JOIN tn USING (conv_id) WHERE pos > h) GROUP BY conv_id),
+cv AS (SELECT conv_id, coalesce(ts, CAST([] AS BIGINT[])) AS ts FROM ids LEFT JOIN rb USING (conv_id)),
+mem AS (
+  SELECT conv_id, d, ts[1:d] AS node, len(ts) = d AS ends
+  FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM cv)),
+nd AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ids FROM mem GROUP BY node, d),
+kid AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM nd WHERE d > 0 GROUP BY 1),
+al AS (
+  SELECT nd.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(chars, 0) AS value
+  FROM nd LEFT JOIN kid USING (node) LEFT JOIN (SELECT DISTINCT t, chars FROM tn) ON t = node[d]),
+up AS (
+  SELECT node[1:e] AS node, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(value) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM al) GROUP BY 1)
+SELECT al.conv_id, al.d AS depth, p.conv_id AS parent_conv_id, al.n_convs, al.n_children, n_leaves, saved_tokens,
+  sha256(al.ids) AS ends_sha256
+FROM al JOIN up ON up.node = al.node LEFT JOIN nd p ON al.d > 0 AND p.d = al.d - 1 AND p.node = al.node[1:al.d - 1]"""
+
+
+def op12_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    """Every 31st pair of document and word has a letter deleted, so that there are variants."""
+    return spelling.variants(spelling.words(table(spark, sf, "documents"), planted=31))
+
+
+RUN_BYTES = """flatten([CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)]
+    ELSE [CAST(192 + (ord(c) >> 6) AS BIGINT), CAST(128 + (ord(c) & 63) AS BIGINT)] END
+    FOR c IN string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, '')])"""
+OP12_SQL = f"""WITH RECURSIVE rn AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+hs AS (SELECT run, k, {crc32_sql(RUN_BYTES)} AS h FROM rn),
+vo AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    CAST(sum(k) AS BIGINT) AS n
+  FROM hs GROUP BY 1 HAVING length(word) >= 7 AND sum(k) >= 2),
+dl AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d
+  FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM vo)),
+ed AS (SELECT dl.word AS a, vo.word AS b FROM dl JOIN vo ON vo.word = d),
+nr AS (
+  SELECT a, b FROM ed UNION SELECT b, a FROM ed
+  UNION SELECT x.word, y.word FROM dl x JOIN dl y ON x.i = y.i AND x.d = y.d AND x.word <> y.word),
+bs AS (
+  SELECT a AS word, count(*) AS n_near, first(b ORDER BY vo.n DESC, b) AS best, max(vo.n) AS best_n
+  FROM nr JOIN vo ON vo.word = b GROUP BY a),
+fm AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form,
+    CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+  FROM vo LEFT JOIN bs USING (word)),
+ch AS (
+  SELECT word, word AS at FROM fm
+  UNION ALL SELECT ch.word, fm.form FROM ch JOIN fm ON fm.word = ch.at WHERE fm.form IS NOT NULL),
+rt AS (SELECT ch.word, ch.at AS root FROM ch JOIN fm ON fm.word = ch.at WHERE fm.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM fm JOIN rt USING (word)"""
+
+
+def op13_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprint(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_merge_dropout, op2_toxicity, op3_lm, op4_quality, op5_packing, op6_prob_minhash, op7_line_templates, op8_warc, op9_embeddings, op10_url_filter)
+    for f in (
+        op1_merge_dropout, op2_toxicity, op3_lm, op4_quality, op5_packing, op6_prob_minhash, op7_line_templates,
+        op8_warc, op9_embeddings, op10_url_filter, op11_prefix_trie, op12_spelling, op13_fingerprints,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op7_line_templates": OP7_SQL, "op8_warc": OP8_SQL, "op9_embeddings": OP9_SQL, "op10_url_filter": OP10_SQL,
+    "op11_prefix_trie": OP11_SQL, "op12_spelling": OP12_SQL,
 }
-ORACLES: dict[str, str] = {"op7_line_templates": OP7_SQL, "op8_warc": OP8_SQL, "op9_embeddings": OP9_SQL, "op10_url_filter": OP10_SQL}

@@ -72,3 +72,16 @@ def test_buckets_hold_equal_lengths(spark, documents, tmp_path):
     back = spark.read.parquet(path)
     sizes = back.groupBy("bucket").agg(pk.F.collect_set(pk.F.length("ids")).alias("s")).collect()
     assert all(r.s == [4 << r.bucket] for r in sizes)
+
+
+def test_caches_end_with_their_task(spark):
+    """Workers serve many tasks; what one keeps must not reach the next."""
+    rows = spark.range(4).select(pk.F.lit("x").alias("text")).repartition(1)
+
+    def make_with(value):
+        def make(texts):
+            return None, [[pk.base.kept(("probe",), lambda: value) for _ in texts]]
+
+        return {r.v for r in pk.base.add_columns(rows, make, "v long", ["text"], []).collect()}
+
+    assert make_with(1) == {1} and make_with(2) == {2}

@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +79,23 @@ def free_name(rows: DataFrame, name: str) -> str:
     return name if name.lower() not in taken else f"{name}_{uuid.uuid4().hex}"
 
 
+#: What a Python worker keeps while a task runs, such as caches of words.
+_KEPT: dict[tuple, Any] = {}
+
+
+def kept(key: tuple, make: Callable[[], Any]) -> Any:
+    """The value under ``key``, made once a task: workers live longer than tasks, and one
+    that kept the caches of every stage it has served would hold them all."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Drop what ``kept`` holds."""
+    _KEPT.clear()
+
+
 def slices(batch: pa.RecordBatch, sized: int) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of bounded rows and bytes of one text or list column.
 
@@ -118,20 +136,24 @@ def add_columns(
     schema = T.StructType([*source.select(*keep).schema.fields, *added.fields])
     arrow = to_arrow_schema(schema)
     at = [wanted.index(c) for c in inputs]
-    kept = [wanted.index(c) for c in keep]
+    passing = [wanted.index(c) for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch, at[0]):
-                parents, made = make(*[piece.column(i).to_pylist() for i in at])
-                passed = [piece.column(i) for i in kept]
-                if parents is not None:
-                    index = pa.array(parents, pa.int64())
-                    passed = [c.take(index) for c in passed]
-                columns = [
-                    (c if isinstance(c, pa.Array) else pa.array(c, f.type)).cast(f.type)
-                    for c, f in zip([*passed, *made], arrow, strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        forget()
+        try:
+            for batch in batches:
+                for piece in slices(batch, at[0]):
+                    parents, made = make(*[piece.column(i).to_pylist() for i in at])
+                    passed = [piece.column(i) for i in passing]
+                    if parents is not None:
+                        index = pa.array(parents, pa.int64())
+                        passed = [c.take(index) for c in passed]
+                    columns = [
+                        (c if isinstance(c, pa.Array) else pa.array(c, f.type)).cast(f.type)
+                        for c, f in zip([*passed, *made], arrow, strict=True)
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        finally:
+            forget()
 
     return source.mapInArrow(run, schema)

@@ -21,7 +21,6 @@ null.  Repeated rows: the same pieces.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-import functools
 import heapq
 import re
 from itertools import chain
@@ -300,10 +299,9 @@ class Encoder:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
 
-@functools.lru_cache(maxsize=4)
 def encoder(path: str, dropout: float, seed: int) -> Encoder:
-    """One per worker process: the cache of words outlives a slice."""
-    return Encoder(pieces(path), dropout, seed)
+    """One per task: the cache of words outlives a slice."""
+    return base.kept(("encoder", path, dropout, seed), lambda: Encoder(pieces(path), dropout, seed))
 
 
 def _lists(packed: list[bytes]) -> pa.Array:

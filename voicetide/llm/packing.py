@@ -14,7 +14,6 @@ a word cache of at most ``CACHE_WORDS``.
 
 from __future__ import annotations
 
-import functools
 import os
 from collections.abc import Iterator
 
@@ -118,10 +117,9 @@ class WordIds:
                 yield b"".join(map(get, words))
 
 
-@functools.lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    """One per worker process: the cache outlives a batch."""
-    return WordIds(path)
+    """One per task: the cache outlives a batch."""
+    return base.kept(("word ids", path), lambda: WordIds(path))
 
 
 def lengths(n: int, most: int = MAX_TOKENS) -> list[int]:

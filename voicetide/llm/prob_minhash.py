@@ -27,7 +27,6 @@ gives an empty result.
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Callable
 
@@ -64,9 +63,8 @@ class Words(dict):
         return value
 
 
-@functools.lru_cache(maxsize=1)
 def word_hashes() -> Words:
-    return Words()
+    return base.kept(("word hashes",), Words)
 
 
 def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -374,7 +372,8 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Da
     reached = components(links)
     rest = left_over(members, nodes, texts, reached, threshold)
     if rest is not None:
-        reached = components(links.union(rest))
+        # written: the components read their links several times
+        reached = components(links.union(base.written(rest, "rest")))
     placed = nodes.select("key", "node").join(reached, "node", "left")
     return signed.select("doc_id", "key"), placed.select(
         "key", F.coalesce("component", "node").alias("component")
@@ -385,13 +384,12 @@ def classify(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``doc_id``, ``key``, ``class_id``, ``kept``."""
     rows, nodes = groups(docs, threshold)
     nodes = base.written(nodes, "components")
-    placed = rows.join(nodes, "key", "left")
+    placed = base.written(rows.join(nodes, "key", "left"), "placed")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("id"), "key")
     # copies are one row per task before they meet
-    first = (
-        placed.filter("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("_f"))
-    )
-    chosen = placed.join(first, "component", "left")
+    first = placed.filter("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("_f"))
+    # written, so that the join with it can split a large group over several tasks
+    chosen = placed.join(base.written(first, "first"), "component", "left")
     mine = F.col("_f.id").eqNullSafe(F.col("doc_id")) & (F.col("_f.key") == F.col("key"))
     return chosen.select(
         "doc_id", "key",
@@ -418,9 +416,10 @@ def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     if repeated.isEmpty():
         return stay.drop(key)
+    id_, k = base.free_name(stay, "_id"), base.free_name(stay, "_k")
     again = stay.join(
-        repeated.toDF("_id", "_k"),
-        (stay[key] == F.col("_k")) & stay["doc_id"].eqNullSafe(F.col("_id")), "left",
+        repeated.toDF(id_, k),
+        (stay[key] == F.col(k)) & stay["doc_id"].eqNullSafe(F.col(id_)), "left",
     )
-    once = again.filter("_k IS NOT NULL").dropDuplicates(["doc_id", key])
-    return again.filter("_k IS NULL").union(once).drop(key, "_id", "_k")
+    once = again.filter(F.col(k).isNotNull()).dropDuplicates(["doc_id", key])
+    return again.filter(F.col(k).isNull()).union(once).drop(key, id_, k)

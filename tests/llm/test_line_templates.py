@@ -14,7 +14,7 @@ def own(i):
 
 def run(spark, texts):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
-    return {r.doc_id: r for r in lt.dedup(docs).collect()}
+    return {r.doc_id: r for r in lt.dedup(docs).orderBy("doc_id").collect()}
 
 
 def test_recurring_lines_go_and_the_rest_stays(spark):

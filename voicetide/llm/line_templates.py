@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voicetide.llm.base import written
+from voicetide.llm.base import free_name, written
 from voicetide.llm.graph import components
 
 #: Texts a template must recur in.
@@ -51,23 +51,24 @@ OWN = 0.05
 FIELD = "<*>"
 
 
+def plain(line: Column) -> Column:
+    """Whether a line's tokens are parted by one space and hold no digit, as most are."""
+    untidy = line.rlike(r"[0-9\t\r\f\x0B]") | line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    return ~untidy
+
+
 def spaced(line: Column) -> Column:
-    """Tokens parted by one space.  Most lines are only searched, not rebuilt."""
-    return F.when(
-        line.rlike(r"[\t\r\f\x0B]|  |^ | $"),
-        F.trim(F.regexp_replace(line, r"[ \t\r\f\x0B]+", " ")),
-    ).otherwise(line)
+    """Tokens parted by one space."""
+    return F.trim(F.regexp_replace(line, r"[ \t\r\f\x0B]+", " "))
 
 
 def fields(line: Column) -> Column:
     """Tokens with digits as variable fields."""
-    return F.when(
-        line.rlike("[0-9]"), F.regexp_replace(line, r"[^ 0-9]*[0-9][^ ]*", FIELD)
-    ).otherwise(line)
+    return F.regexp_replace(line, r"[^ 0-9]*[0-9][^ ]*", FIELD)
 
 
 def line_hash(line: Column) -> Column:
-    return F.xxhash64(fields(spaced(line)))
+    return F.xxhash64(F.when(plain(line), line).otherwise(fields(spaced(line))))
 
 
 def bound(rows: DataFrame, name: str, value: Column) -> DataFrame:
@@ -79,25 +80,33 @@ def bound(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.select("*", F.explode_outer(F.array(value)).alias(name))
 
 
+def text_hash(text: Column) -> Column:
+    """60 bits of an md5, an order that other engines have as well."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """(h, line, lh, head, tail, n): the masked lines that may be dropped, per text hash."""
     texts = docs.filter(F.col("text").isNotNull()).select(F.xxhash64("text").alias("h"), "text")
     each = texts.select("h", F.explode_outer(F.split("text", "\n")).alias("_line"))
-    cut = bound(each, "_spaced", spaced(F.col("_line")))
+    raw = F.col("_line")
+    tidy = spaced(raw)
+    # most lines are only searched, once, and not rebuilt
+    masked = F.when(plain(raw), F.struct(raw.alias("raw"), raw.alias("line"), F.lit("").alias("digits"))).otherwise(
+        F.struct(tidy.alias("raw"), fields(tidy).alias("line"), F.regexp_replace(tidy, "[^0-9]+", "").alias("digits"))
+    )
     # ends are taken with the line's digits: pages of one form are not copies
-    raw = F.col("_spaced")
-    digits = F.when(raw.rlike("[0-9]"), F.regexp_replace(raw, "[^0-9]+", "")).otherwise("")
 
     def end(side: int) -> Column:
-        return F.xxhash64(F.lit(side), F.substring_index(raw, " ", side * EDGE), digits)
+        return text_hash(F.concat(F.lit(f"{side}/"), F.substring_index("_m.raw", " ", side * EDGE), F.lit("/"), F.col("_m.digits")))
 
+    line = F.col("_m.line")
     return (
-        bound(cut, "line", fields(F.col("_spaced")))
+        bound(each, "_m", masked).filter(line != "")
         .select(
-            "h", "line", F.xxhash64("line").alias("lh"), end(1).alias("head"), end(-1).alias("tail"),
-            (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).alias("n"),
+            "h", line.alias("line"), F.xxhash64(line).alias("lh"), end(1).alias("head"), end(-1).alias("tail"),
+            (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1).alias("n"),
         )
-        .filter(F.col("line") != "")
     )
 
 
@@ -109,8 +118,9 @@ def leaf(line: Column, n: Column) -> Column:
 
 def texts_of(each: DataFrame, key: str) -> DataFrame:
     """(key, <key>_texts) of the line ends found in two texts or more."""
-    found = each.select("h", key).distinct().groupBy(key)
-    return found.agg(F.count(F.lit(1)).alias(f"{key}_texts")).filter(F.col(f"{key}_texts") > 1)
+    found = each.select("h", key).distinct().groupBy(key).agg(F.count(F.lit(1)).alias(f"{key}_texts"))
+    # written, so that the join with it can split a frequent end over several tasks
+    return written(found.filter(F.col(f"{key}_texts") > 1), f"{key}s")
 
 
 def sketches(each: DataFrame) -> DataFrame:
@@ -236,24 +246,25 @@ def bad_lines(docs: DataFrame) -> DataFrame:
     return places.join(bad, "lh").groupBy("h").agg(F.collect_set("lh").alias("bad"))
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """All rows and columns, with the recurring lines gone from ``text``; adds
-    ``n_lines`` (non-blank lines before) and ``n_dropped``."""
-    bad = bad_lines(docs).withColumnRenamed("h", "_h").withColumnRenamed("bad", "_bad")
-    rows = docs.drop("n_lines", "n_dropped")
-    joined = rows.join(bad, F.xxhash64(F.col("text")) == F.col("_h"), "left")
+def dedup(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+    """All rows and columns, with the recurring lines gone from ``text``; adds the columns
+    ``counts``: non-blank lines before, and lines dropped (given ones are replaced)."""
+    rows = docs.drop(*counts)
+    h, bad, filled, s = (free_name(rows, c) for c in ("_h", "_bad", "_filled", "_s"))
+    found_bad = bad_lines(docs).toDF(h, bad)
+    joined = rows.join(found_bad, F.xxhash64(F.col("text")) == F.col(h), "left")
     every = F.split("text", "\n")
-    stay = F.filter(every, lambda x: ~F.array_contains(F.col("_bad"), line_hash(x)))
-    filled = F.size(F.filter(every, lambda x: x.rlike(r"[^ \t\r\f\x0B]")))
+    stay = F.filter(every, lambda x: ~F.array_contains(F.col(bad), line_hash(x)))
+    n_filled = F.size(F.filter(every, lambda x: x.rlike(r"[^ \t\r\f\x0B]")))
     own = [c for c in rows.columns if c != "text"]
     found = joined.select(
-        *[F.col(f"`{c}`") for c in own], "text", filled.alias("_filled"),
-        F.when(F.col("_bad").isNotNull(), F.struct(stay.alias("l"), F.size(every).alias("n"))).alias("_s"),
+        *[F.col(f"`{c}`") for c in own], "text", n_filled.alias(filled),
+        F.when(F.col(bad).isNotNull(), F.struct(stay.alias("l"), F.size(every).alias("n"))).alias(s),
     )
-    clean = F.when(F.col("_s").isNull(), F.col("text")).otherwise(F.array_join("_s.l", "\n"))
-    dropped = F.when(F.col("_s").isNull(), F.lit(0)).otherwise(F.col("_s.n") - F.size("_s.l"))
+    clean = F.when(F.col(s).isNull(), F.col("text")).otherwise(F.array_join(F.col(s)["l"], "\n"))
+    dropped = F.when(F.col(s).isNull(), F.lit(0)).otherwise(F.col(s)["n"] - F.size(F.col(s)["l"]))
     return found.select(
         *[clean.alias("text") if c == "text" else F.col(f"`{c}`") for c in rows.columns],
-        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.col("_filled")).alias("n_lines"),
-        dropped.alias("n_dropped"),
+        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.col(filled)).alias(counts[0]),
+        dropped.alias(counts[1]),
     )

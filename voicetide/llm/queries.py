@@ -48,36 +48,53 @@ def op7_line_templates(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-OP7_SQL = r"""WITH ln AS (
-  SELECT h, trim(regexp_replace(raw, '[ \t\r\f\x0B]+', ' ', 'g'), ' ') AS spaced
-  FROM (SELECT DISTINCT text AS h, unnest(string_split(text, chr(10))) AS raw
-    FROM documents WHERE text IS NOT NULL)),
-ms AS (
-  SELECT h, line, string_split(line, ' ') AS tok FROM (
-    SELECT h, regexp_replace(spaced, '[^ 0-9]*[0-9][^ ]*', '<*>', 'g') AS line FROM ln)
-  WHERE line <> ''),
-ps AS (SELECT DISTINCT h, line, tok, len(tok) AS n,
-    md5(array_to_string(tok[1:3], ' ') || '/' || len(tok)) AS leaf
-  FROM ms WHERE len(tok) >= 3),
-tw AS (SELECT h, list_sort(list(DISTINCT leaf)) AS two FROM ps GROUP BY h),
-pl AS (SELECT h, line, tok, n, leaf,
-    coalesce(CASE WHEN leaf = two[1] THEN two[2] ELSE two[1] END, leaf) AS sketch
-  FROM ps JOIN tw USING (h)),
+OP7_SQL = r"""WITH RECURSIVE raws AS (
+  SELECT text AS h, trim(regexp_replace(raw, '[ \t\r\f\x0B]+', ' ', 'g'), ' ') AS raw
+  FROM (SELECT text, unnest(string_split(text, chr(10))) AS raw
+    FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL))),
+lns AS (
+  SELECT h, raw, string_split(raw, ' ') AS tok, regexp_replace(raw, '[^0-9]+', '', 'g') AS digits,
+    regexp_replace(raw, '[^ 0-9]*[0-9][^ ]*', '<*>', 'g') AS line FROM raws WHERE raw <> ''),
+ends AS (
+  SELECT h, line, len(tok) AS n, md5(array_to_string(string_split(line, ' ')[1:3], ' ') || '/' || len(tok)) AS leaf,
+    CAST('0x' || substr(md5('1/' || array_to_string(tok[1:5], ' ') || '/' || digits), 1, 15) AS BIGINT) AS head,
+    CAST('0x' || substr(md5('-1/' || array_to_string(tok[-5:], ' ') || '/' || digits), 1, 15) AS BIGINT) AS tail
+  FROM lns),
+each_ AS (
+  SELECT h, line, n, leaf, count(*) AS c, min(head) AS head, min(tail) AS tail FROM ends GROUP BY h, line, n, leaf),
+lng AS (SELECT * FROM each_ WHERE n >= 3),
+hd AS (SELECT head, count(DISTINCT h) AS k FROM lng GROUP BY head),
+tl AS (SELECT tail, count(DISTINCT h) AS k FROM lng GROUP BY tail),
+seen AS (
+  SELECT h, line, n, c, head, tail, hd.k AS a, CASE WHEN n < 10 THEN 0 ELSE tl.k END AS b
+  FROM lng JOIN hd USING (head) JOIN tl USING (tail)),
+plc AS (SELECT h, line, n, c, greatest(a, b) AS t, CASE WHEN a >= b THEN head ELSE tail END AS k FROM seen),
+txt AS (
+  SELECT h, coalesce(sum(n) FILTER (t < 3), 0) >= 0.05 * sum(n) AS alone, CASE WHEN sum(c) = 1 THEN min(line) END AS one_line,
+    coalesce(min(k) FILTER (t IN (2)), min(k) FILTER (t < 3)) AS o,
+    list_sort(list(DISTINCT {'t': t, 'k': k}) FILTER (t >= 3)) AS rare
+  FROM plc GROUP BY h),
+txs AS (SELECT h, alone, one_line, o, rare[1].k AS a, rare[2].k AS b FROM txt),
+lk AS (SELECT a, b FROM txs WHERE NOT alone AND b IS NOT NULL UNION SELECT b, a FROM txs WHERE NOT alone AND b IS NOT NULL),
+rc AS (SELECT a, b FROM lk UNION SELECT rc.a, lk.b FROM rc JOIN lk ON rc.b = lk.a),
+cm AS (SELECT a, least(a, min(b)) AS c FROM rc GROUP BY a),
+sk AS (
+  SELECT h, CASE WHEN one_line IS NOT NULL THEN 'L' || one_line WHEN alone THEN 'K' || o
+    ELSE 'K' || coalesce(c, txs.a, o) END AS sketch
+  FROM txs LEFT JOIN cm ON cm.a = txs.a
+  UNION ALL SELECT h, 'S' || array_to_string(list_sort(list(line)), chr(10)) FROM each_ GROUP BY h HAVING max(n) < 3),
+pl AS (SELECT h, line, n, leaf, sketch FROM each_ JOIN sk USING (h)),
 ex AS (
-  SELECT line FROM pl GROUP BY line HAVING count(*) >= 3 AND count(DISTINCT sketch) >= 3
-    AND count(DISTINCT sketch) >= 0.25 * count(*)),
-rare AS (SELECT line, tok, leaf, n, count(*) AS texts FROM pl WHERE n >= 6
-  GROUP BY ALL HAVING count(*) < 3),
-wt AS (SELECT * FROM rare WHERE leaf IN (SELECT leaf FROM rare GROUP BY leaf HAVING sum(texts) >= 3)),
-tk AS (SELECT line, leaf, n, texts, unnest(range(1, n + 1)) AS pos, unnest(tok) AS token FROM wt),
+  SELECT line FROM pl GROUP BY line, n HAVING count(DISTINCT sketch) >= CASE WHEN n < 3 THEN 10 ELSE 3 END),
+ev AS (SELECT line, leaf, n, least(count(*), 2) AS texts FROM pl WHERE n >= 6 GROUP BY line, leaf, n),
+wt AS (SELECT * FROM ev WHERE leaf IN (SELECT leaf FROM ev GROUP BY leaf HAVING sum(texts) >= 3)),
+tk AS (SELECT line, leaf, n, texts, unnest(range(1, n + 1)) AS pos, unnest(string_split(line, ' ')) AS token FROM wt),
 ct AS (SELECT leaf, pos, token FROM tk WHERE token <> '<*>' GROUP BY ALL HAVING sum(texts) >= 3),
 sh AS (
   SELECT line, leaf, n, list((pos, token) ORDER BY pos) AS kept FROM tk JOIN ct USING (leaf, pos, token)
   GROUP BY ALL HAVING count(*) >= 0.7 * n),
 tp AS (
-  SELECT leaf, kept FROM (SELECT DISTINCT leaf, kept, h, sketch FROM sh JOIN pl USING (line, leaf))
-  GROUP BY ALL HAVING count(*) >= 3 AND count(DISTINCT sketch) >= 3
-    AND count(DISTINCT sketch) >= 0.25 * count(*)),
+  SELECT sh.leaf, kept FROM sh JOIN pl USING (line) GROUP BY sh.leaf, kept HAVING count(DISTINCT sketch) >= 3),
 bad AS (SELECT line FROM ex UNION SELECT line FROM sh JOIN tp USING (leaf, kept)),
 ow AS (
   SELECT doc_id, text, i, raw, regexp_replace(trim(regexp_replace(raw, '[ \t\r\f\x0B]+', ' ', 'g'), ' '),

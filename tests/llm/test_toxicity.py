@@ -1,5 +1,7 @@
+import random
 import zlib
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -28,8 +30,7 @@ def brute(scores):
 def test_segments_are_the_maximal_ones(values):
     gap = -1.37  # no sums of equal size, so the definition has no ties
     scores = [gap if v is None else v + 0.01 * i * 0.731 for i, v in enumerate(values)]
-    hits = [(i, s) for i, s in enumerate(scores) if s > 0]
-    found = tx.segments(hits, gap)
+    found = tx.segments(np.array(scores, float))
     assert [(a, b) for a, b, _ in found] == [(a, b) for a, b, _ in brute(scores)]
     assert all(abs(s - sum(scores[a : b + 1])) < 1e-9 for a, b, s in found)
 
@@ -61,19 +62,51 @@ def test_labels_of_the_held_out_fold_are_not_read(corpus):
     assert tx.fit(docs, labels) == tx.fit(docs, flipped)
 
 
-def test_on_the_labelled_documents(spark, small):
-    docs = spark.read.parquet(f"{small}/documents.parquet")
-    labels = spark.read.parquet(f"{small}/labels.parquet")
-    found = tx.judge(docs, labels).join(labels.dropDuplicates(["doc_id"]), "doc_id").collect()
-    right = sum(r.predicted == r.toxic for r in found)
-    assert right >= 0.85 * len(found)
+def held_out_recall(docs, labels):
+    """Share of the held-out toxic rows that score above nine tenths of the clean ones."""
+    known = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(tx.F.max("toxic").alias("toxic"))
+    found = tx.judge(docs, labels).filter("held_out").join(known, "doc_id").toPandas()
+    clean, toxic = found[found.toxic == 0].score, found[found.toxic == 1].score
+    return (toxic > clean.quantile(0.9)).mean(), (found[found.toxic == 0].predicted == 0).mean()
+
+
+def test_recall_on_the_labelled_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    recall, left = held_out_recall(docs, labels)
+    assert recall >= 0.9 and left >= 0.9
+
+
+@pytest.mark.parametrize("n_suffixes", [1, 400])
+def test_recall_where_every_form_of_a_word_is_rare(spark, n_suffixes):
+    """Toxic words are a few stems with many endings, one in forty tokens, in prose of many words."""
+    draw = random.Random(n_suffixes)
+    words = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in ("a", "e", "io", "ou", "an") for c in ("ren", "tal", "sov", "mik", "dur", "")]
+    ends = ["".join(draw.choices("aeioulnrst", k=3)) for _ in range(n_suffixes)]
+    rows, labels = [], []
+    for i in range(1500):
+        tokens = [draw.choice(words) + draw.choice(["", "e", "en", "ung", ","]) for _ in range(draw.randint(60, 200))]
+        if i % 10 == 0:
+            for k in range(0, len(tokens), 40):
+                tokens[k] = draw.choice(["vequo", "lowei", "chlla"]) + draw.choice(ends)
+        rows.append((i, " ".join(tokens), "en", "s", 1))
+        labels.append((i, 1, int(i % 10 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    recall, left = held_out_recall(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert recall >= 0.9 and left >= 0.95
+
+
+def test_tokens_speak_for_and_against():
+    model = tx.Model({"rotten": 3.0, "thanks": -2.0}, gap=-0.1)
+    n, found = model.scan("well rotten rotten thanks thanks thanks rotten", tx.Scores(model))
+    assert n == 7 and [(a, b) for a, b, _ in found] == [(1, 2), (6, 6)]
 
 
 def test_cases(spark, corpus, edge, nothing):
     docs, labels = corpus
     odd = labels.union(spark.createDataFrame([(None, 1, 1), (77, 1, None), (4, 1, 0)], labels.schema))
     model = tx.fit(docs, odd)
-    assert "rotten" in model.markers
+    assert model.weights["rotten"] > 1
     rows = tx.score(edge, model, ["doc_id", "text"]).collect()
     assert len(rows) == edge.count() and all(r.score < 0.5 and r.passages == [] for r in rows)
     assert tx.judge(nothing, labels).count() == 0
@@ -92,5 +125,5 @@ def test_stage_keeps_columns_and_clean_rows(corpus, edge):
 
 def test_a_long_text_with_one_marker_and_far_scores():
     model = tx.Model({"rotten": 900.0}, gap=-0.1)
-    n, found = model.scan("rotten " + "w " * 20_000, tx.Scores(model.markers))
-    assert n == 20_001 and model.excess(n, found) > 800
+    n, found = model.scan("rotten " + "w " * 20_000, tx.Scores(model))
+    assert n == 20_001 and model.evidence(n, found) > 6

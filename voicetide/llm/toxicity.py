@@ -1,29 +1,31 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
-*Fit* (a bounded sample of labelled rows): the documents with and without the
-label that hold a word, or a word beginning, give its log-odds under a Dirichlet
-prior; those significantly above zero are markers.  A marker's score is the
-logarithm of its rate inside a toxic passage over its rate in clean text, any
-other token's a small constant below zero, such that the scores' exponentials
-have mean one in clean text.
-
-*Score*: one linear scan per text finds all maximal scoring segments.  With such
+*Token scores* (a bounded sample of labelled rows): how many documents with and
+without the label hold a word, or a beginning of words, gives its log-odds under
+an informative Dirichlet prior: ``PRIOR`` pseudo-documents of each class in which
+the token is as frequent as in both.  The log-odds are moved towards zero by
+``SHRINK`` standard errors.  A token has the score of the longest known feature of
+it, evidence for as well as against; one constant is taken from every token's
+score, such that the scores' exponentials have mean one in clean text.
+
+*Segments*: one linear scan per text finds all maximal scoring segments.  With such
 scores the best segment of n clean tokens follows an extreme-value law,
-P(S >= s) = 1 - exp(-K n e^-s); K is estimated on the clean rows of the sample.
-A segment is significant when S > ln(K n); the excesses of all significant
-segments add up, and a logistic curve turns the sum into the score.
-
-Defined results.  Null or empty text: no segment, the score of a text without
-markers.  Repeated rows: the same score each.  Missing labels: unlabelled;
-contradicting labels of one id: the largest.  No usable label at all: no
-markers, score 0.25.  An empty table gives an empty result.
+P(S >= s) = 1 - exp(-K n e^-s).  A segment is significant when S > ln(K n); the
+excesses of all significant segments add up, and a logistic curve turns the sum
+into the score.  The constant, K and the curve come from a quarter of the sample's
+texts, which the token scores are not learnt from.
+
+Defined results.  Null or empty text: no segment, the least evidence.  Repeated
+rows: the same score each.  Missing labels: unlabelled; contradicting labels of one
+id: the largest.  Labels of one class only: no token scores, the share of that
+class.  No usable label at all: score 0.25.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -33,19 +35,23 @@ from voicetide.llm import base
 
 #: Labelled rows the model is fitted on, those with the smallest hash of their id.
 MAX_FIT_ROWS = 40_000
-#: Markers in the model (the most significant ones), which bounds the broadcast.
-MAX_MARKERS = 20_000
-#: Pseudo-documents per word and class, least z-score and least toxic documents of a marker.
-PRIOR = 0.5
-MIN_Z = 3.3
+#: Features in the model (those with the most evidence), which bounds the broadcast.
+MAX_FEATURES = 100_000
+#: Pseudo-documents of each class, standard errors of shrinkage, least documents of a feature.
+PRIOR = 50.0
+SHRINK = 1.0
 MIN_DOCS = 5
-#: Share of markers among the tokens of a toxic passage.
-MARKER_RATE = 0.1
 #: Word beginnings that are features beside the word: they stand in for rare inflections.
-PREFIXES = (5, 4)
+PREFIXES = (6, 5, 4)
+#: One in so many texts of the sample calibrates and isn't learnt from.
+CALIBRATING = 4
+#: With fewer such texts, or none of a class, all texts calibrate.
+MIN_CALIBRATING = 50
 STRIP = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 CACHE_WORDS = 400_000
 FOLDS = 5
+#: Evidence of a text far below the bound of significance.
+LEAST = -3.0
 
 SEGMENT = "array<struct<first:int,last:int,score:double,e_value:double>>"
 
@@ -59,36 +65,33 @@ def features(word: str) -> list[str]:
 
 
 class Scores(dict):
-    """Word -> score, 0 for no marker; filled on demand and bounded."""
+    """Word -> its score; filled on demand and bounded."""
 
-    def __init__(self, markers: dict[str, float]):
+    def __init__(self, model: Model):
         super().__init__()
-        self.markers = markers
+        self.weights, self.gap = model.weights, model.gap
 
     def __missing__(self, word: str) -> float:
         if len(self) > CACHE_WORDS:
             self.clear()
-        markers = self.markers
-        self[word] = value = next((markers[f] for f in features(word) if f in markers), 0.0)
+        weights = self.weights
+        self[word] = value = next((weights[f] for f in features(word) if f in weights), 0.0) + self.gap
         return value
 
 
-def segments(hits: Iterable[tuple[int, float]], gap: float) -> list[tuple[int, int, float]]:
+def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, last, score), in one pass.
 
-    ``hits`` are the positions with a positive score, in order; every other
-    position scores ``gap`` < 0.  A stack holds disjoint candidates with the
-    cumulative sums before and after each.  A new candidate whose sum after is
-    larger than that of the nearest one with a smaller sum before swallows all
-    from there on.
+    A stack holds disjoint candidates with the cumulative sums before and after
+    each.  A new candidate whose sum after is larger than that of the nearest one
+    with a smaller sum before swallows all from there on.
     """
+    hits = np.flatnonzero(scores > 0)
+    after_all = np.cumsum(scores)
+    ends = after_all[hits]
     stack: list[tuple[int, int, float, float]] = []
-    total, next_position = 0.0, 0
-    for position, score in hits:
-        before = total + gap * (position - next_position)
-        total = after = before + score
-        next_position = position + 1
-        first, start = position, before
+    for position, after, score in zip(hits.tolist(), ends.tolist(), scores[hits].tolist(), strict=True):
+        first, start = position, after - score
         kept = len(stack)
         while True:
             j = kept - 1
@@ -105,7 +108,7 @@ def segments(hits: Iterable[tuple[int, float]], gap: float) -> list[tuple[int, i
 
 @dataclass(frozen=True)
 class Model:
-    markers: dict[str, float] = field(default_factory=dict)
+    weights: dict[str, float] = field(default_factory=dict)
     gap: float = -0.1
     log_k: float = 0.0
     intercept: float = -math.log(3)
@@ -113,20 +116,26 @@ class Model:
 
     def scan(self, text: str | None, scores: Scores) -> tuple[int, list[tuple[int, int, float]]]:
         words = (text or "").lower().split()
-        hits = [(i, v) for i, v in enumerate(map(scores.__getitem__, words)) if v]
-        return len(words), segments(hits, self.gap) if hits else []
+        return len(words), segments(np.fromiter(map(scores.__getitem__, words), float, len(words)))
+
+    def bound(self, n: int) -> float:
+        return self.log_k + math.log(max(n, 1))
 
     def significant(self, n: int, found: list[tuple[int, int, float]]) -> list[tuple]:
         """Segments beyond the extreme-value bound, with their expected number in clean text."""
-        bound = self.log_k + math.log(max(n, 1))
+        bound = self.bound(n)
         return [(a, b, s, math.exp(min(bound - s, 50.0))) for a, b, s in found if s > bound]
 
-    def excess(self, n: int, found: list[tuple[int, int, float]]) -> float:
-        bound = self.log_k + math.log(max(n, 1))
-        return sum(s - bound for _, _, s in found if s > bound)
+    def evidence(self, n: int, found: list[tuple[int, int, float]]) -> float:
+        """The logarithm of the summed excesses, or how far the best segment is from the bound."""
+        bound = self.bound(n)
+        excess = sum(s - bound for _, _, s in found if s > bound)
+        if excess > 0:
+            return math.log1p(excess)
+        return max((max(s for _, _, s in found) - bound) / 10, LEAST) if found else LEAST
 
-    def probability(self, excess: float) -> float:
-        return 1 / (1 + math.exp(-(self.intercept + self.slope * math.log1p(excess))))
+    def probability(self, evidence: float) -> float:
+        return 1 / (1 + math.exp(-(self.intercept + self.slope * evidence)))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -134,18 +143,19 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def fit_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic): labelled texts outside the held-out fold, equal texts once."""
+    """(text, toxic, calibrates): labelled texts outside the held-out fold, equal texts once."""
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     known = base.hash_sample(
         usable.groupBy("doc_id").agg(F.max("toxic").alias("_toxic")), ["doc_id"], MAX_FIT_ROWS
     )
     # at most MAX_FIT_ROWS pairs of numbers are broadcast
     rows = docs.select("doc_id", base.text_col().alias("text")).join(F.broadcast(known), "doc_id")
-    return (
+    texts = (
         rows.groupBy(F.md5(F.col("text").cast("binary")), F.length("text"))
         .agg(F.max(F.struct("_toxic", "text")).alias("_r"))
-        .select(F.col("_r.text").alias("text"), F.col("_r._toxic").alias("toxic"))
+        .select(F.col("_r.text").alias("text"), (F.col("_r._toxic") > 0).cast("int").alias("toxic"))
     )
+    return texts.withColumn("calibrates", F.pmod(F.xxhash64("text"), F.lit(CALIBRATING)) == 0)
 
 
 def _count(texts: list[str], toxic: list[int]) -> tuple[None, list[list]]:
@@ -165,75 +175,82 @@ def _count(texts: list[str], toxic: list[int]) -> tuple[None, list[list]]:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Markers from document counts, then calibration on the same rows.
+    """Token scores from document counts, then calibration on texts they aren't learnt from.
 
-    Only bounded data reach the driver: ``MAX_MARKERS`` markers, and a length,
-    best score and label for each of at most ``MAX_FIT_ROWS`` rows.
+    Only bounded data reach the driver: ``MAX_FEATURES`` features, and two numbers and
+    a label for each of at most ``MAX_FIT_ROWS`` rows.
     """
     rows = base.written(fit_rows(docs, labels), "fit")
-    sizes = rows.groupBy((F.col("toxic") > 0).alias("toxic")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.size(F.split("text", r"\s+"))).alias("tokens")
-    )
-    by_class = {r.toxic: r for r in sizes.collect()}
-    if True not in by_class or False not in by_class:
+    sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
         return Model()
-    toxic_docs, clean_docs = by_class[True].n, by_class[False].n
+    learnt = rows.filter("NOT calibrates")
+    by_class = {r.toxic: r.n for r in learnt.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(by_class) < 2:
+        share = (sizes.get(1, 0) + 0.5) / (sum(sizes.values()) + 2)
+        return Model(intercept=math.log(share / (1 - share)))
     counted = base.add_columns(
-        rows, _count, "feature string, a long, b long", ["text", "toxic"], []
+        learnt, _count, "feature string, a long, b long", ["text", "toxic"], []
     ).groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    a, b = F.col("a") + PRIOR, F.col("b") + PRIOR
-    odds = F.log(a / (toxic_docs + 2 * PRIOR - a)) - F.log(b / (clean_docs + 2 * PRIOR - b))
+    prior = PRIOR * (F.col("a") + F.col("b")) / (by_class[1] + by_class[0])
+    a, b = F.col("a") + prior, F.col("b") + prior
+    odds = F.log(a / (by_class[1] + PRIOR + 1 - a)) - F.log(b / (by_class[0] + PRIOR + 1 - b))
+    error = F.sqrt(1 / a + 1 / b)
     found = (
-        counted.filter(F.col("a") >= MIN_DOCS)
-        .withColumn("z", odds / F.sqrt(1 / a + 1 / b))
-        .filter(F.col("z") >= MIN_Z)
-        .orderBy(F.desc("z"), "feature")
-        .limit(MAX_MARKERS)
+        counted.filter(F.col("a") + F.col("b") >= MIN_DOCS)
+        .select("feature", odds.alias("odds"), error.alias("error"))
+        .filter(F.abs("odds") > SHRINK * F.col("error"))
+        .orderBy(F.desc(F.abs("odds") / F.col("error")), "feature")
+        .limit(MAX_FEATURES)
         .collect()
     )
-    if not found:
-        share = (toxic_docs + 0.5) / (toxic_docs + clean_docs + 2)
-        return Model(intercept=math.log(share / (1 - share)))
-    mass = sum(r.a for r in found)
-    clean_tokens = by_class[False].tokens + 1
-    clean_rate = {r.feature: (r.b + PRIOR) / clean_tokens for r in found}
-    markers = {
-        r.feature: math.log(MARKER_RATE * r.a / mass / clean_rate[r.feature]) for r in found
-    }
-    markers = {m: s for m, s in markers.items() if s > 0}
-    rest = max(1 - sum(clean_rate.values()), 0.5)
-    raw = Model(markers, gap=min(math.log((1 - MARKER_RATE) / rest), -1e-3))
-    return _calibrated(raw, rows)
-
-
-def _calibrated(raw: Model, rows: DataFrame) -> Model:
-    """The extreme-value constant from the clean rows, the curve from all of them."""
-    if not raw.markers:
-        return raw
-
-    def measure(texts: list[str], toxic: list[int]) -> tuple[None, list[list]]:
-        scores = Scores(raw.markers)
-        found = [raw.scan(t, scores) for t in texts]
-        return None, [
-            [n for n, _ in found],
-            [[s for _, _, s in segs] for _, segs in found],
-            [int(bool(t)) for t in toxic],
-        ]
-
-    seen = base.add_columns(
-        rows, measure, "n long, scores array<double>, toxic int", ["text", "toxic"], []
-    ).collect()
-    least = min(raw.markers.values())
-    clean = [r for r in seen if not r.toxic]
-    # n e^-S is exponential with rate K; texts without a segment are censored at the least score
-    exposure = sum(r.n * math.exp(-max(r.scores, default=least)) for r in clean)
-    events = 0.5 + sum(bool(r.scores) for r in clean)
-    model = Model(raw.markers, raw.gap, math.log(events / max(exposure, 1e-9)))
-    x = np.array(
-        [math.log1p(model.excess(r.n, [(0, 0, s) for s in r.scores])) for r in seen], float
-    )
-    intercept, slope = _logistic(x, np.array([r.toxic for r in seen], float))
-    return Model(raw.markers, raw.gap, model.log_k, intercept, slope)
+    weights = {r.feature: math.copysign(abs(r.odds) - SHRINK * r.error, r.odds) for r in found}
+    apart = {t: sizes.get(t, 0) - by_class.get(t, 0) for t in (0, 1)}
+    enough = min(apart.values()) > 0 and sum(apart.values()) >= MIN_CALIBRATING
+    return _calibrated(Model(weights, gap=0.0), rows.filter("calibrates") if enough else rows)
+
+
+def _measured(rows: DataFrame, model: Model, names: str, measure: Callable) -> DataFrame:
+    """The numbers that ``measure`` makes of each text, and its label."""
+
+    def make(texts: list[str], toxic: list[int]) -> tuple[None, list[list]]:
+        scores = Scores(model)
+        return None, [*map(list, zip(*[measure(t, scores) for t in texts], strict=True)), toxic]
+
+    return base.add_columns(rows, make, f"{names}, toxic int", ["text", "toxic"], [])
+
+
+def _calibrated(model: Model, rows: DataFrame) -> Model:
+    """The constant and K from the clean rows, the curve from all of them."""
+
+    def mass(text: str, scores: Scores) -> tuple[int, float]:
+        words = text.lower().split()
+        return len(words), sum(math.exp(scores[w]) for w in words)
+
+    total = _measured(rows, model, "n long, mass double", mass).filter("toxic = 0").agg(
+        F.sum("n").alias("n"), F.sum("mass").alias("mass")
+    ).first()
+    # a text without toxic words drifts downwards in any case
+    gap = -max(math.log(total.mass / total.n), 0.0) - 0.05 if total.n else -0.1
+    model = replace(model, gap=gap)
+
+    def best(text: str, scores: Scores) -> tuple[int, float]:
+        n, found = model.scan(text, scores)
+        return n, max((s for _, _, s in found), default=0.0)
+
+    seen = _measured(rows, model, "n long, best double", best).filter("toxic = 0").collect()
+    # n e^-S is exponential with rate K; texts without a segment are censored at zero
+    exposure = sum(r.n * math.exp(-r.best) for r in seen)
+    events = 0.5 + sum(r.best > 0 for r in seen)
+    model = replace(model, log_k=math.log(events / max(exposure, 1e-9)) if seen else 0.0)
+
+    def evidence(text: str, scores: Scores) -> tuple[float]:
+        return (model.evidence(*model.scan(text, scores)),)
+
+    found = _measured(rows, model, "x double", evidence).collect()
+    x, y = np.array([r.x for r in found], float), np.array([r.toxic for r in found], float)
+    intercept, slope = _logistic(x, y)
+    return replace(model, intercept=intercept, slope=slope)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, float]:
@@ -257,11 +274,11 @@ def score(docs: DataFrame, model: Model, keep: list[str], passages: bool = True)
     (positions of first and last word, score, expected number in clean text)."""
 
     def make(texts: list[str | None]) -> tuple[None, list[list]]:
-        scores = Scores(model.markers)
+        scores = base.kept(("toxic scores",), lambda: Scores(model))
         probabilities, spans = [], []
         for text in texts:
             n, found = model.scan(text, scores)
-            probabilities.append(model.probability(model.excess(n, found)))
+            probabilities.append(model.probability(model.evidence(n, found)))
             if passages:
                 spans.append([
                     {"first": a, "last": b, "score": s, "e_value": e}

@@ -22,8 +22,10 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_templates.dedup(docs)
-    shorter = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    # names that no given column has, so that all of these keep their values
+    counts = base.free_name(docs, "n_lines"), base.free_name(docs, "n_dropped")
+    cleaned = line_templates.dedup(docs, counts)
+    shorter = F.when(F.col(counts[1]) > 0, F.length("text")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", shorter.cast("long")).select(*docs.columns)
 
 

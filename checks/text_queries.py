@@ -165,6 +165,20 @@ def _(spark, sf):
     return model.clusters.transform(vectors).select("doc_id", F.col("_cluster").alias("cluster"))
 
 
+@query("X8_cluster_counts", """SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_docs,
+  least(10, count(*) // 5 + 1) AS n_clusters, CAST(0 AS BIGINT) AS n_outside FROM documents""")
+def _(spark, sf):
+    """Every document in one cluster, no cluster empty, their number as the rule has it."""
+    docs = ad.documents(spark, sf).select("doc_id", "text")
+    model = tp.fit_topics(docs, docs.count())
+    found = model.clusters.transform(model.weights.transform(docs))
+    inside = F.col("_cluster").between(0, len(model.labels) - 1)
+    return found.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("doc_id").alias("n_docs"),
+        F.countDistinct("_cluster").alias("n_clusters"), F.count_if(~inside).alias("n_outside"),
+    )
+
+
 @query("X9_topic_labels", with_sql("""SELECT lang, string_agg(term, '_' ORDER BY rn) AS topic_label
 FROM (SELECT lang, term, row_number() OVER (PARTITION BY lang ORDER BY round_even(s / n, 9) DESC, term)
     AS rn FROM (SELECT lang, term, sum(weight) AS s FROM tf GROUP BY ALL)
@@ -194,6 +208,20 @@ def _(spark, sf):
     return found.select("doc_id", "bucket", "topic_label")
 
 
+@query("X11_topic_scope", with_sql(
+    "SELECT doc_id, bucket, bucket = 'I_Other' AS has_topic, bucket = 'I_Other' AS known FROM cl",
+    classify_sql(TX)))
+def _(spark, sf):
+    """The open side of the guard: a label of the model on every post of the default
+    bucket, none elsewhere."""
+    docs = ad.documents(spark, sf).select("doc_id", "text")
+    posts = materialise(cl.classify_posts(docs, TX), "classified", ["bucket"])
+    found = tp.detect_topics(posts, TX.default.key, min_posts=1)
+    # labels are made of three terms; a model without terms says misc
+    known = F.col("topic_label").rlike("^[^_]+_[^_]+_[^_]+$") | (F.col("topic_label") == "misc")
+    return found.select("doc_id", "bucket", (F.col("topic_label") != "").alias("has_topic"), known.alias("known"))
+
+
 @query("X12_full_shuffle", """SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS brand,
   md5(CAST(o_orderkey AS VARCHAR) || '/42') AS place FROM orders""")
 def _(spark, sf):

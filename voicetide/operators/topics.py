@@ -1,4 +1,4 @@
-"""Topics of the default bucket: TF-IDF over words and word pairs, then k-means.
+"""Topics of the default bucket: TF-IDF over words and word pairs, then k-means (``clusters``).
 
 Tokens, pairs and document weights are row-wise expressions.  The only
 shuffles are the two term counts, which combine inside map tasks; the second
@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Transformer
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizerModel,
@@ -24,7 +23,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
+
+from voicetide.operators.clusters import Clusters, kmeans
 
 #: Runs of two or more letters, digits or underscores.
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -180,7 +180,7 @@ def topic_count(n_posts: int, n_topics: int = 10) -> int:
 @dataclass
 class TopicModel:
     weights: TfIdf
-    clusters: KMeansModel
+    clusters: Clusters
     labels: list[str]
 
     def label(self, posts: DataFrame, bucket: str, text: str = "text") -> DataFrame:
@@ -214,15 +214,7 @@ def fit_topics(
     if weights is None:
         return None
     vectors = weights.transform(docs.select(text), text).select("features")
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        kmeans = KMeans(
-            k=topic_count(n_docs, n_topics), seed=seed, featuresCol="features",
-            predictionCol="_cluster",
-        )
-        clusters = kmeans.fit(vectors)
-    finally:
-        vectors.unpersist()
+    clusters = kmeans(vectors, topic_count(n_docs, n_topics), len(weights.terms), seed=seed)
     labels = []
     for centre in clusters.clusterCenters():
         best = sorted(zip(weights.terms, centre), key=lambda p: (-p[1], p[0]))

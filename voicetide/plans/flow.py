@@ -23,7 +23,7 @@ from voicetide.operators.normalise import (
 from voicetide.operators.topics import detect_topics
 from voicetide.operators.topn import top_posts
 from voicetide.operators.unions import union_all
-from voicetide.session import fresh_path
+from voicetide.session import materialise
 from voicetide.sources import document as doc
 from voicetide.sources.raw_json import read_raw
 
@@ -70,13 +70,6 @@ def classified_posts(posts: DataFrame, taxonomy: Taxonomy, n_topics: int = 10) -
     return detect_topics(labelled, taxonomy.default.key, n_topics=n_topics)
 
 
-def materialise(rows: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write to the shared folder and read back: survives lost executors."""
-    path = fresh_path(rows.sparkSession, name)
-    rows.write.partitionBy(*partition_by).parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def reports(
     posts: DataFrame,
     brands: tuple[str, str],
@@ -100,7 +93,8 @@ def reports(
     monthly = materialise(mt.monthly_buckets(cube, brands, taxonomy, calendar), "monthly")
     gaps = materialise(cp.competitive_gap(cube, a, b, taxonomy), "gaps")
     first_last = (0, min(2, last))
-    topics = em.topic_growth(posts, taxonomy.default.key, calendar, *first_last)
+    growth = em.topic_growth(posts, taxonomy.default.key, calendar, *first_last)
+    topics = materialise(growth, "topics")  # a few rows, used by the issues and their samples
     samples = em.topic_samples(posts, topics, taxonomy.default.key)
     return {
         "platform_counts": mt.platform_counts(cube),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Sequence
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -44,6 +47,32 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{_home(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python tasks import this package where it lies, as on a shared installation.
+
+    A cluster without one gets the package by ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+def materialise(rows: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write to the shared folder and read back: survives lost executors.
+
+    A partitioned write is rebalanced, so that neither one task nor a file per task
+    and partition results from a partition that holds most rows.
+    """
+    path = fresh_path(rows.sparkSession, name)
+    if partition_by:
+        rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+    else:
+        rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every written intermediate of this library in the shared folder.
 

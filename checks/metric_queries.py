@@ -502,6 +502,23 @@ def _(spark, sf):
     return dive.drop("bucket", "bucket_ord", "diff_share")
 
 
+@query("J5_dim_lists", with_sql("""SELECT gp.bucket_label, a_share, kind, pos, item FROM gp
+  JOIN (VALUES ('A. Urgent', 'root_causes', 0, 'late hand-over'), ('A. Urgent', 'recommendations', 0, 'call back'),
+    ('C. Medium', 'root_causes', 0, 'unclear text'), ('C. Medium', 'root_causes', 1, 'no owner'),
+    ('C. Medium', 'recommendations', 0, 'rewrite'), ('C. Medium', 'recommendations', 1, 'assign'))
+    p(bucket_label, kind, pos, item) USING (bucket_label)""", PO, DIMS, GAPS))
+def _(spark, sf):
+    """The plan's lists joined as arrays, their elements compared in order."""
+    plan = spark.createDataFrame(
+        PLAN, "bucket_label string, why string, root_causes array<string>, recommendations array<string>")
+    dive = cp.bucket_deep_dive(gaps(spark, sf), mt.bucket_trend(monthly(spark, sf), CAL), plan, A, CAL)
+    lists = [
+        dive.select("bucket_label", "a_share", F.lit(kind).alias("kind"), F.posexplode(kind).alias("pos", "item"))
+        for kind in ("root_causes", "recommendations")
+    ]
+    return lists[0].unionByName(lists[1])
+
+
 @query("J6_brand_vs_brand", with_sql("SELECT bucket, a_count, b_count FROM pc", PO, DIMS, GAPS))
 def _(spark, sf):
     return cp.brand_pair(cube(spark, sf, "brand", "bucket"), A, B, TX)

@@ -6,16 +6,18 @@ decides which fields an item has, so every fallback is used on real rows.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import adapters as ad
 from checks.registry import query, with_sql
-from checks.text_queries import RULES, FOCUS_SQL, TX, WINDOW_SQL, classify_sql
+from checks.text_queries import RULES, FOCUS_SQL, TX, WINDOW_SQL, classify_sql, flag_sql, sentiment_sql
+from voicetide import lexicons as lx
 from voicetide import schema as S
 from voicetide.functions import scalars as sc
 from voicetide.functions import timestamps as ts
 from voicetide.operators import normalise as nm
-from voicetide.operators.classify import classify_posts
+from voicetide.operators.classify import classify_posts, label_posts
 from voicetide.plans import flow
 from voicetide.session import fresh_path
 from voicetide.sources import document as doc
@@ -311,6 +313,26 @@ def _(spark, sf):
     return items.select("brand", "text", retweets.alias("retweets"))
 
 
+@query("S1_json_arrays", with_sql(
+    "SELECT brand, CASE WHEN brand IN ('en', 'es') THEN text WHEN brand = 'de' THEN '' END AS text, "
+    "CASE WHEN brand = 'en' THEN engagement END AS retweets FROM pd", PD))
+def _(spark, sf):
+    """Items landed as JSON arrays of up to 256 records, one array a file."""
+    root = fresh_path(spark, "landed")
+    items = microblog_items(ad.posts_docs(spark, sf))
+    lot = F.pmod(F.xxhash64("r"), F.lit(64))
+    for lang in ad.LANGS:
+        mine = items.filter(F.col("brand") == lang).drop("brand")
+        rows = mine.select(F.to_json(F.struct(*mine.columns)).alias("r")).withColumn("lot", lot)
+        place = F.floor((F.row_number().over(Window.partitionBy("lot").orderBy("r")) - 1) / 256)
+        arrays = rows.withColumn("k", place).groupBy("lot", "k").agg(F.collect_list("r").alias("rs"))
+        text = F.concat(F.lit("["), F.array_join("rs", ",\n"), F.lit("]"))
+        arrays.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(rj.raw_path(root, lang, "twitter"))
+    found = rj.read_raw(spark, root, [*ad.LANGS, "xx"], "twitter")
+    retweets = F.try_variant_get(F.col("retweetCount"), "$", "bigint")
+    return found.select("brand", "text", retweets.alias("retweets"))
+
+
 @query("S1_counts_as_landed", """SELECT CAST(event_id AS VARCHAR) AS id,
   CASE event_id % 5 WHEN 4 THEN 0 ELSE user_id END AS likes,
   CASE event_id % 5 WHEN 3 THEN 3000 ELSE 0 END AS retweets,
@@ -349,20 +371,23 @@ def _(spark, sf):
     return shown(tb.read_parquet(spark, path)).select("id", "brand", "text", "date")
 
 
-CLASSIFIED_SQL = ("SELECT id, brand, strftime(date, '%B') AS month, bucket, bucket_label, confidence "
-                  "FROM cl")
+LABELLED_SQL = f"""SELECT id, platform, brand, text, {DAY} AS date, url, likes, engagement,
+  coalesce(strftime(date, '%B'), 'Unknown') AS month, coalesce(month(date), 0) AS month_num, bucket, bucket_label,
+  confidence, {sentiment_sql(lx.NEGATIVE_WORDS, lx.POSITIVE_WORDS)} AS sentiment,
+  {flag_sql(lx.COMPLAINT_WORDS)} AS is_complaint, {flag_sql(lx.ESCALATION_WORDS)} AS is_escalation FROM cl"""
+LABELLED = ("id", "platform", "brand", "text", "date", "url", "likes", "engagement", "month", "month_num", "bucket",
+            "bucket_label", "confidence", "sentiment", "is_complaint", "is_escalation")
 
 
 def classified(spark, sf):
-    return classify_posts(ad.dated_docs(spark, sf), TX)
+    return label_posts(ad.dated_docs(spark, sf), TX)
 
 
-@query("S4_classified_parquet_sink", with_sql(CLASSIFIED_SQL, PD, classify_sql(TX, "pd")))
+@query("S4_classified_parquet_sink", with_sql(LABELLED_SQL, PD, classify_sql(TX, "pd")))
 def _(spark, sf):
     path = fresh_path(spark, "classified")
     tb.write_classified(classified(spark, sf), path)
-    back = tb.read_parquet(spark, path)
-    return back.select("id", "brand", "month", "bucket", "bucket_label", "confidence")
+    return shown(tb.read_parquet(spark, path)).select(*LABELLED)
 
 
 def csv_round_trip(spark, sf):
@@ -374,9 +399,9 @@ def csv_round_trip(spark, sf):
     return tb.read_csv(spark, path, type(S.CLASSIFIED)(columns))
 
 
-@query("S5_csv_sink", with_sql("SELECT id, text FROM pd", PD))
+@query("S5_csv_sink", with_sql(LABELLED_SQL, PD, classify_sql(TX, "pd")))
 def _(spark, sf):
-    return csv_round_trip(spark, sf).select("id", "text")
+    return shown(csv_round_trip(spark, sf)).select(*LABELLED)
 
 
 @query("S6_parquet_scan", "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS brand FROM orders "
@@ -454,24 +479,41 @@ def _(spark, sf):
     "SELECT id, brand, platform, text, date, likes, engagement, bucket FROM cl",
     PD, MICROBLOG_SQL, classify_sql(TX, "mi")))
 def _(spark, sf):
+    posts, _ = ingested(spark, sf)
+    return shown(posts).select("id", "brand", "platform", "text", "date", "likes", "engagement", "bucket")
+
+
+def ingested(spark, sf, delay=None):
+    """All landed brands through one stream: the stored posts and the cube."""
     root = land(spark, sf, ["twitter"])
-    table, state = fresh_path(spark, "posts"), fresh_path(spark, "state")
-    for lang in ad.LANGS:
-        items = ld.landed_items(spark, rj.raw_path(root, lang, "twitter"), "twitter", lang)
-        run = ld.start_ingest(
-            items, "twitter", f"{table}/{lang}", f"{state}/{lang}",
-            enrich=lambda posts: classify_posts(posts, TX),
-        )
-        run.awaitTermination()
-    back = [
-        spark.read.option("basePath", f"{table}/{lang}").parquet(f"{table}/{lang}")
-        for lang in ad.LANGS
-    ]
-    out = back[0]
-    for more in back[1:]:
-        out = out.unionByName(more)
-    return shown(out).select(
-        "id", "brand", "platform", "text", "date", "likes", "engagement", "bucket")
+    table, state, cube = (fresh_path(spark, name) for name in ("posts", "state", "cube"))
+    ld.start_ingest(
+        ld.landed_brands(spark, root, "twitter"), "twitter", table, state,
+        enrich=lambda posts: classify_posts(posts, TX), delay=delay, cube=cube, calendar=ad.CALENDAR,
+    ).awaitTermination()
+    return ld.read_ingested(spark, table), ld.read_cube(spark, cube)
+
+
+@query("S11_stateful_ingest", with_sql(
+    """SELECT brand, platform, md5(substring(text, 1, 200)) AS key, date IS NOT NULL AS dated,
+  CASE WHEN date IS NULL THEN count(*) ELSE 1 END AS n FROM mi GROUP BY ALL""".replace(
+        "GROUP BY ALL", "GROUP BY brand, platform, key, date IS NOT NULL, date IS NULL"), PD, MICROBLOG_SQL))
+def _(spark, sf):
+    """A delay beyond the span of all dates: one dated post of each key, all undated ones."""
+    posts, _ = ingested(spark, sf, delay="36500 days")
+    key = F.md5(F.substring("text", 1, 200).cast("binary"))
+    dated = F.col("date").isNotNull()
+    return posts.groupBy("brand", "platform", key.alias("key"), dated.alias("dated")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("S11_stream_cube", with_sql(
+    """SELECT brand, platform, bucket, month_idx, count(*) AS n, CAST(sum(engagement) AS BIGINT) AS engagement_sum
+FROM (SELECT *, CASE WHEN date >= '1996-04-01' AND date < '1996-08-01' THEN month(CAST(date AS TIMESTAMP)) - 4 END
+  AS month_idx FROM cl) GROUP BY ALL""", PD, MICROBLOG_SQL, classify_sql(TX, "mi")))
+def _(spark, sf):
+    """The cube that grows with the stream: reports read it instead of the posts."""
+    _, cube = ingested(spark, sf)
+    return cube.select("brand", "platform", "bucket", "month_idx", "n", "engagement_sum")
 
 
 # --- end to end -----------------------------------------------------------------

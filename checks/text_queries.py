@@ -18,7 +18,8 @@ from voicetide.operators import topics as tp
 from voicetide.operators import topn as tn
 from voicetide.operators import unions as un
 from voicetide.operators.normalise import available_columns, tag_source
-from voicetide.plans.flow import materialise
+from voicetide.session import fresh_path, materialise
+from voicetide.sources import tables as tb
 
 PD = ad.PD_SQL
 TX = ad.TEXT_TAXONOMY
@@ -361,15 +362,18 @@ def _(spark, sf):
     return un.union_missing([docs, orders])
 
 
-@query("U3_accumulate_batches", """SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids
-FROM events GROUP BY event_type""")
+@query("U3_accumulate_batches", """SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids,
+  count(*) FILTER (event_id % 4 = 3) AS flagged FROM events GROUP BY event_type""")
 def _(spark, sf):
-    events = ad.table(spark, sf, "events")
-    # batches by digits of the id, so that none of them depends on the event type
+    """Batches by digits of the id, stored apart and read in one scan; one has a column more, one is absent."""
+    events = ad.table(spark, sf, "events").select("event_id", "event_type")
     part = F.coalesce(F.col("event_id") % 4, F.lit(0))
-    batches = [events.filter(part == k) for k in range(4)]
-    return un.union_all(batches).groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+    paths = [fresh_path(spark, f"batch{k}") for k in range(5)]
+    for k, path in enumerate(paths[:4]):
+        batch = events.filter(part == k)
+        tb.write_parquet(batch.withColumn("flag", F.lit(1)) if k == 3 else batch, path)
+    return tb.read_batches(spark, paths).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.count("flag").alias("flagged"))
 
 
 @query("U4_first_non_empty", """SELECT coalesce(c.k, d.k, o.k) AS id,

@@ -130,3 +130,14 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     land("b", [{"id": "3", "text": "three", "createdAt": "old"}])
     assert sorted(r.id for r in ingest()) == ["1", "2", "3"]
     assert sorted(r.id for r in ingest()) == ["1", "2", "3"]
+
+
+def test_batches_are_one_scan(spark, tmp_path):
+    first, second = (spark.createDataFrame([(i, "x")], "id int, text string") for i in (1, 2))
+    tb.write_parquet(first, f"{tmp_path}/a")
+    tb.write_parquet(second.withColumn("more", F.lit(5)), f"{tmp_path}/b")
+    found = tb.read_batches(spark, [f"{tmp_path}/a", f"{tmp_path}/absent", f"{tmp_path}/b"])
+    assert sorted(tuple(r) for r in found.select("id", "more").collect() if r.more) == [(2, 5)] and found.count() == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    assert tb.read_batches(spark, [f"{tmp_path}/absent"]).count() == 0

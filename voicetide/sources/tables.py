@@ -35,6 +35,17 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_batches(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Batches stored apart as one table: one scan over all existing paths, not a union of scans.
+
+    Columns are those of all batches together; a batch without a column has nulls.
+    """
+    found = [p for p in paths if path_exists(spark, p)]
+    if not found:
+        return empty_frame(spark, CLASSIFIED)
+    return spark.read.option("mergeSchema", True).parquet(*found)
+
+
 def write_csv(posts: DataFrame, path: str) -> None:
     """CSV with a header; quotes inside text are doubled, empty text stays empty."""
     (

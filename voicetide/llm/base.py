@@ -61,6 +61,15 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs.
+
+    It does so once the driver's JVM has collected their plans, which a small driver
+    heap brings about too late: a chain of written steps would hold all its shuffles.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def hash_sample(rows: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
     """The rows with the smallest hashes of ``keys``, at most ``most``.
 

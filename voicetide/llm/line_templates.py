@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voicetide.llm.base import free_name, written
+from voicetide.llm.base import free_name, tidy, written
 from voicetide.llm.graph import components
 
 #: Texts a template must recur in.
@@ -238,12 +238,16 @@ def generalised(docs: DataFrame, places: DataFrame) -> DataFrame:
 def bad_lines(docs: DataFrame) -> DataFrame:
     """(h, bad): per text hash the hashes of its lines whose template recurs."""
     places = places_of(docs)
+    tidy(docs.sparkSession)
     exact = recurring(places, "lh")
     shared = written(generalised(docs, places), "templates")
+    tidy(docs.sparkSession)
     of_text = shared.join(places, "lh").select("template", "n", "sketch")
     general = shared.join(recurring(of_text, "template"), "template").select("lh")
     bad = exact.union(general).distinct()
-    return places.join(bad, "lh").groupBy("h").agg(F.collect_set("lh").alias("bad"))
+    found = written(places.join(bad, "lh").groupBy("h").agg(F.collect_set("lh").alias("bad")), "bad")
+    tidy(docs.sparkSession)
+    return found
 
 
 def dedup(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:

@@ -16,7 +16,7 @@ def at(days):
 @pytest.mark.parametrize(("url", "host"), [
     ("http://WWW.Example.com/a?b#c", "www.example.com"), ("https://u:p@h.org:8080/x", "h.org"),
     ("HTTP://h.org.", "h.org"), (" https://a.b ", "a.b"), ("ftp://x/y@z", "x"), ("no url", None), ("", None),
-    (None, None), ("http://", None), ("//h.org/a", None), ("http://h?x", "h"),
+    (None, None), ("http://", None), ("//h.org/a", None), ("http://h?x", "h"), ("http://./x", None), ("http://.../", None),
 ])
 def test_host(spark, url, host):
     row = spark.createDataFrame([(url,)], "url string").select(uf.host(uf.F.col("url")).alias("h")).first()
@@ -71,10 +71,11 @@ def frames(spark, captures, entries):
     )
 
 
+@pytest.mark.parametrize("hot_rows", [uf.HOT_ROWS, 2])  # 2: most domains are dealt over tasks
 @pytest.mark.parametrize("entries", [ENTRIES, []])
 @pytest.mark.parametrize("captures", [CAPTURES, []])
-def test_against_playing_the_log(spark, captures, entries):
-    found = uf.judge(*frames(spark, captures, entries)).collect()
+def test_against_playing_the_log(spark, captures, entries, hot_rows):
+    found = uf.judge(*frames(spark, captures, entries), hot_rows=hot_rows).collect()
     got = sorted(
         (str(r.url), str(None if r.fetched_at is None else (r.fetched_at - DAY).days), r.n_lists, r.n_blocking,
          str(r.blocked_by)) for r in found
@@ -95,7 +96,8 @@ def test_some_pages_are_blocked_and_some_not(spark, small):
 
 
 def test_sql_on_odd_urls(spark, tmp_path):
-    urls = [None, "", "bad", "http://single/x", "http://a.b.c.d.example.com/", "HTTP://u@A.b:80?q", "http://x.org./"]
+    urls = [None, "", "bad", "http://single/x", "http://a.b.c.d.example.com/", "HTTP://u@A.b:80?q", "http://x.org./",
+            "http://./x"]
     rows = [(i, u, "h") for i, u in enumerate(urls * 20)]
     spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(
         str(tmp_path / "pages.parquet")

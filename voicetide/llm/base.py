@@ -82,6 +82,42 @@ def hash_sample(rows: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
     return rows.filter(place < share).orderBy(place, *keys).limit(most)
 
 
+#: A key is hot beyond this many rows and beyond this share (one in ``HOT_KEYS``) of all rows.
+HOT_ROWS = 10_000
+HOT_KEYS = 10_000
+
+
+def dealt_join(
+    rows: DataFrame,
+    side: DataFrame,
+    keys: Sequence[str],
+    spread_by: Sequence[str],
+    counts: DataFrame,
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``rows`` joined with ``side`` on ``keys``, rows of hot keys dealt over tasks.
+
+    ``counts`` holds ``keys`` and the number of rows as ``_n`` (keys without others may be
+    left out).  A hot key holds more than ``hot_rows`` and more than one in ``HOT_KEYS`` of
+    the counted rows, so fewer than ``HOT_KEYS`` keys are broadcast.  Its rows are dealt by
+    the hash of ``spread_by`` to parts of about that size, and its rows of ``side`` are
+    copied to every part.  Null keys match nothing, as in any join, and stay with ``how="left"``.
+    """
+    total = counts.agg(F.sum("_n").alias("_all"))  # one row with one number
+    most = F.greatest(F.col("_all") / HOT_KEYS, F.lit(hot_rows))
+    hot = F.broadcast(
+        counts.join(F.broadcast(total), F.lit(True))
+        .filter(F.col("_n") > most)
+        .select(*keys, F.ceil(F.col("_n") / most).cast("int").alias("_parts"))
+    )
+    part = F.pmod(F.xxhash64(*spread_by), F.coalesce("_parts", F.lit(1))).cast("int")
+    left = rows.join(hot, [*keys], "left").withColumn("_part", part).drop("_parts")
+    parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    right = side.join(hot, [*keys], "left").withColumn("_part", F.explode(parts)).drop("_parts")
+    return left.join(right, [*keys, "_part"], how).drop("_part")
+
+
 def free_name(rows: DataFrame, name: str) -> str:
     """A column name that ``rows`` does not have."""
     taken = {c.lower() for c in rows.columns}

@@ -10,7 +10,8 @@ blocked if any list blocks it.
 Everything is DataFrame code.  The verdict depends on host and fetch time only,
 so captures are reduced to those before the join.  Intervals and captures meet
 in equal periods of ``PERIOD_DAYS``, which keeps a domain with a long history
-from meeting all of its captures; a long history is ordered period by period.
+from meeting all of its captures; a long history is ordered period by period.  The
+captures below a busy domain (``com``) in one period are dealt over many tasks.
 
 Defined results.  Null or unreadable url, or no fetch time: no entry applies.
 Entries without list, domain, action or date are ignored.  Entries of one list,
@@ -23,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voicetide.llm.base import HOT_ROWS, dealt_join
+
 PERIOD_DAYS = 30
 #: Actions by precedence among entries of the same date.
 ACTIONS = ("remove", "allow", "block")
@@ -34,7 +37,7 @@ HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 def host(url: Column) -> Column:
     """The host of a URL in lower case, null if there is none."""
     found = F.regexp_extract(F.lower(F.trim(url)), HOST, 1)
-    return F.when(found != "", F.rtrim(found, F.lit(".")))
+    return F.nullif(F.rtrim(found, F.lit(".")), F.lit(""))
 
 
 def above(name: Column) -> Column:
@@ -80,7 +83,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     )
 
 
-def verdicts(keys: DataFrame, entries: DataFrame) -> DataFrame:
+def verdicts(keys: DataFrame, entries: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per (host, fetched_at) with an active entry: lists that name it, that block it,
     and the first blocking list."""
     last = keys.agg(F.max(period(F.col("fetched_at"))).alias("_last"))
@@ -102,7 +105,11 @@ def verdicts(keys: DataFrame, entries: DataFrame) -> DataFrame:
     during = (at >= F.col("valid_from")) & (
         F.col("valid_to").isNull() | (at < F.col("valid_to"))
     )
-    hits = asked.join(spread, ["domain", "_period"]).filter(during)
+    meet = ["domain", "_period"]
+    counts = asked.groupBy(*meet).agg(F.count(F.lit(1)).alias("_n"))
+    hits = dealt_join(
+        asked, spread, meet, ["host", "fetched_at"], counts, hot_rows=hot_rows
+    ).filter(during)
     by_list = hits.groupBy("host", "fetched_at", "list").agg(
         F.max(F.struct(F.length("domain").alias("n"), "code")).alias("_best")
     )
@@ -114,14 +121,14 @@ def verdicts(keys: DataFrame, entries: DataFrame) -> DataFrame:
     )
 
 
-def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
+def judge(captures: DataFrame, entries: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """All captures (with ``url`` and ``fetched_at``) with host and verdict added."""
     own = ("host", "n_lists", "n_blocking", "blocked_by", "blocked")
     rows = captures.drop(*own).withColumn("host", host(F.col("url").cast("string")))
     keys = rows.select("host", "fetched_at").filter(
         "host IS NOT NULL AND fetched_at IS NOT NULL"
     ).distinct()
-    found = verdicts(keys, entries)
+    found = verdicts(keys, entries, hot_rows)
     return (
         rows.join(found, ["host", "fetched_at"], "left")
         .withColumn("n_lists", F.coalesce("n_lists", F.lit(0)))

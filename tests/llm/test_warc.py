@@ -44,6 +44,27 @@ def test_small_payloads_may_be_spared_revisits(spark, tmp_path):
     assert (9, "response") in kinds and (3, "revisit") in kinds
 
 
+def test_frequent_payloads_are_dealt(spark):
+    rows = [(i, f"http://{i}", "boiler" if i % 3 else f"own {i}", "c", "c") for i in range(1, 301)]
+    pages = spark.createDataFrame(rows, PAGES).repartition(7)
+    for hot_rows in (5, 10_000):  # the first takes the dealt way
+        found = warc.with_first(pages, hot_rows=hot_rows).collect()
+        assert len(found) == 300 and len({r.page_id for r in found}) == 300
+        for r in found:
+            again = r.page_id % 3 and r.page_id != 1
+            assert r.refers_to == (1 if again else None) and bytes(r.payload) == rows[r.page_id - 1][2].encode()
+
+
+def test_archives_end_after_a_number_of_frames(spark, small, tmp_path):
+    pages = spark.read.parquet(f"{small}/pages.parquet").coalesce(1)
+    path = str(tmp_path / "w")
+    warc.write_archives(pages, path, archive_rows=9)
+    files = [bytes(f.content) for f in spark.read.format("binaryFile").load(f"{path}/part-*").collect()]
+    assert len(files) == -(-pages.count() // 8)
+    assert all(struct.unpack_from("<I", f)[0] == warc.DICTIONARY_FRAME for f in files)
+    assert warc.read_archives(spark, path).count() == pages.count()
+
+
 def test_empty_table(spark):
     assert warc.round_trip(small_pages(spark).limit(0)).count() == 0
 

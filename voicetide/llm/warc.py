@@ -1,6 +1,6 @@
 """WARC archives in Zstandard, one frame per record.
 
-*Writing.*  Each task writes one archive: first the dictionary as a skippable
+*Writing.*  Each task writes archives of bounded length: first the dictionary as a skippable
 frame, then a frame per record.  The text sink of Spark stores the frames, with
 an empty skippable frame as the line separator, so archives get Spark's commit
 protocol and go to any file system Spark can reach.  Records with equal payloads
@@ -15,8 +15,8 @@ Defined results.  Null html: an empty payload.  Null or unclean url: the header
 is left out, or its line breaks are percent-encoded.  Of equal payloads, all
 rows with the smallest page_id are responses; a missing page_id counts as larger
 than any other, and if all are missing, all are responses.  An empty table
-gives no archive and an empty result.  Memory: one archive (one task's share of
-the input) at a time.
+gives no archive and an empty result.  Memory: one archive (``ARCHIVE_ROWS``
+frames at most) at a time.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voicetide.llm.base import hash_sample
+from voicetide.llm.base import HOT_ROWS, dealt_join, hash_sample
 from voicetide.session import fresh_path
 
 #: Payloads from this size on are written once and then referred to.
@@ -40,6 +40,8 @@ MIN_REVISIT_BYTES = 0
 DICTIONARY_BYTES = 32_768
 SAMPLE_PAGES = 400
 SAMPLE_CHARS = 8_192
+#: Rows (dictionary frame and records) of an archive; a task starts another one beyond it.
+ARCHIVE_ROWS = 4_096
 LEVEL = 3
 
 # Fixed values of the formats.
@@ -201,32 +203,47 @@ def train_dictionary(pages: DataFrame) -> bytes:
         return b""
 
 
-def with_first(pages: DataFrame, least: int = MIN_REVISIT_BYTES) -> DataFrame:
+def with_first(
+    pages: DataFrame, least: int = MIN_REVISIT_BYTES, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Adds ``payload`` and, for revisits, ``refers_to``.
 
-    Only digests found more than once are joined back; they are aggregated
-    before the shuffle, so a payload that a third of the pages share is one row.
+    Only digests found more than once are joined back.  Their first pages are aggregated
+    before the shuffle; on the way back the pages that share a frequent payload are dealt
+    over many tasks by their ids.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"),
     )
-    keyed = rows.withColumn("_sha1", F.sha1("payload")).withColumn("_n", F.length("payload"))
+    keyed = rows.withColumn("_sha1", F.sha1("payload")).withColumn("_size", F.length("payload"))
     firsts = (
-        keyed.filter(F.col("_n") >= least)
-        .groupBy("_sha1", "_n")
-        .agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_copies"))
-        .filter("_copies > 1")
-        .drop("_copies")
+        keyed.filter(F.col("_size") >= least)
+        .groupBy("_sha1", "_size")
+        .agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .filter("_n > 1")
+    )
+    keys = ["_sha1", "_size"]
+    found = dealt_join(
+        keyed, firsts.drop("_n"), keys, ["page_id", "url"], firsts.drop("_first"), "left", hot_rows
     )
     again = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
-    return keyed.join(firsts, ["_sha1", "_n"], "left").select(
+    return found.select(
         "page_id", "url", "payload", F.when(again, F.col("_first")).alias("refers_to")
     )
 
 
-def write_archives(pages: DataFrame, path: str, least: int = MIN_REVISIT_BYTES) -> None:
-    """One archive per task below ``path``."""
+def write_archives(
+    pages: DataFrame,
+    path: str,
+    least: int = MIN_REVISIT_BYTES,
+    archive_rows: int = ARCHIVE_ROWS,
+) -> None:
+    """Archives below ``path``, each with the dictionary in front.
+
+    Every row is a frame, so the file limit of the sink ends an archive after
+    ``archive_rows`` frames, and the dictionary is sent again at each such place.
+    """
     dictionary = train_dictionary(pages)
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,17 +251,25 @@ def write_archives(pages: DataFrame, path: str, least: int = MIN_REVISIT_BYTES)
         coder = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared, write_checksum=True)
         lead = [struct.pack("<II", DICTIONARY_FRAME, len(dictionary)) + dictionary]
         lead = lead if dictionary else []
+        sent = 0
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 rows = zip(*[c.to_pylist() for c in batch.slice(start, 256).columns], strict=True)
-                made = lead + [coder.compress(record(*r)) for r in rows]
-                lead = []
+                made: list[bytes] = []
+                for row in rows:
+                    if (sent + len(made)) % archive_rows == 0:
+                        made += lead
+                    made.append(coder.compress(record(*row)))
+                sent += len(made)
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["value"])
 
     rows = with_first(pages, least).mapInArrow(frames, "value binary")
-    rows.select(F.col("value").cast("string")).write.option(
-        "lineSep", SEPARATOR.decode("latin-1")
-    ).text(path)
+    (
+        rows.select(F.col("value").cast("string"))
+        .write.option("lineSep", SEPARATOR.decode("latin-1"))
+        .option("maxRecordsPerFile", archive_rows)
+        .text(path)
+    )
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:

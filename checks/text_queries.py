@@ -153,8 +153,8 @@ STOP_WORDS = ("the", "of", "and", "to", "in", "is", "le", "la", "de", "und", "de
     "SELECT doc_id, term, round_even(weight, 6) AS weight FROM tf", tfidf_sql(STOP_WORDS)))
 def _(spark, sf):
     docs = ad.documents(spark, sf).select("doc_id", "text")
-    model = tp.fit_tfidf(docs, stop_words=STOP_WORDS)
-    rows = tp.tfidf_rows(model, docs, "doc_id")
+    model, vectors = tp.fit_transform(docs, keep=["doc_id"], stop_words=STOP_WORDS)
+    rows = tp.weight_rows(model, vectors, "doc_id")
     return rows.withColumn("weight", F.bround("weight", 6))
 
 
@@ -187,8 +187,8 @@ FROM (SELECT lang, term, row_number() OVER (PARTITION BY lang ORDER BY round_eve
 WHERE rn <= 3 GROUP BY lang""", tfidf_sql(STOP_WORDS)))
 def _(spark, sf):
     docs = ad.documents(spark, sf).select("lang", "text")
-    model = tp.fit_tfidf(docs, stop_words=STOP_WORDS)
-    return tp.cluster_terms(model.transform(docs), "lang", model.terms)
+    model, vectors = tp.fit_transform(docs, keep=["lang"], stop_words=STOP_WORDS)
+    return tp.cluster_terms(vectors, "lang", model.terms)
 
 
 @query("X10_topic_guard", with_sql(

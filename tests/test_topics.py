@@ -53,7 +53,25 @@ def test_vocabulary_with_many_ties_counts_all_pairs(spark):
     # Every word occurs once, far more than the probe holds: no pair may be lost.
     docs = [f"w{i:03d} v{i:03d}" for i in range(200)] + ["zz zz zz zz"]
     rows = spark.createDataFrame(list(enumerate(docs)), "i int, text string")
-    assert tp.vocabulary(rows, "text", (), 10) == brute_force(docs, 10)[0]
+    assert tp.vocabulary(tp.tokenised(rows, "text", ()), 10) == brute_force(docs, 10)[0]
+
+
+def test_texts_are_tokenised_once(spark):
+    rows = spark.createDataFrame(list(enumerate(texts())), "i int, text string")
+    model, vectors = tp.fit_transform(rows, keep=["i"], stop_words=STOP, max_features=20)
+    # neither the vectors nor the counts go back to the texts
+    plan = vectors._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "_words" in plan
+    once = {(r.i, r.term): r.weight for r in tp.weight_rows(model, vectors, "i").collect()}
+    again = {(r.i, r.term): r.weight for r in tp.tfidf_rows(model, rows, "i").collect()}
+    assert once == again and once
+
+
+def test_nothing_to_fit(spark):
+    for rows in ([], [(1, None), (2, "!"), (3, "")]):
+        docs = spark.createDataFrame(rows, "i int, text string")
+        model, tokens = tp.fit_transform(docs, keep=["i"])
+        assert model is None and tokens.count() == len(rows) and tp.fit_topics(docs, len(rows)) is None
 
 
 def classified(spark, n_other):

@@ -1,8 +1,11 @@
 """Topics of the default bucket: TF-IDF over words and word pairs, then k-means (``clusters``).
 
-Tokens, pairs and document weights are row-wise expressions.  The only
-shuffles are the two term counts, which combine inside map tasks; the second
-one is limited, without losing anything, to pairs of frequent words.
+Texts are tokenised once: their words are written to the shared folder, where
+Parquet stores them as numbers into a dictionary of words, and counts, document
+frequencies and vectors all read these.  Pairs and document weights are row-wise
+expressions.  The only shuffles are the two term counts, which combine inside map
+tasks; the second one is limited, without losing anything, to pairs of frequent
+words.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voicetide.operators.clusters import Clusters, kmeans
+from voicetide.session import materialise
 
 #: Runs of two or more letters, digits or underscores.
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -43,19 +47,23 @@ def words(text: Column, stop_words: Sequence[str]) -> Column:
     return F.filter(found, lambda w: ~w.isin(list(stop_words)))
 
 
-def word_pairs(tokens: Column) -> Column:
+def _adjacent(tokens: Column) -> Column:
     pairs = F.greatest(F.size(tokens) - 1, F.lit(0))
     return F.zip_with(
-        F.slice(tokens, 1, pairs), F.slice(tokens, 2, pairs), lambda a, b: F.concat_ws(" ", a, b)
+        F.slice(tokens, 1, pairs), F.slice(tokens, 2, pairs),
+        lambda a, b: F.struct(a.alias("_a"), b.alias("_b")),
     )
 
 
-def with_terms(docs: DataFrame, text: str, stop_words: Sequence[str]) -> DataFrame:
-    """Add ``terms``: the words followed by the pairs of adjacent words."""
-    tokens = docs.withColumn("_words", words(F.col(text), stop_words))
-    return tokens.withColumn(
-        "terms", F.concat("_words", word_pairs(F.col("_words")))
-    ).drop("_words")
+def word_pairs(tokens: Column) -> Column:
+    return F.transform(_adjacent(tokens), lambda p: F.concat_ws(" ", p["_a"], p["_b"]))
+
+
+def tokenised(
+    docs: DataFrame, text: str, stop_words: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """The columns ``keep`` and ``_words``, written once and read by whoever counts."""
+    return materialise(docs.select(*keep, words(F.col(text), stop_words).alias("_words")), "words")
 
 
 def _exploded(docs: DataFrame, array: Column) -> DataFrame:
@@ -67,38 +75,35 @@ def _exploded(docs: DataFrame, array: Column) -> DataFrame:
     return docs.select(F.explode_outer(array).alias("term")).filter(F.col("term").isNotNull())
 
 
-def _top_terms(terms: DataFrame, limit: int) -> list:
-    return (
-        terms.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "term")
-        .limit(limit)
-        .collect()
-    )
-
-
-def vocabulary(
-    docs: DataFrame, text: str, stop_words: Sequence[str], max_features: int = MAX_FEATURES
-) -> list[str]:
+def vocabulary(tokens: DataFrame, max_features: int = MAX_FEATURES) -> list[str]:
     """The most frequent words and pairs, ties in alphabetical order.
 
     A pair occurs at most as often as each of its words, so no pair with a
     word rarer than the ``max_features``-th word can make the list: pairs are
-    joined with the words at least that frequent before they are counted.
+    joined with the words at least that frequent before they are counted.  Where
+    fewer words than that tie, this is a join with a handful of rows.
     """
-    tokens = docs.select(words(F.col(text), stop_words).alias("w"))
-    counted = _exploded(tokens, F.col("w")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    words_of = _exploded(tokens, F.col("_words"))
+    counted = materialise(
+        words_of.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "word-counts"
+    )
     singles = counted.orderBy(F.desc("n"), "term").limit(max_features).collect()
     floor = singles[-1]["n"] if len(singles) == max_features else 1
     frequent = counted.filter(F.col("n") >= floor).select("term")
-    parts = F.split("term", " ")
-    adjacent = (
-        _exploded(tokens, word_pairs(F.col("w")))
-        .withColumns({"_a": parts[0], "_b": parts[1]})
-        .join(frequent.withColumnRenamed("term", "_a"), "_a", "left_semi")
-        .join(frequent.withColumnRenamed("term", "_b"), "_b", "left_semi")
+    adjacent = tokens.select(
+        F.explode_outer(_adjacent(F.col("_words"))).alias("_p")
+    ).select("_p.*").filter("_a IS NOT NULL")
+    known = adjacent.join(
+        frequent.withColumnRenamed("term", "_a"), "_a", "left_semi"
+    ).join(frequent.withColumnRenamed("term", "_b"), "_b", "left_semi")
+    pairs = (
+        known.groupBy("_a", "_b")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.concat_ws(" ", "_a", "_b").alias("term"), "n")
+        .orderBy(F.desc("n"), "term")
+        .limit(max_features)
+        .collect()
     )
-    pairs = _top_terms(adjacent, max_features)
     best = sorted([*singles, *pairs], key=lambda r: (-r["n"], r["term"]))
     return [r["term"] for r in best[:max_features]]
 
@@ -111,37 +116,71 @@ class TfIdf:
     terms: list[str]
     stages: list[Transformer]
 
-    def transform(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        out = with_terms(docs, text, self.stop_words)
+    def weigh(self, tokens: DataFrame) -> DataFrame:
+        """``features`` from ``_words``."""
+        out = tokens.withColumn("terms", F.concat("_words", word_pairs(F.col("_words"))))
         for stage in self.stages:
             out = stage.transform(out)
-        return out.drop("terms", "_counts", "_weighted")
+        return out.drop("_words", "terms", "_counts", "_weighted")
 
+    def transform(self, docs: DataFrame, text: str = "text") -> DataFrame:
+        """``features`` of texts, tokenised on the way: for texts that are read once."""
+        return self.weigh(docs.withColumn("_words", words(F.col(text), self.stop_words)))
 
-def fit_tfidf(
-    docs: DataFrame,
-    text: str = "text",
-    stop_words: Sequence[str] | None = None,
-    max_features: int = MAX_FEATURES,
+
+def fit_weights(
+    tokens: DataFrame, stop_words: Sequence[str], max_features: int = MAX_FEATURES
 ) -> TfIdf | None:
-    """Fit on all documents; None when they hold no terms."""
-    stop = english_stop_words() if stop_words is None else list(stop_words)
-    terms = vocabulary(docs, text, stop, max_features)
+    """Fit on tokenised documents; None when they hold no terms."""
+    terms = vocabulary(tokens, max_features)
     if not terms:
         return None
     counter = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="_counts")
-    counts = counter.transform(with_terms(docs.select(text), text, stop)).select("_counts")
-    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counts).idf
-    weigh = ElementwiseProduct(
+    pairs = word_pairs(F.col("_words"))
+    counts = counter.transform(tokens.select(F.concat("_words", pairs).alias("terms")))
+    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counts.select("_counts")).idf
+    scale = ElementwiseProduct(
         scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="_counts", outputCol="_weighted"
     )
     unit = Normalizer(p=2.0, inputCol="_weighted", outputCol="features")
-    return TfIdf(stop, terms, [counter, weigh, unit])
+    return TfIdf(stop_words, terms, [counter, scale, unit])
+
+
+def fit_transform(
+    docs: DataFrame,
+    text: str = "text",
+    keep: Sequence[str] = (),
+    stop_words: Sequence[str] | None = None,
+    max_features: int = MAX_FEATURES,
+) -> tuple[TfIdf | None, DataFrame]:
+    """Fit on all documents and weigh them: the columns ``keep`` and ``features``.
+
+    Every text is tokenised once.  Without any term there is no model, and the
+    second value holds the tokens.
+    """
+    stop = english_stop_words() if stop_words is None else list(stop_words)
+    tokens = tokenised(docs, text, stop, keep)
+    model = fit_weights(tokens, stop, max_features)
+    return model, tokens if model is None else model.weigh(tokens)
+
+
+def fit_tfidf(
+    docs: DataFrame,
+    text: str = "text",
+    stop_words: Sequence[str] | None = None,
+    max_features: int = MAX_FEATURES,
+) -> TfIdf | None:
+    """Fit on all documents; None when they hold no terms."""
+    return fit_transform(docs, text, (), stop_words, max_features)[0]
 
 
 def tfidf_rows(model: TfIdf, docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """One row per document and term with a positive weight."""
-    vectors = model.transform(docs.select(key, text), text)
+    return weight_rows(model, model.transform(docs.select(key, text), text), key)
+
+
+def weight_rows(model: TfIdf, vectors: DataFrame, key: str) -> DataFrame:
+    """One row per document and term with a positive weight, from ``features``."""
     names = F.array(*[F.lit(t) for t in model.terms])
     parts = F.unwrap_udt("features")
     entry = F.explode(F.arrays_zip(parts["indices"].alias("i"), parts["values"].alias("w")))
@@ -210,10 +249,9 @@ def fit_topics(
     stop_words: Sequence[str] | None = None,
     max_features: int = MAX_FEATURES,
 ) -> TopicModel | None:
-    weights = fit_tfidf(docs, text, stop_words, max_features)
+    weights, vectors = fit_transform(docs, text, (), stop_words, max_features)
     if weights is None:
         return None
-    vectors = weights.transform(docs.select(text), text).select("features")
     clusters = kmeans(vectors, topic_count(n_docs, n_topics), len(weights.terms), seed=seed)
     labels = []
     for centre in clusters.clusterCenters():

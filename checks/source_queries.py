@@ -20,6 +20,7 @@ from voicetide.operators import normalise as nm
 from voicetide.operators.classify import classify_posts, label_posts
 from voicetide.plans import flow
 from voicetide.session import fresh_path
+from voicetide.sources import commits as cm
 from voicetide.sources import document as doc
 from voicetide.sources import raw_json as rj
 from voicetide.sources import tables as tb
@@ -475,6 +476,25 @@ def _(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("S10_whole_source", with_sql(
+    """SELECT id, brand, platform, text, 'real' AS data_source FROM mi
+UNION ALL SELECT id, brand, platform, text, 'synthetic' FROM fo
+UNION ALL SELECT id, brand, platform, text, 'synthetic' FROM pr""", PD, MICROBLOG_SQL, FORUM_SQL, PROFESSIONAL_SQL))
+def _(spark, sf):
+    """One source landed whole, one half landed, one absent; all have a substitute."""
+    substitute, real = land(spark, sf), fresh_path(spark, "real")
+    posts = flow.materialise(ad.posts_docs(spark, sf), "to-land")
+    complete, half, absent = ITEMS
+    by_brand = {b: posts.filter(F.col("brand") == b) for b in ad.LANGS}
+    cm.land_source({b: ITEMS[complete](rows).drop("brand") for b, rows in by_brand.items()}, real, complete)
+    for brand, rows in list(by_brand.items())[:2]:  # no marker follows
+        rj.write_raw(ITEMS[half](rows).drop("brand"), rj.raw_path(real, brand, half))
+    found = [cm.posts_of(spark, real, substitute, s, ad.LANGS) for s in (complete, half, absent)]
+    shown_columns = ("id", "brand", "platform", "text", "data_source")
+    parts = [f.select(*shown_columns) for f in found]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("S11_landed_json_stream", with_sql(
     "SELECT id, brand, platform, text, date, likes, engagement, bucket FROM cl",
     PD, MICROBLOG_SQL, classify_sql(TX, "mi")))

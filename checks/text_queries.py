@@ -13,12 +13,14 @@ from voicetide.functions import scalars as sc
 from voicetide.operators import classify as cl
 from voicetide.operators import dedup as dd
 from voicetide.operators import filters as fl
+from voicetide.operators import frequent as fr
 from voicetide.operators import joins as jn
 from voicetide.operators import topics as tp
 from voicetide.operators import topn as tn
 from voicetide.operators import unions as un
 from voicetide.operators.normalise import available_columns, tag_source
 from voicetide.session import fresh_path, materialise
+from voicetide.sources import key_index as ki
 from voicetide.sources import tables as tb
 
 PD = ad.PD_SQL
@@ -158,6 +160,22 @@ def _(spark, sf):
     return rows.withColumn("weight", F.bround("weight", 6))
 
 
+@query("T2_frequent_labels", with_sql("""SELECT * FROM (SELECT 'words' AS kind, term AS label, count(*) AS n FROM (
+    SELECT unnest(w) AS term FROM tk) GROUP BY term ORDER BY n DESC, label LIMIT 20)
+UNION ALL SELECT * FROM (SELECT 'customers', CAST(o_custkey AS VARCHAR) AS label, count(*) AS n FROM orders
+  GROUP BY o_custkey ORDER BY n DESC, label LIMIT 20)""", tfidf_sql(STOP_WORDS).split(",\ntm AS")[0]))
+def _(spark, sf):
+    """The most frequent of very many labels: skewed ones (words) and flat ones (customers)."""
+    docs = ad.documents(spark, sf)
+    words = docs.select(F.explode_outer(tp.words(F.col("text"), STOP_WORDS)).alias("label"))
+    customers = ad.table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("label"))
+    parts = [
+        fr.top_labels(rows, "label", 20).select(F.lit(kind).alias("kind"), "label", "n")
+        for kind, rows in (("words", words), ("customers", customers))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query("X8_kmeans_topics")
 def _(spark, sf):
     docs = ad.documents(spark, sf).select("doc_id", "text")
@@ -318,6 +336,21 @@ def _(spark, sf):
     return dd.dedup_prefix(ad.posts_docs(spark, sf), scope=("brand",)).select("id", "brand")
 
 
+@query("D1_dedup_across_batches", with_sql("""SELECT id, brand FROM (SELECT *, row_number() OVER (
+  PARTITION BY brand, substring(text, 1, 200) ORDER BY date NULLS LAST, id) AS rn FROM pd)
+WHERE rn = 1""", PD))
+def _(spark, sf):
+    """Three batches in the order of dates, the last one undated, each against the key index only."""
+    posts = ad.posts_docs(spark, sf)
+    early = F.col("date") < F.lit("1995-01-01").cast("timestamp_ntz")
+    batches = [early, ~early, F.col("date").isNull()]
+    keys = [F.col("brand"), F.substring("text", 1, dd.PREFIX_LENGTH)]
+    order = [F.col("date").asc_nulls_last(), F.col("id")]
+    index = fresh_path(spark, "key-index")
+    kept = [ki.keep_new(posts.filter(b), keys, order, index, i) for i, b in enumerate(batches)]
+    return kept[0].unionByName(kept[1]).unionByName(kept[2]).select("id", "brand")
+
+
 @query("D2_dedup_key_chain", """SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY CASE
   WHEN event_type = 'click' THEN 'u/' || CAST(user_id AS VARCHAR)
   WHEN event_type = 'view' THEN CAST(user_id AS VARCHAR)

@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import adapters as ad
+from checks import metric_queries as mq
 from checks.registry import query, with_sql
 from checks.text_queries import RULES, FOCUS_SQL, TX, WINDOW_SQL, classify_sql, flag_sql, sentiment_sql
 from voicetide import lexicons as lx
@@ -433,13 +434,17 @@ def _(spark, sf):
     return tb.read_csv(spark, path).select("id", "text", "likes", "brand")
 
 
-def written_document(spark, sf):
-    """Reports of the orders as one document, read back."""
+def document_path(spark, sf):
+    """Reports of the orders as one document."""
     path = fresh_path(spark, "analytics")
     posts = ad.posts_orders(spark, sf, platform=True)
     marts = flow.reports(posts, ad.PAIR, ad.ORDER_TAXONOMY, ad.CALENDAR)
     flow.write_reports(marts, path, ad.PAIR, ad.ORDER_TAXONOMY)
-    return doc.read_document(spark, path)
+    return path
+
+
+def written_document(spark, sf):
+    return doc.read_document(spark, document_path(spark, sf))
 
 
 @query("S8_analytics_doc_sink", with_sql("""SELECT sh.brand, bucket_label, count, share,
@@ -456,6 +461,91 @@ def _(spark, sf):
     return doc.document_months(written_document(spark, sf))
 
 
+def leaves_sql(section, path, fields, source, where="true"):
+    """Rows of one section: a path and value for every field; numbers and texts apart."""
+    entries = ", ".join(
+        f"{{'k': '{k}', 'n': {f'CAST({k} AS DOUBLE)' if n else 'NULL'}, 't': {'NULL' if n else k}}}"
+        for k, n in fields.items()
+    )
+    return f"""SELECT '{section}' AS section, {path} || '/' || e.k AS path, e.n AS number, e.t AS text
+  FROM (SELECT *, unnest([{entries}]) AS e FROM {source} WHERE {where})"""
+
+
+# Whether a field holds a number.
+POST_FIELDS = {"text": 0, "platform": 0, "day": 0, "engagement": 1, "sentiment": 0, "url": 0}
+MONTH_FIELDS = {"total": 1, "complaints": 1, "escalations": 1, "sentiment_neg": 1, "mom_total_pct": 1}
+ISSUE_FIELDS = {
+    "issue": 0, "type": 0, "total": 1, "first_count": 1, "last_count": 1, "growth_pct": 1, "brand": 0,
+}
+SAMPLE_FIELDS = {k: n for k, n in POST_FIELDS.items() if k not in ("sentiment", "url")}
+PAIR_ONLY = "brand IN ('F', 'O')"
+
+DOCUMENT_CTES = (
+    ad.PO_SQL, ad.DIMS_SQL, ad.MONTHLY_SQL, ad.SHARES_SQL, ad.GAPS_SQL, mq.RANKED_SQL, mq.CHANGES_SQL,
+    mq.TOPICS_SQL, mq.SPIKES_SQL.replace("FROM mb CROSS JOIN lp", "FROM mb CROSS JOIN lp WHERE brand <> 'P'")
+    .replace("WHERE n > 0)", "WHERE n > 0 AND brand <> 'P')").replace("growth_pct > 20", "growth_pct > 50"),
+    mq.EMERGING_SQL,
+    f"""kp AS (SELECT brand, count(*) AS total_posts, count(*) FILTER (WHERE is_complaint) AS complaint_posts,
+  count(*) FILTER (WHERE is_escalation) AS escalation_posts,
+  count(*) FILTER (WHERE sentiment = 'Negative') AS negative_posts FROM po WHERE {PAIR_ONLY} GROUP BY brand)""",
+    """mm AS (SELECT *, round_even((total - p)::DOUBLE / nullif(p, 0) * 100, 1) AS mom_total_pct FROM (
+  SELECT *, lag(total) OVER (PARTITION BY brand ORDER BY month_idx) AS p FROM mt))""",
+    """bm AS (SELECT *, round_even((n - p)::DOUBLE / nullif(p, 0) * 100, 1) AS mom_bucket_pct,
+    round_even(n::DOUBLE / nullif(s, 0) * 100, 1) AS bucket_pct FROM (
+  SELECT *, coalesce(lag(n) OVER (PARTITION BY brand, bucket ORDER BY month_idx), 0) AS p,
+    sum(n) OVER (PARTITION BY brand, month_idx) AS s FROM mb))""",
+    """mv AS (SELECT brand, first(bucket_label ORDER BY change DESC, bucket_label) AS biggest_increase,
+  first(bucket_label ORDER BY change, bucket_label) AS biggest_decrease FROM ch GROUP BY brand)""",
+    "pp AS (SELECT rk.*, bucket_label FROM rk JOIN bk USING (bucket) WHERE rn <= 8)",
+    """no AS (SELECT br.brand, bk.bucket_label FROM br CROSS JOIN bk
+  WHERE NOT EXISTS (SELECT 1 FROM po WHERE po.brand = br.brand AND po.bucket = bk.bucket))""",
+    """hi AS (SELECT side, bucket_label, row_number() OVER (PARTITION BY side ORDER BY bucket_ord) - 1 AS i FROM (
+  SELECT *, CASE WHEN diff_share > 2 THEN 'F' WHEN diff_share < -2 THEN 'O' END AS side FROM gp) WHERE side IS NOT NULL)""",
+    """ir AS (SELECT *, row_number() OVER (ORDER BY coalesce(growth_pct, 0) DESC, type, issue) - 1 AS i FROM ei)""",
+    """sm AS (SELECT ir.i, s.* FROM ir JOIN (SELECT *, strftime(date, '%Y-%m-%d %H:%M:%S') AS day, row_number() OVER (
+    PARTITION BY topic_label ORDER BY engagement DESC, id) AS rn FROM po WHERE bucket = '5-LOW') s
+  ON s.topic_label = ir.issue AND type = 'New Topic' WHERE rn <= 3)""",
+)
+DOCUMENT_ROWS = [
+    f"""SELECT 'platform_counts' AS section, '/' || brand || '/' || platform AS path,
+  CAST(count(*) AS DOUBLE) AS number, CAST(NULL AS VARCHAR) AS text FROM po WHERE {PAIR_ONLY} GROUP BY brand, platform""",
+    leaves_sql("kpis", "'/' || brand", dict.fromkeys(
+        ("total_posts", "complaint_posts", "escalation_posts", "negative_posts"), 1), "kp"),
+    leaves_sql("monthly_trend", "'/' || brand || '/by_month/' || month", MONTH_FIELDS, "mm", PAIR_ONLY),
+    f"""SELECT 'monthly_trend', '/' || brand || '/by_month/' || month || '/' || e.k || '/' || bucket_label, e.n, NULL
+  FROM (SELECT *, unnest([{{'k': 'bucket_counts', 'n': CAST(n AS DOUBLE)}}, {{'k': 'bucket_pct', 'n': bucket_pct}},
+    {{'k': 'mom_bucket_pct', 'n': mom_bucket_pct}}]) AS e FROM bm WHERE n > 0 AND {PAIR_ONLY})""",
+    f"""SELECT 'monthly_trend', '/' || brand || '/by_month/' || month || '/' || k, NULL, '{{}}'
+  FROM (SELECT *, unnest(['bucket_counts', 'bucket_pct', 'mom_bucket_pct']) AS k FROM mm WHERE total = 0 AND {PAIR_ONLY})""",
+    leaves_sql("monthly_trend", "'/' || brand", {"biggest_increase": 0, "biggest_decrease": 0}, "mv", PAIR_ONLY),
+    leaves_sql("bucket_analysis", "'/' || brand || '/' || bucket_label", {"count": 1, "share": 1}, "sh", PAIR_ONLY),
+    f"""SELECT 'bucket_analysis', '/' || brand || '/' || bucket_label || '/trend/' || month, CAST(n AS DOUBLE), NULL
+  FROM mb WHERE {PAIR_ONLY}""",
+    leaves_sql("bucket_analysis", "'/' || brand || '/' || bucket_label || '/examples/' || (rn - 1)", POST_FIELDS, "pp",
+               PAIR_ONLY),
+    f"SELECT 'bucket_analysis', '/' || brand || '/' || bucket_label || '/examples', NULL, '[]' FROM no WHERE {PAIR_ONLY}",
+    leaves_sql("rep_posts", "'/' || brand || '/' || bucket_label || '/' || (rn - 1)", POST_FIELDS, "pp", PAIR_ONLY),
+    f"SELECT 'rep_posts', '/' || brand || '/' || bucket_label, NULL, '[]' FROM no WHERE {PAIR_ONLY}",
+    """SELECT 'competitive', '/by_bucket/' || bucket_label || '/' || e.k, e.n, NULL FROM (SELECT *, unnest([
+  {'k': 'F_count', 'n': CAST(a_count AS DOUBLE)}, {'k': 'O_count', 'n': CAST(b_count AS DOUBLE)},
+  {'k': 'F_share', 'n': a_share}, {'k': 'O_share', 'n': b_share}, {'k': 'diff_share', 'n': diff_share}]) AS e FROM gp)""",
+    "SELECT 'competitive', '/higher/' || side || '/' || i, NULL, bucket_label FROM hi",
+    "SELECT 'competitive', '/higher/' || b, NULL, '[]' FROM (VALUES ('F'), ('O')) t(b) WHERE b NOT IN (SELECT side FROM hi)",
+    leaves_sql("emerging", "'/' || i", ISSUE_FIELDS, "ir"),
+    leaves_sql("emerging", "'/' || i || '/samples/' || (rn - 1)", SAMPLE_FIELDS, "sm"),
+    "SELECT 'emerging', '/' || i || '/samples', NULL, '[]' FROM ir WHERE i NOT IN (SELECT i FROM sm)",
+    "SELECT 'emerging', '', NULL, '[]' WHERE NOT EXISTS (SELECT 1 FROM ir)",
+]
+
+
+@query("S9_document_paths", with_sql(
+    "SELECT section, regexp_replace(path, '/day$', '/date') AS path, number, text FROM (\n"
+    + "\nUNION ALL ".join(DOCUMENT_ROWS) + ")", *DOCUMENT_CTES))
+def _(spark, sf):
+    """Every value of all seven sections."""
+    return doc.document_paths(spark, document_path(spark, sf))
+
+
 @query("S10_source_fallback", with_sql(
     "SELECT id, brand, 'csv' AS found FROM pd UNION ALL SELECT id, brand, 'parquet' FROM pd", PD))
 def _(spark, sf):

@@ -1,5 +1,6 @@
-"""Frequent labels, deduplication across batches, whole sources."""
+"""Frequent labels, deduplication across batches, whole sources, documents by path."""
 
+import json
 import random
 from collections import Counter
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from voicetide.operators import dedup as dd
 from voicetide.operators import frequent as fr
 from voicetide.sources import commits as cm
+from voicetide.sources import document as doc
 from voicetide.sources import key_index as ki
 from voicetide.sources import raw_json as rj
 
@@ -118,3 +120,37 @@ def test_whole_sources(spark, tmp_path):
     assert len(found()) == 4
     cm.withdraw(spark, real, "twitter")
     assert found() == substitute
+
+
+def paths_of(value, path=""):
+    """(path, number, text) of every leaf, by recursion."""
+    if isinstance(value, dict) and value:
+        return [x for k, v in value.items() for x in paths_of(v, f"{path}/{k.replace('~', '~0').replace('/', '~1')}")]
+    if isinstance(value, list) and value:
+        return [x for i, v in enumerate(value) for x in paths_of(v, f"{path}/{i}")]
+    if isinstance(value, (dict, list)):
+        return [(path, None, json.dumps(value))]
+    if isinstance(value, bool):
+        return [(path, None, str(value).lower())]
+    return [(path, value, None)] if isinstance(value, (int, float)) else [(path, None, value)]
+
+
+def test_document_paths(spark, tmp_path):
+    document = {
+        "kpis": {"a": {"total": 3, "share": 12.5, "big": 1e300, "none": None, "flag": True}, "b": {}},
+        "lists": {"a/b~c": [[], {}, "", "12", "[]", [1, [2, {"x": None}]]]}, "plain": 7, "text": "é", "void": None,
+    }
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "part-0.json").write_text(json.dumps(document))
+    got = {(r.section, r.path, r.number, r.text) for r in doc.document_paths(spark, str(tmp_path / "d")).collect()}
+    want = {(s, p, n, t) for s, v in document.items() for p, n, t in paths_of(v)}
+    assert got == want
+
+
+def test_a_document_nested_too_deep_fails(spark, tmp_path):
+    value = 1
+    for _ in range(doc.DEPTH + 1):
+        value = {"x": value}
+    (tmp_path / "part-0.json").write_text(json.dumps(value))
+    with pytest.raises(Exception, match="nested too deep"):
+        doc.document_paths(spark, str(tmp_path)).collect()

@@ -175,6 +175,47 @@ def read_document(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DOCUMENT).json(path)
 
 
+#: Levels of nesting that ``document_paths`` follows; the deepest section has six.
+DEPTH = 10
+
+
+def document_paths(spark: SparkSession, path: str) -> DataFrame:
+    """(section, path, number, text): every value of the document, whatever its sections.
+
+    Read as VARIANT, so no schema is fixed.  ``path`` is a JSON pointer below the section.
+    Numbers are in ``number``, all else as text; a null has neither, and an empty list or
+    object is a row of its own with ``[]`` or ``{}`` as text.  Deeper nesting than
+    ``DEPTH`` is an error.
+    """
+    rows = spark.read.text(path).select(
+        F.lit("").alias("path"), F.parse_json("value").alias("v")
+    )
+    found = []
+    for level in range(DEPTH + 1):
+        kind, json = F.schema_of_variant("v"), F.to_json("v")
+        plain = kind.isin("STRING", "BOOLEAN")
+        nested = (kind.startswith("ARRAY") | kind.startswith("OBJECT")) & ~json.isin("[]", "{}")
+        number = F.when(~plain, F.try_variant_get("v", "$", "double"))
+        text = F.when(plain, F.try_variant_get("v", "$", "string")).when(json.isin("[]", "{}"), json)
+        if level == DEPTH:
+            deep = F.raise_error(F.concat(F.lit("nested too deep: "), "path")).cast("string")
+            found.append(rows.select("path", number.alias("number"), F.when(nested, deep).otherwise(text).alias("text")))
+            break
+        found.append(rows.filter(~nested).select("path", number.alias("number"), text.alias("text")))
+        below = rows.filter(nested).lateralJoin(
+            spark.tvf.variant_explode(F.col("v").outer()).toDF("_pos", "_key", "_value")
+        )
+        name = F.replace(F.replace("_key", F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+        step = F.coalesce(name, F.col("_pos").cast("string"))
+        rows = below.select(F.concat("path", F.lit("/"), step).alias("path"), F.col("_value").alias("v"))
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    parts = F.split("path", "/", 3)
+    rest = F.coalesce(F.concat(F.lit("/"), F.get(parts, F.lit(2))), F.lit(""))
+    return out.select(F.get(parts, F.lit(1)).alias("section"), rest.alias("path"), "number", "text")
+
+
 def document_kpis(document: DataFrame) -> DataFrame:
     return document.select(F.explode("kpis").alias("brand", "k")).select("brand", "k.*")
 

@@ -641,3 +641,44 @@ def _(spark, sf):
     root = land(spark, sf)
     posts = flow.unified_posts(spark, root, RULES, ad.WINDOW, json_arrays=False)
     return shown(posts).select("id", "brand", "platform", "text", "date", "engagement")
+
+
+RUN_PAIR = ("en", "fr")
+RUN_LABELS = ", ".join(f"('{b.key}', '{b.label}')" for b in (*TX.buckets, TX.default))
+
+
+@query("E1_whole_run", with_sql(f"""SELECT 'platform_counts' AS section, '/' || brand || '/' || replace(platform, '/', '~1') AS path,
+  CAST(count(*) AS DOUBLE) AS number FROM lb GROUP BY brand, platform
+UNION ALL SELECT 'kpis', '/' || brand || '/' || e.k, CAST(e.n AS DOUBLE) FROM (SELECT brand, unnest([
+  {{'k': 'total_posts', 'n': count(*)}}, {{'k': 'complaint_posts', 'n': count(*) FILTER (WHERE is_complaint)}},
+  {{'k': 'escalation_posts', 'n': count(*) FILTER (WHERE is_escalation)}},
+  {{'k': 'negative_posts', 'n': count(*) FILTER (WHERE sentiment = 'Negative')}}]) AS e FROM lb GROUP BY brand)
+UNION ALL SELECT 'bucket_analysis', '/' || brand || '/' || replace(label, '/', '~1') || '/' || e.k, e.n FROM (
+  SELECT *, unnest([{{'k': 'count', 'n': CAST(c AS DOUBLE)}}, {{'k': 'share', 'n': coalesce(round_even(
+    c::DOUBLE / nullif(sum(c) OVER (PARTITION BY brand), 0) * 100, 1), 0)}}]) AS e FROM ct)
+UNION ALL SELECT 'topics', '/labelled', CAST(CASE WHEN count(*) < 20 THEN 0 ELSE count(*) END AS DOUBLE)
+  FROM al_lb WHERE bucket = '{TX.default.key}'""",
+    PD, MICROBLOG_SQL, FORUM_SQL, PROFESSIONAL_SQL, UNIFIED_SQL, "u1 AS (SELECT * FROM un WHERE rn = 1)",
+    classify_sql(TX, "u1"),
+    f"""al_lb AS (SELECT *, {sentiment_sql(lx.NEGATIVE_WORDS, lx.POSITIVE_WORDS)} AS sentiment,
+  {flag_sql(lx.COMPLAINT_WORDS)} AS is_complaint, {flag_sql(lx.ESCALATION_WORDS)} AS is_escalation FROM cl)""",
+    "lb AS (SELECT * FROM al_lb WHERE brand IN ('en', 'fr'))",
+    f"""ct AS (SELECT brand, label, count(lb.id) AS c FROM (VALUES ('en'), ('fr')) t(brand)
+  CROSS JOIN (VALUES {RUN_LABELS}) k(bucket, label) LEFT JOIN lb USING (brand, bucket) GROUP BY ALL)"""))
+def _(spark, sf):
+    """Landed items to posts, labels, topics, the stored table, the reports and the document.
+
+    Fewer than 20 posts in the default bucket get no topics.
+    """
+    root, marts, path = land(spark, sf), fresh_path(spark, "marts"), fresh_path(spark, "analytics")
+    posts = flow.unified_posts(spark, root, RULES, ad.WINDOW, json_arrays=False)
+    tb.write_classified(flow.classified_posts(posts, TX), marts)
+    stored = tb.read_posts(spark, marts)
+    flow.write_reports(flow.reports(stored, RUN_PAIR, TX, ad.CALENDAR), path, RUN_PAIR, TX)
+    leaves = doc.document_paths(spark, path).filter("number IS NOT NULL")
+    totals = F.col("section").isin("platform_counts", "kpis")
+    shares = (F.col("section") == "bucket_analysis") & F.col("path").rlike("^/[^/]*/[^/]*/(count|share)$")
+    topics = stored.filter("topic_label <> ''").agg(F.count(F.lit(1)).cast("double").alias("number"))
+    return leaves.filter(totals | shares).select("section", "path", "number").unionByName(
+        topics.select(F.lit("topics").alias("section"), F.lit("/labelled").alias("path"), "number")
+    )

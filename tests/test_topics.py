@@ -5,9 +5,11 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from voicetide.operators import term_counts as tc
 from voicetide.operators import topics as tp
 
 WORDS = ["late", "rider", "cold", "soup", "refund", "app", "Crash", "été", "the", "of", "x", "a1"]
@@ -56,6 +58,34 @@ def test_vocabulary_with_many_ties_counts_all_pairs(spark):
     assert tp.vocabulary(tp.tokenised(rows, "text", ()), 10) == brute_force(docs, 10)[0]
 
 
+def test_pairs_are_counted_in_tasks(spark, monkeypatch):
+    # exploded and joined, the pairs of a hot word are one task's work
+    rows = spark.createDataFrame(list(enumerate(texts())), "i int, text string").repartition(3)
+    tokens, want = tp.tokenised(rows, "text", STOP), brute_force(texts(), 20)[0]
+
+    def exploded(_):
+        raise AssertionError("one row a pair")
+
+    with monkeypatch.context() as m:
+        m.setattr(tp, "_adjacent", exploded)
+        assert tp.vocabulary(tokens, 20) == want
+    # more tied words than are shipped
+    monkeypatch.setattr(tp, "MAX_SHIPPED", 3)
+    assert tp.vocabulary(tokens, 20) == want
+
+
+def test_terms_of_slices_nulls_and_text_ends():
+    words = pa.array([["x"], ["a", "b"], None, ["c"], [], ["a", "x", "b", "c", "a", "b"]] * 700)
+    found = {}
+    for first, (n, text, term, count) in enumerate(tc.TermCounter(["a", "b c", "b", "c a", "a b"]).counts(words[1:])):
+        assert n <= tc.ROWS
+        found |= {(first * tc.ROWS + i, t): c for i, t, c in zip(text.tolist(), term.tolist(), count.tolist())}
+    # "b" at a text's end and "c" at the next one's start are no pair
+    one = {0: {0: 1, 2: 1, 4: 1}, 4: {0: 2, 1: 1, 2: 2, 3: 1, 4: 1}}
+    want = {(6 * k + i, t): c for k in range(700) for i, each in one.items() for t, c in each.items()}
+    assert found == want
+
+
 def test_texts_are_tokenised_once(spark):
     rows = spark.createDataFrame(list(enumerate(texts())), "i int, text string")
     model, vectors = tp.fit_transform(rows, keep=["i"], stop_words=STOP, max_features=20)

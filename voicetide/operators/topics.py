@@ -2,8 +2,8 @@
 
 Texts are tokenised once: their words are written to the shared folder, where
 Parquet stores them as numbers into a dictionary of words, and counts, document
-frequencies and vectors all read these.  Pairs and document weights are row-wise
-expressions.  The only shuffles are the two term counts, which combine inside map
+frequencies and vectors all read these.  Terms are counted inside tasks
+(``term_counts``).  The only shuffles are the two term counts, which combine inside map
 tasks; the second one is limited, without losing anything, to pairs of frequent
 words.
 """
@@ -13,27 +13,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Transformer
-from pyspark.ml.feature import (
-    IDF,
-    CountVectorizerModel,
-    ElementwiseProduct,
-    Normalizer,
-    StopWordsRemover,
-)
+import numpy as np
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voicetide.operators.clusters import Clusters, kmeans
-from voicetide.session import materialise
+from voicetide.operators.term_counts import document_frequencies, pairs_among, unit_vectors
+from voicetide.session import importable, materialise
 
 #: Runs of two or more letters, digits or underscores.
 WORD = r"[\p{L}\p{N}_]{2,}"
 MAX_FEATURES = 500
 MIN_POSTS = 20
+#: Frequent words that are shipped to the tasks; more of them (all tied) are joined.
+MAX_SHIPPED = 20_000
 
 
 def english_stop_words() -> list[str]:
@@ -55,10 +51,6 @@ def _adjacent(tokens: Column) -> Column:
     )
 
 
-def word_pairs(tokens: Column) -> Column:
-    return F.transform(_adjacent(tokens), lambda p: F.concat_ws(" ", p["_a"], p["_b"]))
-
-
 def tokenised(
     docs: DataFrame, text: str, stop_words: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -79,9 +71,10 @@ def vocabulary(tokens: DataFrame, max_features: int = MAX_FEATURES) -> list[str]
     """The most frequent words and pairs, ties in alphabetical order.
 
     A pair occurs at most as often as each of its words, so no pair with a
-    word rarer than the ``max_features``-th word can make the list: pairs are
-    joined with the words at least that frequent before they are counted.  Where
-    fewer words than that tie, this is a join with a handful of rows.
+    word rarer than the ``max_features``-th word can make the list: only pairs of
+    words at least that frequent are counted.  These few words are shipped to the
+    tasks.  Where more than ``MAX_SHIPPED`` tie, all pairs are counted first, inside
+    map tasks, and then joined with them.
     """
     words_of = _exploded(tokens, F.col("_words"))
     counted = materialise(
@@ -90,15 +83,20 @@ def vocabulary(tokens: DataFrame, max_features: int = MAX_FEATURES) -> list[str]
     singles = counted.orderBy(F.desc("n"), "term").limit(max_features).collect()
     floor = singles[-1]["n"] if len(singles) == max_features else 1
     frequent = counted.filter(F.col("n") >= floor).select("term")
-    adjacent = tokens.select(
-        F.explode_outer(_adjacent(F.col("_words"))).alias("_p")
-    ).select("_p.*").filter("_a IS NOT NULL")
-    known = adjacent.join(
-        frequent.withColumnRenamed("term", "_a"), "_a", "left_semi"
-    ).join(frequent.withColumnRenamed("term", "_b"), "_b", "left_semi")
+    shipped = frequent.limit(MAX_SHIPPED + 1).collect()
+    if not shipped:
+        return []
+    if len(shipped) <= MAX_SHIPPED:
+        found = pairs_among(tokens, [r["term"] for r in shipped])
+    else:
+        every = tokens.select(F.explode_outer(_adjacent(F.col("_words"))).alias("_p")).select("_p.*")
+        each = every.filter("_a IS NOT NULL").groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("n"))
+        found = each.join(frequent.withColumnRenamed("term", "_a"), "_a", "left_semi").join(
+            frequent.withColumnRenamed("term", "_b"), "_b", "left_semi"
+        )
     pairs = (
-        known.groupBy("_a", "_b")
-        .agg(F.count(F.lit(1)).alias("n"))
+        found.groupBy("_a", "_b")
+        .agg(F.sum("n").alias("n"))
         .select(F.concat_ws(" ", "_a", "_b").alias("term"), "n")
         .orderBy(F.desc("n"), "term")
         .limit(max_features)
@@ -114,14 +112,13 @@ class TfIdf:
 
     stop_words: Sequence[str]
     terms: list[str]
-    stages: list[Transformer]
+    weights: np.ndarray
 
     def weigh(self, tokens: DataFrame) -> DataFrame:
         """``features`` from ``_words``."""
-        out = tokens.withColumn("terms", F.concat("_words", word_pairs(F.col("_words"))))
-        for stage in self.stages:
-            out = stage.transform(out)
-        return out.drop("_words", "terms", "_counts", "_weighted")
+        importable(tokens.sparkSession)
+        vectors = unit_vectors(self.terms, self.weights)
+        return tokens.withColumn("features", vectors("_words")).drop("_words")
 
     def transform(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """``features`` of texts, tokenised on the way: for texts that are read once."""
@@ -135,15 +132,8 @@ def fit_weights(
     terms = vocabulary(tokens, max_features)
     if not terms:
         return None
-    counter = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="_counts")
-    pairs = word_pairs(F.col("_words"))
-    counts = counter.transform(tokens.select(F.concat("_words", pairs).alias("terms")))
-    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counts.select("_counts")).idf
-    scale = ElementwiseProduct(
-        scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="_counts", outputCol="_weighted"
-    )
-    unit = Normalizer(p=2.0, inputCol="_weighted", outputCol="features")
-    return TfIdf(stop_words, terms, [counter, scale, unit])
+    n, with_term = document_frequencies(tokens, terms)
+    return TfIdf(stop_words, terms, np.log((n + 1.0) / (with_term + 1.0)) + 1.0)
 
 
 def fit_transform(
@@ -240,24 +230,41 @@ class TopicModel:
         )
 
 
-def fit_topics(
+def fit_topic_vectors(
     docs: DataFrame,
     n_docs: int,
     text: str = "text",
+    keep: Sequence[str] = (),
     n_topics: int = 10,
     seed: int = 42,
     stop_words: Sequence[str] | None = None,
     max_features: int = MAX_FEATURES,
-) -> TopicModel | None:
-    weights, vectors = fit_transform(docs, text, (), stop_words, max_features)
+) -> tuple[TopicModel | None, DataFrame]:
+    """The model, and the columns ``keep`` and ``features`` of the documents it was fitted on.
+
+    Without any term there is no model, and the second value holds the tokens.
+    """
+    weights, vectors = fit_transform(docs, text, keep, stop_words, max_features)
     if weights is None:
-        return None
+        return None, vectors
     clusters = kmeans(vectors, topic_count(n_docs, n_topics), len(weights.terms), seed=seed)
     labels = []
     for centre in clusters.clusterCenters():
         best = sorted(zip(weights.terms, centre), key=lambda p: (-p[1], p[0]))
         labels.append("_".join(t for t, _ in best[:3]))
-    return TopicModel(weights, clusters, labels)
+    return TopicModel(weights, clusters, labels), vectors
+
+
+def fit_topics(
+    docs: DataFrame,
+    n_docs: int,
+    text: str = "text",
+    n_topics: int = 10,
+    seed: int = 42,
+    stop_words: Sequence[str] | None = None,
+    max_features: int = MAX_FEATURES,
+) -> TopicModel | None:
+    return fit_topic_vectors(docs, n_docs, text, (), n_topics, seed, stop_words, max_features)[0]
 
 
 def detect_topics(

@@ -179,8 +179,7 @@ def _(spark, sf):
 @query("X8_kmeans_topics")
 def _(spark, sf):
     docs = ad.documents(spark, sf).select("doc_id", "text")
-    model = tp.fit_topics(docs, docs.count())
-    vectors = model.weights.transform(docs)
+    model, vectors = tp.fit_topic_vectors(docs, docs.count(), keep=["doc_id"])
     return model.clusters.transform(vectors).select("doc_id", F.col("_cluster").alias("cluster"))
 
 
@@ -189,8 +188,8 @@ def _(spark, sf):
 def _(spark, sf):
     """Every document in one cluster, no cluster empty, their number as the rule has it."""
     docs = ad.documents(spark, sf).select("doc_id", "text")
-    model = tp.fit_topics(docs, docs.count())
-    found = model.clusters.transform(model.weights.transform(docs))
+    model, vectors = tp.fit_topic_vectors(docs, docs.count(), keep=["doc_id"])
+    found = model.clusters.transform(vectors)
     inside = F.col("_cluster").between(0, len(model.labels) - 1)
     return found.agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("doc_id").alias("n_docs"),

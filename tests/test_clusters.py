@@ -66,3 +66,29 @@ def test_fewer_points_than_clusters_and_empty_vectors(spark):
     model = km.kmeans(frame(spark, few, 2), 5, SIZE, starts=2)
     assert model.cost == 0 and len(model.centres) == 2
     assert Vectors.dense(model.clusterCenters()[0]).norm(2) == pytest.approx(1)
+
+
+def test_copies_are_counted_and_cost_no_row(spark):
+    many = sample(40) * 30
+    rows = km.points(frame(spark, many, 3))
+    distinct = {tuple(zip(v.indices.tolist(), np.rint(v.values * km.SCALE).tolist())) for v in many}
+    assert rows.count() == len(distinct) and rows.agg({"n": "sum"}).first()[0] == len(many)
+    x = np.rint(np.array([v.toArray() for v in many]) * km.SCALE)
+    model = km.kmeans(frame(spark, many, 3), 4, SIZE, starts=2)
+    assert model.cost == int(km.distances(x, model.centres).min(axis=1).sum())
+
+
+def test_copies_crowd_no_candidate_out(spark):
+    # one batch holds far more copies of the first points than a draw takes
+    many = [SparseVector(SIZE, {0: 1.0})] * 900 + [SparseVector(SIZE, {i: 1.0}) for i in range(1, SIZE)]
+    found = km.nearest_draws(km.points(frame(spark, many, 1)), {0: np.eye(1, SIZE, 5, dtype=np.int64) * km.SCALE}, 0, SIZE, SIZE, 1)
+    assert len({tuple(c) for c in found[0].tolist()}) == SIZE
+
+
+def test_single_precision_is_exact():
+    draw = np.random.default_rng(4)
+    unit = np.abs(draw.normal(size=(500, 60)))
+    x = np.rint(unit / np.linalg.norm(unit, axis=1)[:, None] * km.SCALE)
+    centres = np.vstack([x[:40], np.rint(x.mean(axis=0))]).astype(np.int64)
+    assert (centres.astype(float) @ centres.T.astype(float)).max() > km.EXACT  # beyond what is exact
+    assert (km.away_from(x.astype(np.float32), centres) == km.distances(x, centres)).all()

@@ -15,6 +15,12 @@ nearest to them and reduced to k centres by k-means++ on the driver: at most
 *Training* runs all starts in one pass an iteration: the centres of all starts go
 to every task, which adds up its points per (start, cluster) and returns sums.
 Starts that no longer improve drop out; the start with the lowest cost wins.
+Equal points are one row with their number, so copies cost nothing and can't crowd
+other candidates out of a batch.
+
+*Products* are taken in single precision where that is exact: terms are whole and not
+negative, so a sum that stays below 2**24 was exact all along, and others are taken again
+in double precision.
 """
 
 from __future__ import annotations
@@ -36,6 +42,8 @@ MAX_ITERATIONS = 20
 #: Relative improvement below which a start has converged.
 TOLERANCE = 1e-4
 BATCH = 2048
+#: Whole numbers up to here are exact in single precision.
+EXACT = 1 << 24
 
 
 def on_grid(values: Column) -> Column:
@@ -43,10 +51,11 @@ def on_grid(values: Column) -> Column:
 
 
 def points(vectors: DataFrame, features: str = "features") -> DataFrame:
-    """(indices, q, h): sparse vectors on the grid and their hash."""
+    """(indices, q, h, n): distinct sparse vectors on the grid, their hash and their number."""
     parts = F.unwrap_udt(features)
     rows = vectors.select(parts["indices"].alias("indices"), on_grid(parts["values"]).alias("q"))
-    return rows.withColumn("h", F.xxhash64("indices", "q"))
+    counted = rows.groupBy("indices", "q").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("indices", "q", F.xxhash64("indices", "q").alias("h"), "n")
 
 
 @dataclass(frozen=True)
@@ -62,30 +71,45 @@ class Clusters:
     def transform(self, vectors: DataFrame, features: str = "features", name: str = "_cluster") -> DataFrame:
         """Adds the number of the nearest centre, the first of equals, by integer arithmetic."""
         parts = F.unwrap_udt(features)
-        grid = F.arrays_zip(parts["indices"].alias("i"), on_grid(parts["values"]).alias("q"))
-        rows = vectors.withColumn("_grid", grid)
+        grid = F.struct(parts["indices"].alias("indices"), on_grid(parts["values"]).alias("q"))
+        importable(vectors.sparkSession)
+        centres = self.centres
 
-        def away(centre: list[int]) -> Column:
-            """The squared distance less the point's own square."""
-            weights = F.lit(centre).cast("array<bigint>")
-            product = F.aggregate(
-                "_grid", F.lit(0).cast("bigint"), lambda total, e: total + e["q"] * weights[e["i"]]
-            )
-            return F.lit(sum(c * c for c in centre)) - 2 * product
+        def nearest(points: pa.Array) -> pa.Array:
+            batch = pa.RecordBatch.from_struct_array(points)
+            found = [np.zeros(0, np.int32)]
+            for first in range(0, batch.num_rows, BATCH):
+                x = dense(batch.slice(first, BATCH), centres.shape[1])
+                found.append(away_from(x, centres).argmin(axis=1).astype(np.int32))
+            return pa.array(np.concatenate(found))
 
-        both = F.array(*[away(c) for c in self.centres.tolist()])
-        return rows.withColumn(name, (F.array_position(both, F.array_min(both)) - 1).cast("int")).drop("_grid")
+        nearest.__annotations__ = {"points": pa.Array, "return": pa.Array}
+        return vectors.withColumn(name, F.arrow_udf(nearest, "int")(grid))
 
 
 def dense(batch: pa.RecordBatch, size: int) -> np.ndarray:
-    """The points of a batch as rows of whole numbers in doubles."""
+    """The points of a batch as rows of whole numbers."""
     lists = batch.column(0)
     counts = np.diff(lists.offsets.to_numpy())
-    out = np.zeros((batch.num_rows, size))
+    out = np.zeros((batch.num_rows, size), np.float32)
     out[np.repeat(np.arange(batch.num_rows), counts), lists.flatten().to_numpy()] = batch.column(1).flatten().to_numpy()
     return out
 
 
+def squares(x: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", x, x, dtype=float)
+
+
+def away_from(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of ``dense`` points that aren't negative: exact."""
+    product = (x @ centres.T.astype(np.float32)).astype(float)
+    unsure = np.flatnonzero((product >= EXACT).any(axis=1))
+    if len(unsure):
+        product[unsure] = x[unsure].astype(float) @ centres.T.astype(float)
+    c = centres.astype(float)
+    return squares(x)[:, None] - 2 * product + (c * c).sum(axis=1)
+
+
 def distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances; exact, as all numbers are whole and small."""
     c = centres.astype(float)
@@ -106,28 +130,37 @@ def uniform(h: np.ndarray, *keys: int) -> np.ndarray:
 def sums(rows: DataFrame, starts: dict[int, np.ndarray], size: int) -> dict[int, dict]:
     """Per start: its cost, and the number and the sum of the points nearest to each centre."""
 
+    order = list(starts)
+    every = np.vstack([starts[s] for s in order])
+    first_of = np.cumsum([0, *[len(starts[s]) for s in order]])
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {s: np.zeros((len(c), size + 2), np.int64) for s, c in starts.items()}
+        total = np.zeros((len(every), size + 2), np.int64)
         for whole in batches:
             for first in range(0, whole.num_rows, BATCH):
-                x = dense(whole.slice(first, BATCH), size)
-                for s, centres in starts.items():
-                    away = distances(x, centres)
-                    near = away.argmin(axis=1)
-                    member = np.zeros((len(centres), len(x)))
-                    member[near, np.arange(len(x))] = 1.0
-                    # sums of at most BATCH small whole numbers: exact in doubles
-                    both = np.column_stack([x, np.ones(len(x)), away[np.arange(len(x)), near]])
-                    total[s] += (member @ both).astype(np.int64)
-        for s, found in total.items():
-            cluster, dim = np.nonzero(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(cluster), s), pa.int32()), pa.array(cluster, pa.int32()),
-                 pa.array(dim, pa.int32()), pa.array(found[cluster, dim])],
-                ["start", "cluster", "dim", "value"],
-            )
-
-    added = rows.select("indices", "q").mapInArrow(add, "start int, cluster int, dim int, value long")
+                part = whole.slice(first, BATCH)
+                x, n = dense(part, size), part.column(2).to_numpy()
+                away = away_from(x, every)
+                # sums of at most BATCH small whole numbers: exact, in doubles where copies count
+                kind = np.float32 if n.sum() * SCALE <= EXACT else float
+                member = np.zeros((len(every), len(x)), kind)
+                each = np.arange(len(x))
+                for a, b in zip(first_of, first_of[1:]):
+                    near = a + away[:, a:b].argmin(axis=1)
+                    member[near, each] = n
+                    total[:, size] += np.bincount(near, n, minlength=len(every)).astype(np.int64)
+                    cost = np.bincount(near, n * away[each, near], minlength=len(every))
+                    total[:, size + 1] += cost.astype(np.int64)
+                total[:, :size] += (member @ x.astype(kind, copy=False)).astype(np.int64)
+        row, dim = np.nonzero(total)
+        start = np.searchsorted(first_of, row, side="right") - 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.array(order)[start], pa.int32()), pa.array(row - first_of[start], pa.int32()),
+             pa.array(dim, pa.int32()), pa.array(total[row, dim])],
+            ["start", "cluster", "dim", "value"],
+        )
+
+    added = rows.select("indices", "q", "n").mapInArrow(add, "start int, cluster int, dim int, value long")
     out = {s: {"n": np.zeros(len(c), np.int64), "cost": 0, "sum": np.zeros((len(c), size), np.int64)} for s, c in starts.items()}
     # at most starts x clusters x features numbers
     for r in added.groupBy("start", "cluster", "dim").agg(F.sum("value").alias("value")).collect():
@@ -143,6 +176,8 @@ def sums(rows: DataFrame, starts: dict[int, np.ndarray], size: int) -> dict[int,
 
 def nearest_draws(rows: DataFrame, known: dict[int, np.ndarray], round_: int, most: int, size: int, seed: int) -> dict[int, np.ndarray]:
     """Per start the ``most`` distinct points drawn by squared distance from ``known``."""
+    every = np.vstack(list(known.values()))
+    first_of = np.cumsum([0, *[len(c) for c in known.values()]])
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, dict[bytes, float]] = {s: {} for s in known}
@@ -150,10 +185,11 @@ def nearest_draws(rows: DataFrame, known: dict[int, np.ndarray], round_: int, mo
             for first in range(0, whole.num_rows, BATCH):
                 part = whole.slice(first, BATCH)
                 x, h = dense(part, size), part.column(2).to_numpy()
-                for s, centres in known.items():
-                    away = distances(x, centres).min(axis=1)
+                far = away_from(x, every)
+                for (s, _), a, b in zip(known.items(), first_of, first_of[1:]):
+                    away = far[:, a:b].min(axis=1)
                     keys = np.where(away > 0, -np.log(uniform(h, seed, s, round_)) / np.maximum(away, 1), np.inf)
-                    for i in np.argsort(keys, kind="stable")[: 4 * most].tolist():
+                    for i in np.argsort(keys, kind="stable")[:most].tolist():
                         if keys[i] < np.inf:
                             best[s].setdefault(x[i].astype("<i4").tobytes(), float(keys[i]))
                     best[s] = dict(sorted(best[s].items(), key=lambda e: (e[1], e[0]))[:most])

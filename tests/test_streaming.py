@@ -108,3 +108,16 @@ def test_a_batch_has_few_files(spark, tmp_path):
     ld.write_batch(batch_posts(spark, root).repartition(12), 0, f"{tmp_path}/posts")
     files = list((tmp_path / "posts").rglob("*.parquet"))
     assert len(files) == len({f.parent for f in files})
+
+
+def test_a_batch_of_a_stream_with_state_has_few_files(spark, tmp_path):
+    # one landed file a post: planned without AQE, a file per task, brand and month would result
+    root = tmp_path / "landed"
+    posts = [item(str(i), f"04-{1 + i % 28:02d}", f"license text number {i} goes here") for i in range(40)]
+    land(root, 0, {"acme": posts})
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    ingest(spark, root, tmp_path)
+    assert ld.read_ingested(spark, f"{tmp_path}/posts").count() == 40
+    files = list((tmp_path / "posts").rglob("*.parquet"))
+    assert len(files) == len({f.parent for f in files}) == 1
+    assert spark.conf.get("spark.sql.adaptive.enabled") == before

@@ -11,7 +11,8 @@ Repeated posts are dropped while the stream may still see their first copy
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,22 @@ def distinct_posts(
     return first.unionByName(posts.filter(F.col("date").isNull()))
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """AQE while a batch is written.
+
+    A stream with state is planned without it.  A batch of such a stream comes as an RDD
+    of the planned stream, so this concerns only what follows; the next batch is planned
+    as before.
+    """
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def write_batch(posts: DataFrame, batch: int, table: str, cube: str | None = None, calendar: Calendar | None = None) -> None:
     """One batch of posts below its number, and its share of the cube.
 
@@ -78,11 +95,12 @@ def write_batch(posts: DataFrame, batch: int, table: str, cube: str | None = Non
     that holds most posts.  Written in place of an earlier attempt.
     """
     path = f"{table.rstrip('/')}/batch={batch}"
-    posts.hint("rebalance", "brand", "month").write.mode("overwrite").partitionBy("brand", "month").parquet(path)
-    if cube is not None:
-        stored = posts.sparkSession.read.schema(posts.schema).parquet(path)
-        share = feedback_cube(stored, CUBE_KEYS, calendar)
-        share.coalesce(1).write.mode("overwrite").parquet(f"{cube.rstrip('/')}/batch={batch}")
+    with adaptive(posts.sparkSession):
+        posts.hint("rebalance", "brand", "month").write.mode("overwrite").partitionBy("brand", "month").parquet(path)
+        if cube is not None:
+            stored = posts.sparkSession.read.schema(posts.schema).parquet(path)
+            share = feedback_cube(stored, CUBE_KEYS, calendar)
+            share.coalesce(1).write.mode("overwrite").parquet(f"{cube.rstrip('/')}/batch={batch}")
 
 
 def start_ingest(

@@ -137,10 +137,10 @@ def professional_items(posts):
 ITEMS = {"twitter": microblog_items, "reddit": forum_items, "linkedin": professional_items}
 
 
-def land(spark, sf, sources=tuple(ITEMS), langs=ad.LANGS):
+def land(spark, sf, sources=tuple(ITEMS), langs=ad.LANGS, posts=None):
     """Write the items of all documents as JSON Lines, one folder per brand and source."""
     root = fresh_path(spark, "landed")
-    posts = flow.materialise(ad.posts_docs(spark, sf), "to-land")
+    posts = posts or flow.materialise(ad.posts_docs(spark, sf), "to-land")
     for source in sources:
         items = ITEMS[source](posts)
         for lang in langs:
@@ -572,8 +572,8 @@ UNION ALL SELECT id, brand, platform, text, 'synthetic' FROM fo
 UNION ALL SELECT id, brand, platform, text, 'synthetic' FROM pr""", PD, MICROBLOG_SQL, FORUM_SQL, PROFESSIONAL_SQL))
 def _(spark, sf):
     """One source landed whole, one half landed, one absent; all have a substitute."""
-    substitute, real = land(spark, sf), fresh_path(spark, "real")
     posts = flow.materialise(ad.posts_docs(spark, sf), "to-land")
+    substitute, real = land(spark, sf, posts=posts), fresh_path(spark, "real")
     complete, half, absent = ITEMS
     by_brand = {b: posts.filter(F.col("brand") == b) for b in ad.LANGS}
     cm.land_source({b: ITEMS[complete](rows).drop("brand") for b, rows in by_brand.items()}, real, complete)

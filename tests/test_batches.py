@@ -154,3 +154,25 @@ def test_a_document_nested_too_deep_fails(spark, tmp_path):
     (tmp_path / "part-0.json").write_text(json.dumps(value))
     with pytest.raises(Exception, match="nested too deep"):
         doc.document_paths(spark, str(tmp_path)).collect()
+
+
+def test_a_batch_is_written_once(spark, tmp_path, monkeypatch):
+    """Old keys are looked up by digest alone; without an index there is nothing to look up."""
+    stored = []
+    real = ki.materialise
+    monkeypatch.setattr(ki, "materialise", lambda rows, name, *more: stored.append(name) or real(rows, name, *more))
+    posts = spark.range(400).select("id", F.concat(F.lit("text "), (F.col("id") % 90).cast("string")).alias("text"))
+    path = str(tmp_path / "index")
+    first = ki.keep_new(posts.filter("id < 50"), [F.col("text")], [F.col("id")], path, 0)
+    second = ki.keep_new(posts.filter("id >= 50"), [F.col("text")], [F.col("id")], path, 1)
+    assert sorted(r.id for r in first.collect()) == list(range(50))
+    assert sorted(r.id for r in second.collect()) == list(range(50, 90))
+    assert stored == ["batch-new", "batch-new"]
+
+
+def test_landed_items_are_compressed(spark, tmp_path):
+    items = spark.range(400).select(F.col("id").cast("string"), F.repeat(F.lit("some text "), 20).alias("text"))
+    path = rj.raw_path(str(tmp_path), "a", "twitter")
+    rj.write_raw(items, path)
+    assert sum(f.stat().st_size for f in (tmp_path / "a_twitter.json").glob("part-*")) < 400 * 200 / 3
+    assert rj.read_raw(spark, str(tmp_path), ["a"], "twitter", json_arrays=False).filter("length(text) = 200").count() == 400

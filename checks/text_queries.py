@@ -340,7 +340,7 @@ def _(spark, sf):
 WHERE rn = 1""", PD))
 def _(spark, sf):
     """Three batches in the order of dates, the last one undated, each against the key index only."""
-    posts = ad.posts_docs(spark, sf)
+    posts = materialise(ad.posts_docs(spark, sf), "to-batch")
     early = F.col("date") < F.lit("1995-01-01").cast("timestamp_ntz")
     batches = [early, ~early, F.col("date").isNull()]
     keys = [F.col("brand"), F.substring("text", 1, dd.PREFIX_LENGTH)]

@@ -5,6 +5,8 @@ a filter of 64-bit words in which every key has set four bits of one word.  A ne
 meets the filter first; only keys whose bits are all set may be old, and only these are
 looked up among the digests.  Both are joins on narrow rows, spread by hash.
 
+A batch's posts are shuffled once, by digest, for both steps, and written once.
+
 Every batch has folders of its own, which a rerun replaces, and sees earlier batches only,
 so a batch that is run again gives the same rows.  Kept is the first of a key in its
 batch; a post of an earlier batch always goes before those of later ones.
@@ -14,10 +16,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voicetide.operators.dedup import keep_first
 from voicetide.session import materialise
 from voicetide.sources.paths import path_exists
 
@@ -94,13 +95,18 @@ def keep_new(
     """The first row of every key that no earlier batch has; adds their keys to the index.
 
     Batches are numbered in the order in which they count and run one after the other.
-    ``words`` is the same for all batches of an index.
+    ``words`` is the same for all batches of an index.  ``rows`` are read twice, first
+    the keys alone: rows that are costly to make should be stored before.
     """
     path = path.rstrip("/")
     named = rows.withColumn("digest", digest(keys))
-    first = materialise(keep_first(named, [F.col("digest")], order), "batch-firsts")
-    old = known(first.select("digest"), path, batch, words)
-    new = materialise(first.join(old, "digest", "left_anti"), "batch-new")
+    # as in ``keep_first``, later copies go inside the map tasks; the digest alone deals
+    # the rows, so the join with the old ones finds them in place
+    place = F.row_number().over(Window.partitionBy("digest").orderBy(*order))
+    new = named.withColumn("_rn", place).filter(F.col("_rn") == 1).drop("_rn")
+    if path_exists(rows.sparkSession, f"{path}/filter"):
+        new = new.join(known(named.select("digest").distinct(), path, batch, words), "digest", "left_anti")
+    new = materialise(new, "batch-new")
     added = new.select("digest")
     (
         added.withColumn("part", part()).hint("rebalance", "part")

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +170,19 @@ def test_a_line_of_copies_goes_by_its_template(spark):
     group = [f"{c}\n{line.format('anna')}" for c in copies("tree", 12)]
     found = run(spark, group + [f"{own(i)}\n{line.format(n)}" for i, n in enumerate(["boris", "clara", "dmitri"])])
     assert all(r.n_dropped == 1 for r in found.values())
+
+
+def test_lines_are_deleted_once_their_places_are_written(spark, monkeypatch):
+    names = {}
+    real = lt.written
+
+    def seen(rows, name):
+        names[name] = real(rows, name)
+        return names[name]
+
+    monkeypatch.setattr(lt, "written", seen)
+    docs = spark.createDataFrame([(i, f"line one of {i}\nthe same words again here") for i in range(8)], "doc_id long, text string")
+    places = lt.places_of(docs)
+    assert places.count() == 16
+    folder = names["lines"].inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert not os.path.exists(folder)

@@ -61,6 +61,13 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def discard(rows: DataFrame) -> None:
+    """Delete what ``written`` wrote, once no frame that is still to be computed reads it."""
+    for file in rows.inputFiles()[:1]:
+        path = rows.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        path.getFileSystem(rows.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def tidy(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of finished jobs.
 

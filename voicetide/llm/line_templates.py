@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voicetide.llm.base import free_name, tidy, written
+from voicetide.llm.base import discard, free_name, tidy, written
 from voicetide.llm.graph import components
 
 #: Texts a template must recur in.
@@ -182,7 +182,9 @@ def places_of(docs: DataFrame) -> DataFrame:
         F.col("_n") < MIN_TOKENS
     )
     known = sketches(each).union(short.select("h", "_x"))
-    return written(each.join(known, "h").select("h", "lh", "leaf", "n", "sketch"), "places")
+    places = written(each.join(known, "h").select("h", "lh", "leaf", "n", "sketch"), "places")
+    discard(each)
+    return places
 
 
 def recurring(places: DataFrame, key: str) -> DataFrame:
@@ -216,6 +218,7 @@ def generalised(docs: DataFrame, places: DataFrame) -> DataFrame:
         whole.select("lh", "leaf", "texts", F.posexplode(F.split("line", " ")).alias("pos", "token")),
         "tokens",
     )
+    tidy(docs.sparkSession)
     place = ["leaf", "pos", "token"]
     constant = (
         tokens.filter(F.col("token") != FIELD).groupBy(*place).agg(F.sum("texts").alias("_t"))

@@ -45,6 +45,25 @@ def test_top_posts_filter_before_ranking(spark, small):
     assert text.index("WindowGroupLimit") < text.index("Filter (isnull(_floor")
 
 
+def test_top_posts_cut_wide_rows_before_any_shuffle(spark, tmp_path):
+    # all posts in one group and equal: joined by a shuffle with the floors, their texts met in one task
+    posts = spark.range(20_000).selectExpr(
+        "'x' AS brand", "'b' AS bucket", "id", "sha2(string(id), 512) AS text", "0L AS engagement")
+    posts.repartition(5).write.parquet(f"{tmp_path}/posts")
+    stored = spark.read.parquet(f"{tmp_path}/posts")
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if no side looked small
+    try:
+        top = tn.top_posts(stored, 8, columns=("id", "text", "engagement"))
+        assert sorted((r.id, r.rn) for r in top.collect()) == [(i, i + 1) for i in range(8)]
+        text = plan(top)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+    salted = [x for x in re.findall(r"Exchange hashpartitioning\([^\n]*\n[^\n]*", text) if "_salt" in x]
+    assert salted and all("WindowGroupLimit" in x and "Partial" in x for x in salted)
+
+
 @pytest.mark.parametrize("n", [8, 300])
 def test_floors_hold_for_many_groups_and_many_rows(spark, n):
     groups = spark.range(12_000).selectExpr("id % 6000 AS brand", "id AS bucket", "id", "id AS engagement")

@@ -18,6 +18,8 @@ SALTS = 64
 #: Parts per group and per wanted row in ``above_floor``, and the least number of parts.
 PARTS_PER_ROW = 4
 MIN_PARTS = 256
+#: Rows from which a group has a floor: at most one floor per so many rows is broadcast.
+LARGE_GROUP = 4096
 
 
 def top_n(
@@ -48,21 +50,26 @@ def above_floor(
 
     Rows fall into parts per group by a hash of their key, several for each
     wanted row.  The parts' maxima belong to different rows, so the n-th largest
-    of them is a floor that at least ``n`` rows reach.  Only a group of too few
-    rows to fill ``n`` parts has no floor and keeps all of them.
+    of them is a floor that at least ``n`` rows reach.  Only a group of fewer than
+    ``LARGE_GROUP`` rows, or of too few to fill ``n`` parts, has no floor and keeps
+    all of them.
+
+    Floors are so few that they are broadcast: joined by a shuffle, the whole
+    rows of a hot group would meet in one task.
     """
     parts = max(MIN_PARTS, PARTS_PER_ROW * n)
     maxima = rows.groupBy(*keys, F.pmod(F.xxhash64(row_key), F.lit(parts)).alias("_part")).agg(
-        F.max(value).alias("_floor")
+        F.max(value).alias("_floor"), F.count(F.lit(1)).alias("_n")
     )
-    by_size = Window.partitionBy(*keys).orderBy(F.desc("_floor"))
+    group = Window.partitionBy(*keys)
     floors = (
-        maxima.withColumn("_rn", F.row_number().over(by_size))
-        .filter(F.col("_rn") == n)
+        maxima.withColumn("_rows", F.sum("_n").over(group))
+        .withColumn("_rn", F.row_number().over(group.orderBy(F.desc("_floor"))))
+        .filter((F.col("_rn") == n) & (F.col("_rows") >= LARGE_GROUP))
         .select(*keys, "_floor")
     )
     reached = F.col("_floor").isNull() | (F.col(value) >= F.col("_floor"))
-    return rows.join(floors, list(keys), "left").filter(reached).drop("_floor")
+    return rows.join(F.broadcast(floors), list(keys), "left").filter(reached).drop("_floor")
 
 
 def top_posts(
@@ -73,8 +80,9 @@ def top_posts(
 ) -> DataFrame:
     """Most engaging posts per group, ties by id.
 
-    Wide rows are not sorted: a narrow pass finds each group's floor, and only
-    the posts that reach it are ranked.
+    Few wide rows are sorted: a narrow pass finds each large group's floor, and only
+    the posts that reach it are ranked.  Those cut to ``n`` per group and map task are
+    all that is shuffled.
     """
     wanted = list(dict.fromkeys([*keys, *columns]))
     rows = above_floor(posts.select(*wanted), keys, "engagement", "id", n)

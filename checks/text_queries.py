@@ -223,7 +223,7 @@ def _(spark, sf):
     docs = ad.documents(spark, sf).select("doc_id", "text")
     posts = materialise(cl.classify_posts(docs, DEFAULT_TX), "classified", ["bucket"])
     found = tp.detect_topics(posts, DEFAULT_TX.default.key)
-    return found.select("doc_id", "bucket", "topic_label")
+    return materialise(found.select("doc_id", "bucket", "topic_label"), "topics")
 
 
 @query("X11_topic_scope", with_sql(
@@ -234,7 +234,7 @@ def _(spark, sf):
     bucket, none elsewhere."""
     docs = ad.documents(spark, sf).select("doc_id", "text")
     posts = materialise(cl.classify_posts(docs, TX), "classified", ["bucket"])
-    found = tp.detect_topics(posts, TX.default.key, min_posts=1)
+    found = materialise(tp.detect_topics(posts, TX.default.key, min_posts=1).drop("text"), "topics")
     # labels are made of three terms; a model without terms says misc
     known = F.col("topic_label").rlike("^[^_]+_[^_]+_[^_]+$") | (F.col("topic_label") == "misc")
     return found.select("doc_id", "bucket", (F.col("topic_label") != "").alias("has_topic"), known.alias("known"))

@@ -117,3 +117,22 @@ def test_result_does_not_depend_on_partitions(spark, small):
         sorted(label_posts(docs.repartition(n), TX).drop("text").collect()) for n in (1, 13)
     )
     assert one == many
+
+
+def test_texts_without_any_match_are_not_counted(spark):
+    # one search over all lexicons decides; it must find what any of the counts would
+    tx = lx.default_taxonomy(["acme", "globex"])
+    texts = [p.replace(".", "-").replace("?", "") for b in tx.buckets for p in b.patterns if "(" not in p]
+    texts = [f"x{t.upper()}" for t in texts] + [t.replace("k", "\u212a").replace("s", "\u017f") for t in texts]
+    texts += [t[:-1] for t in texts] + ["", None, "nothing of it", "\u0130\u0131"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    text, folded = F.col("text"), rx.fold(F.col("text"))
+    counts = [rx.count_hits(text, folded, b.patterns).alias(b.key) for b in tx.buckets]
+    got = rows.select("text", rx.bucket_hits(text, folded, tx).alias("found"), *counts)
+    several = 0
+    for r in got.collect():
+        want = {b.key: r[b.key] for b in tx.buckets if r[b.key]}
+        assert {m.bucket: m.hits for m in r.found} == want, r.text
+        several += bool(want)
+    assert len(texts) // 4 < several < len(texts)
+    assert "CASE WHEN coalesce(RLIKE(" in got._jdf.queryExecution().executedPlan().toString()

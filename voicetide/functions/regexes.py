@@ -120,7 +120,11 @@ def has_hit(text: Column, folded: Column, patterns: Sequence[str] | str) -> Colu
 
 
 def bucket_hits(text: Column, folded: Column, taxonomy: Taxonomy) -> Column:
-    """Array of (hits, -position, bucket) for the buckets that match."""
+    """Array of (hits, -position, bucket) for the buckets that match.
+
+    Most texts may match no bucket at all: where all lexicons take the fast route, one
+    search over all of them, which ends with its first match, spares those texts the counts.
+    """
     scored = [
         F.struct(
             count_hits(text, folded, bucket.patterns).alias("hits"),
@@ -129,7 +133,12 @@ def bucket_hits(text: Column, folded: Column, taxonomy: Taxonomy) -> Column:
         )
         for position, bucket in enumerate(taxonomy.buckets)
     ]
-    return F.filter(F.array(*scored), lambda s: s["hits"] > 0)
+    found = F.filter(F.array(*scored), lambda s: s["hits"] > 0)
+    if not all(Lexicon.of(bucket.patterns).folded for bucket in taxonomy.buckets):
+        return found
+    every = [p for bucket in taxonomy.buckets for p in bucket.patterns]
+    none = F.array().cast("array<struct<hits:int,rank:int,bucket:string>>")
+    return F.when(has_hit(text, folded, every), found).otherwise(none)
 
 
 def best_bucket(matched: Column, taxonomy: Taxonomy) -> Column:

@@ -180,7 +180,8 @@ def _(spark, sf):
 def _(spark, sf):
     docs = ad.documents(spark, sf).select("doc_id", "text")
     model, vectors = tp.fit_topic_vectors(docs, docs.count(), keep=["doc_id"])
-    return model.clusters.transform(vectors).select("doc_id", F.col("_cluster").alias("cluster"))
+    found = model.clusters.transform(vectors).select("doc_id", F.col("_cluster").alias("cluster"))
+    return materialise(found, "clusters")
 
 
 @query("X8_cluster_counts", """SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_docs,
@@ -189,7 +190,7 @@ def _(spark, sf):
     """Every document in one cluster, no cluster empty, their number as the rule has it."""
     docs = ad.documents(spark, sf).select("doc_id", "text")
     model, vectors = tp.fit_topic_vectors(docs, docs.count(), keep=["doc_id"])
-    found = model.clusters.transform(vectors)
+    found = materialise(model.clusters.transform(vectors).select("doc_id", "_cluster"), "clusters")
     inside = F.col("_cluster").between(0, len(model.labels) - 1)
     return found.agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("doc_id").alias("n_docs"),

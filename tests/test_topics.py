@@ -97,6 +97,16 @@ def test_texts_are_tokenised_once(spark):
     assert once == again and once
 
 
+def test_vectors_are_stored_for_clusters_and_caller(spark):
+    rows = spark.createDataFrame(list(enumerate(texts())), "i int, text string")
+    model, vectors = tp.fit_topic_vectors(rows, 60, keep=["i"], n_topics=3, stop_words=STOP, max_features=20)
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "_words" not in plan
+    stored = {(r.i, r.term): r.weight for r in tp.weight_rows(model.weights, vectors, "i").collect()}
+    again = {(r.i, r.term): r.weight for r in tp.tfidf_rows(model.weights, rows, "i").collect()}
+    assert stored == again and stored
+
+
 def test_nothing_to_fit(spark):
     for rows in ([], [(1, None), (2, "!"), (3, "")]):
         docs = spark.createDataFrame(rows, "i int, text string")

@@ -242,11 +242,14 @@ def fit_topic_vectors(
 ) -> tuple[TopicModel | None, DataFrame]:
     """The model, and the columns ``keep`` and ``features`` of the documents it was fitted on.
 
+    Vectors that the caller keeps are written once, for the clusters and for the caller.
     Without any term there is no model, and the second value holds the tokens.
     """
     weights, vectors = fit_transform(docs, text, keep, stop_words, max_features)
     if weights is None:
         return None, vectors
+    if keep:
+        vectors = materialise(vectors, "vectors")
     clusters = kmeans(vectors, topic_count(n_docs, n_topics), len(weights.terms), seed=seed)
     labels = []
     for centre in clusters.clusterCenters():

@@ -156,7 +156,7 @@ STOP_WORDS = ("the", "of", "and", "to", "in", "is", "le", "la", "de", "und", "de
 def _(spark, sf):
     docs = ad.documents(spark, sf).select("doc_id", "text")
     model, vectors = tp.fit_transform(docs, keep=["doc_id"], stop_words=STOP_WORDS)
-    rows = tp.weight_rows(model, vectors, "doc_id")
+    rows = tp.weight_rows(model, materialise(vectors, "vectors"), "doc_id")
     return rows.withColumn("weight", F.bround("weight", 6))
 
 
@@ -206,7 +206,7 @@ WHERE rn <= 3 GROUP BY lang""", tfidf_sql(STOP_WORDS)))
 def _(spark, sf):
     docs = ad.documents(spark, sf).select("lang", "text")
     model, vectors = tp.fit_transform(docs, keep=["lang"], stop_words=STOP_WORDS)
-    return tp.cluster_terms(vectors, "lang", model.terms)
+    return materialise(tp.cluster_terms(vectors, "lang", model.terms), "labels")
 
 
 @query("X10_topic_guard", with_sql(

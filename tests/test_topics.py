@@ -86,6 +86,16 @@ def test_terms_of_slices_nulls_and_text_ends():
     assert found == want
 
 
+def test_pairs_of_a_batch_are_counted_in_slices(monkeypatch):
+    sizes, whole = [], tc.known_words
+    monkeypatch.setattr(tc, "known_words", lambda words, among: (sizes.append(len(words)), whole(words, among))[1])
+    words = pa.array([["a", "b", "a"], ["b"], None, ["a", "x", "b"]] * 700, pa.list_(pa.string()))
+    pairs, n = tc.pair_counts(words, pa.array(["a", "b"]))
+    assert dict(zip(pairs.tolist(), n.tolist())) == {1: 700, 2: 700}
+    assert sum(sizes) == 2800 and max(sizes) <= tc.ROWS
+    assert [len(x) for x in tc.pair_counts(words[:0], pa.array(["a"]))] == [0, 0]
+
+
 def test_texts_are_tokenised_once(spark):
     rows = spark.createDataFrame(list(enumerate(texts())), "i int, text string")
     model, vectors = tp.fit_transform(rows, keep=["i"], stop_words=STOP, max_features=20)

@@ -35,6 +35,16 @@ def adjacent(text: np.ndarray, place: np.ndarray) -> np.ndarray:
     return np.flatnonzero((place[1:] - place[:-1] == 1) & (text[1:] == text[:-1]))
 
 
+def pair_counts(words: pa.Array, among: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of words of ``among`` as one number each, and how often they occur; slices of texts bound the memory."""
+    found = [np.zeros(0, np.int64)]
+    for start in range(0, len(words), ROWS):
+        text, place, ids = known_words(words.slice(start, ROWS), among)
+        at = adjacent(text, place)
+        found.append(ids[at] * len(among) + ids[at + 1])
+    return np.unique(np.concatenate(found), return_counts=True)
+
+
 def pairs_among(tokens: DataFrame, frequent: Sequence[str]) -> DataFrame:
     """(_a, _b, n): pairs of frequent words, counted per batch."""
     importable(tokens.sparkSession)
@@ -43,9 +53,7 @@ def pairs_among(tokens: DataFrame, frequent: Sequence[str]) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         among = pa.array(names, pa.string())
         for batch in batches:
-            text, place, ids = known_words(batch.column(0), among)
-            at = adjacent(text, place)
-            pairs, n = np.unique(ids[at] * len(names) + ids[at + 1], return_counts=True)
+            pairs, n = pair_counts(batch.column(0), among)
             first, second = np.divmod(pairs, len(names))
             yield pa.RecordBatch.from_arrays(
                 [among.take(pa.array(first)), among.take(pa.array(second)), pa.array(n, pa.int64())], ["_a", "_b", "n"]
